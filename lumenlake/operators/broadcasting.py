@@ -1,0 +1,18 @@
+"""Broadcast only what has been measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+ROW_LIMIT = 200_000
+
+
+def broadcast_if_small(table: DataFrame, row_limit: int = ROW_LIMIT) -> DataFrame:
+    """Hint a broadcast when the table has at most ``row_limit`` rows.
+
+    Counting stops one row past the limit.  Beyond it the table is returned
+    unhinted and the join shuffles, with adaptive skew handling.  Meant for
+    written tables, where the count reads footers or one column.
+    """
+    small = table.select(F.lit(1)).limit(row_limit + 1).count() <= row_limit
+    return F.broadcast(table) if small else table
