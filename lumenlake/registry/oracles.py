@@ -253,8 +253,13 @@ def _violations() -> str:
     }
     faults = ", ".join(f"case when {tests[c.name]} then '{c.header}' end" for c in contract.COLUMNS if c.name in tests)
     raw = f"raw as materialized ({derived.bills_raw_sql(changed=derived.BROKEN_TEXT)})"
-    return _with([raw], f"select * from (select bill_number, concat_ws(''', ''', {faults}) as violations from raw)"
-                        " where violations <> ''")
+    due = f"case when {_date('due_on')} is null then 'DATA_VENCIMENTO_ORIGINAL' end"
+    place = "case when trim(municipality) = '' then 'MUNICIPIO' end"
+    inner = (
+        f"select bill_number, concat_ws(''', ''', {due}, {place}) as missing,"
+        f" concat_ws(''', ''', {faults}) as violations from raw"
+    )
+    return _with([raw], f"select * from ({inner}) where violations <> ''")
 
 
 def _control() -> str:
@@ -517,7 +522,7 @@ select step, grp, count(*) as n, round(avg(ms), 4) as mean_ms, round(stddev_samp
 from quiet group by step, grp"""),
         "mann_whitney": _with([*_TIMING_CTES, _TESTED], f"""
 select metric, n_first, n_second, round(u, 4) as u, round((greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5)
-  / sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))), 4) as z
+  / nullif(sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))), 0), 4) as z
 from (select metric, n_first, n_second, n_first::double as n1, n_second::double as n2,
     ranks - n_first::double * (n_first + 1) / 2 as u, ties
   from (select metric, count(*) filter (grp = 'TREATMENT') as n_first, count(*) filter (grp = 'CONTROL') as n_second,

@@ -13,6 +13,7 @@ from lumenlake.operators.keys import insert_if_absent
 from lumenlake.plans import bronze, gold, logs, masking, reliability, silver
 from lumenlake.registry.relations import DATES, DECIMALS, Relations
 from lumenlake.sources import extract, locate, logtext
+from lumenlake.sources.derived import BROKEN_TEXT
 
 Query = Callable[[Relations], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -99,10 +100,9 @@ def required_null_fields(r: Relations) -> DataFrame:
 
 @_query
 def constraint_violations(r: Relations) -> DataFrame:
-    from lumenlake.sources.derived import BROKEN_TEXT
-
-    typed = bronze.type_columns(r.raw(changed=BROKEN_TEXT))
-    return typed.where("violations <> ''").select("bill_number", "violations")
+    broken = r.workspace.table("broken_text", lambda: r.raw(changed=BROKEN_TEXT))
+    typed = bronze.type_columns(broken)
+    return typed.where("violations <> ''").select("bill_number", "missing", "violations")
 
 
 @_query

@@ -79,10 +79,11 @@ class Relations:
     def control_extract(self) -> DataFrame:
         """Trials with their loads, written as CSV with a header and read back as declared."""
         joined = self.trials().join(self.loads(), "load_id", "left")
+        options = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
         path = self.workspace.files(
-            "control_extract", lambda target: joined.write.mode("overwrite").option("header", True).csv(target)
+            "control_extract", lambda target: joined.write.mode("overwrite").options(**options).csv(target)
         )
-        return self.spark.read.schema(joined.schema).option("header", True).csv(path)
+        return self.spark.read.schema(joined.schema).options(**options).csv(path)
 
     def log_path(self) -> str:
         """The log as text files whose names and lines are in time order."""

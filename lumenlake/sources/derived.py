@@ -165,7 +165,7 @@ def bills_raw_sql(
     if spark_sql:
         copies = "lateral view explode(case when o.o_orderkey%67=0 then array(0,1) else array(0) end) k as copy"
     else:
-        copies = "cross join lateral (select unnest(case when o.o_orderkey%67=0 then [0,1] else [0] end) as copy) k"
+        copies = "join (values (0),(1)) k(copy) on k.copy=0 or o.o_orderkey%67=0"
     return (
         f"select {picked}\nfrom {orders} o join {customer} c on c.c_custkey = o.o_custkey"
         f" join {nation} n on n.n_nationkey = c.c_nationkey join {region} r on r.r_regionkey = n.n_regionkey"
