@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumenlake import contract
 from lumenlake.contract import PUBLISHED_TERMS, Terms
@@ -28,21 +28,21 @@ from lumenlake.operators.keys import insert_if_absent
 from lumenlake.plans import bronze, gold, silver
 from lumenlake.sources import extract, locate
 
-CONTROL = T.StructType.fromDDL(
-    "load_id bigint, file_name string, started_at timestamp_ntz, ended_at timestamp_ntz, n_rows bigint,"
-    " n_quarantined bigint, status string, error string, fault_type string, mechanism string, attempts int,"
-    " recovery_ms bigint, auto_resolved boolean, event_at timestamp_ntz"
-)
-TRIAL = T.StructType.fromDDL(
-    "trial_id bigint, grp string, fault string, iteration bigint, injected_at timestamp_ntz, outcome string,"
-    " load_id bigint, event_at timestamp_ntz"
-)
-_COLUMNS = ", ".join(f"{c.name} {c.spark_type}" for c in contract.COLUMNS)
-CHECKED = T.StructType.fromDDL(
-    f"{_COLUMNS}, file_name string, too_long boolean, row_number bigint, missing string, violations string,"
-    " reason string, loaded_at timestamp_ntz, is_valid boolean"
-)
-_LOAD_ID = T.StructField("load_id", T.LongType())
+CONTROL = {
+    "load_id": "bigint", "file_name": "string", "started_at": "timestamp_ntz", "ended_at": "timestamp_ntz",
+    "n_rows": "bigint", "n_quarantined": "bigint", "status": "string", "error": "string", "fault_type": "string",
+    "mechanism": "string", "attempts": "int", "recovery_ms": "bigint", "auto_resolved": "boolean",
+    "event_at": "timestamp_ntz",
+}
+TRIAL = {
+    "trial_id": "bigint", "grp": "string", "fault": "string", "iteration": "bigint", "injected_at": "timestamp_ntz",
+    "outcome": "string", "load_id": "bigint", "event_at": "timestamp_ntz",
+}
+CHECKED = {
+    **{c.name: c.spark_type for c in contract.COLUMNS},
+    "file_name": "string", "too_long": "boolean", "row_number": "bigint", "missing": "string", "violations": "string",
+    "reason": "string", "loaded_at": "timestamp_ntz", "is_valid": "boolean",
+}
 ABSENT_FILE = "(ausente)"
 
 # Natural keys by which a normalised table takes only rows it lacks.
@@ -91,17 +91,17 @@ class Lake:
 
     # --- control and trial events -------------------------------------------
 
-    def _append(self, name: str, schema: T.StructType, row: dict) -> None:
-        values = [tuple(row.get(f.name) for f in schema.fields)]
-        self.spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(self._path(name))
+    def _append(self, name: str, schema: dict[str, str], row: dict) -> None:
+        values = [tuple(row.get(name) for name in schema)]
+        self.spark.createDataFrame(values, _ddl(schema)).coalesce(1).write.mode("append").parquet(self._path(name))
 
-    def _latest(self, name: str, schema: T.StructType, key: str) -> DataFrame:
+    def _latest(self, name: str, schema: dict[str, str], key: str) -> DataFrame:
         """The last event of each key; events without a key all stay."""
         try:
-            events = self.spark.read.schema(schema).parquet(self._path(name))
+            events = self.spark.read.schema(_ddl(schema)).parquet(self._path(name))
         except AnalysisException:
-            return self.spark.createDataFrame([], schema)
-        fields = [f.name for f in schema.fields if f.name != key]
+            return self.spark.createDataFrame([], _ddl(schema))
+        fields = [name for name in schema if name != key]
         last = events.where(F.col(key).isNotNull()).groupBy(key).agg(
             F.max_by(F.struct(*fields), "event_at").alias("_last")
         )
@@ -198,7 +198,7 @@ class Lake:
             rows = extract.with_row_numbers(extract.scan_extract(self.spark, path, header))
             checked = bronze.check(rows).withColumn("loaded_at", F.lit(started).cast("timestamp_ntz"))
             checked.write.mode("overwrite").partitionBy("is_valid").parquet(target)
-        written = self.spark.read.schema(CHECKED).parquet(target)
+        written = self.spark.read.schema(_ddl(CHECKED)).parquet(target)
         counts = bronze.totals(written).first()
         error = None
         if counts["n_quarantined"] and not self_healing:
@@ -217,7 +217,7 @@ class Lake:
         ids = [r[0] for r in self.loads().where(released & F.col("load_id").isNotNull()).select("load_id").collect()]
         if not ids:
             raise LoadFailed("no load has finished")
-        rows = self.spark.read.schema(T.StructType([*CHECKED, _LOAD_ID])).parquet(self._path("checked"))
+        rows = self.spark.read.schema(_ddl({**CHECKED, "load_id": "bigint"})).parquet(self._path("checked"))
         return rows.where(F.col("load_id").isin(ids) & (F.col("is_valid") == valid))
 
     def history(self) -> DataFrame:
@@ -289,5 +289,9 @@ class Lake:
         return self.table(name).limit(rows)
 
 
+def _ddl(schema: dict[str, str]) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in schema.items())
+
+
 def _now() -> datetime:
     return datetime.now()

@@ -24,8 +24,7 @@ def listing(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
     """(path, modified) of matching files; contents are never read."""
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .load(directory)
+        .load(f"{directory.rstrip('/')}/{pattern}")
         .select("path", F.col("modificationTime").alias("modified"))
     )
 
