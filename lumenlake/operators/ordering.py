@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BLOCK = 1 << 16
+BLOCK = 1 << 18
 _BOUND_ACCURACY = 10_000
 
 

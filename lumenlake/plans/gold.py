@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumenlake.functions.money import MONEY, mean_money, prorate
 from lumenlake.functions.parsing import month_start
+from lumenlake.operators.skew import join_many
 from lumenlake.plans.silver import ADDRESS_KEY
 
 
@@ -19,17 +20,16 @@ def levy_base(
     """One row per bill and levy, with place, class, and billed and collected levy.
 
     Levies and payments hang on the bill id; payments are totalled first so
-    that they do not multiply rows.  Installation and address are joined to
-    each other before the bills see them.
+    that they do not multiply rows, and levies may do so for a hot bill.
+    Installation and address are joined to each other before the bills see
+    them.  Adaptive execution splits a hot installation.
     """
     paid = payments.groupBy("bill_id").agg(F.sum("paid_amount").alias("_paid"))
     places = installations.select("installation", "consumption_class", "consumption_subclass", *ADDRESS_KEY).join(
         addresses.select(*ADDRESS_KEY, "district", "municipality"), ADDRESS_KEY, "left"
     ).drop(*ADDRESS_KEY)
-    rows = (
-        bills.join(levies.select("bill_id", "levy"), "bill_id", "left")
-        .join(paid, "bill_id", "left")
-        .join(places, "installation")
+    rows = join_many(bills.join(paid, "bill_id", "left"), levies.select("bill_id", "levy"), "bill_id").join(
+        places, "installation"
     )
     levy, total = F.coalesce("levy", F.lit(0)).cast(MONEY), F.coalesce("_paid", F.lit(0))
     return rows.select(

@@ -280,9 +280,14 @@ class Lake:
     # --- served layer -------------------------------------------------------
 
     def serve(self) -> list[str]:
-        """Write the base relation once and register it and its views."""
+        """Write the base relation once, by month, and register it and its views.
+
+        Ranges of month and bill spread a hot month over several tasks while
+        every task writes few months.
+        """
         tables = [self.table(t) for t in ("bills", "installations", "addresses", "levies", "payments")]
-        gold.levy_base(*tables).write.mode("overwrite").parquet(self._path("levy_base"))
+        base = gold.levy_base(*tables).repartitionByRange("month", "bill_id")
+        base.write.mode("overwrite").partitionBy("month").parquet(self._path("levy_base"))
         return gold.register_views(self.spark.read.parquet(self._path("levy_base")))
 
     def preview(self, name: str, rows: int = 100) -> DataFrame:

@@ -255,5 +255,5 @@ def outage_statistics(timeline: DataFrame) -> DataFrame:
 
 def connect_failures(events: DataFrame) -> DataFrame:
     """Duration statistics of connections that failed for good."""
-    failed = events.where("kind = 'connect_failed'").select(F.lit("failed").alias("kind"), F.col("number").alias("ms"))
+    failed = events.where("kind = 'connect_failed'").select("kind", F.col("number").alias("ms"))
     return statistics.summarise(failed, ["kind"], "ms").drop("kind")

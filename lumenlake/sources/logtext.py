@@ -81,18 +81,23 @@ def scan_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Split application lines and database server lines into (ts, origin, message); drop the rest."""
+    """Split application lines and database server lines into (ts, origin, message); drop the rest.
+
+    Each line unfolds into one event or none.  Unfolding also keeps later
+    filters above it, so the expressions run once per line.
+    """
     app = lambda i: F.regexp_extract("line", LINE, i)
     server = lambda i: F.regexp_extract("line", SERVER_LINE, i)
-    is_app = F.col("line").rlike(LINE)
-    is_server = F.col("line").rlike(SERVER_LINE)
-    kept = [c for c in lines.columns if c != "line"]
-    return lines.where(is_app | is_server).select(
-        *kept,
-        F.when(is_app, F.replace(app(1), F.lit(","), F.lit("."))).otherwise(server(1)).try_cast("timestamp_ntz").alias("ts"),
-        F.when(is_app, app(2)).otherwise("database").alias("origin"),
-        F.when(is_app, app(3)).otherwise(server(2)).alias("message"),
+    stamp = F.replace(app(1), F.lit(","), F.lit("."))
+    event = F.when(F.col("line").rlike(LINE), _event(stamp, app(2), app(3))).when(
+        F.col("line").rlike(SERVER_LINE), _event(server(1), F.lit("database"), server(2))
     )
+    kept = [c for c in lines.columns if c != "line"]
+    return lines.select(*kept, F.inline(event))
+
+
+def _event(stamp: Column, origin: Column, message: Column) -> Column:
+    return F.array(F.struct(stamp.try_cast("timestamp_ntz").alias("ts"), origin.alias("origin"), message.alias("message")))
 
 
 def classify(parsed: DataFrame, phrases: Phrases) -> DataFrame:
@@ -116,7 +121,7 @@ def classify(parsed: DataFrame, phrases: Phrases) -> DataFrame:
         .when(message.contains(phrases.ready), "ready")
     )
     kept = [c for c in parsed.columns if c not in ("origin", "message")]
-    found = parsed.withColumn("kind", kind).where("kind is not null")
+    found = parsed.select(*parsed.columns, F.explode(F.when(kind.isNotNull(), F.array(kind))).alias("kind"))
     return found.select(
         *kept,
         "kind",
