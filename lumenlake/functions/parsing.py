@@ -42,8 +42,13 @@ def is_number(text: Column) -> Column:
 
 
 def parse_decimal(text: Column, declared: str) -> Column:
-    """Decimal of the declared type; junk and overflow are null."""
-    return decimal_text(text).try_cast(declared)
+    """Decimal of the declared type; junk and overflow are null.
+
+    Blanks are common and are kept from the cast, where a failed conversion
+    costs an exception.
+    """
+    number = decimal_text(text)
+    return F.when(number != "", number.try_cast(declared))
 
 
 def parse_int(text: Column, declared: str = "int") -> Column:

@@ -65,7 +65,7 @@ def _is_inadmissible(column: contract.Column) -> Column:
     if column.kind == "string":
         return F.length(text) > column.max_length
     if column.kind == "decimal":
-        return _typed(column).isNull() & parsing.is_number(text)
+        return _typed(column).isNull() & (text != "") & parsing.is_number(text)
     return _typed(column).isNull() & ~parsing.is_blank(text)
 
 

@@ -324,12 +324,11 @@ def _coordinate(c: str) -> str:
 def oracle_sql() -> dict[str, str]:
     every = contract.NAMES
     violations = _violations()
-    asof = f"""select t.trial_id, t.injected_at, max_by(l.load_id, (l.started_at, l.load_id)) as load_id,
-  max(l.started_at) as started_at
-from (select *, lead(injected_at) over (order by injected_at) as next_at from (select distinct injected_at from trials)) w
-join trials t on t.injected_at = w.injected_at
-left join loads l on l.started_at >= w.injected_at and (w.next_at is null or l.started_at < w.next_at)
-group by t.trial_id, t.injected_at"""
+    asof = """select t.trial_id, t.injected_at, n.load_id, n.started_at
+from trials t left join (select w.injected_at, max_by(l.load_id, (l.started_at, l.load_id)) as load_id,
+    max(l.started_at) as started_at
+  from loads l asof join (select distinct injected_at from trials) w on l.started_at >= w.injected_at
+  group by w.injected_at) n on n.injected_at = t.injected_at"""
     elapsed = _ms("started_at", "ended_at")
     return {
         "scan_bills": _with([_RAW], f"select {_names(every)} from raw"),

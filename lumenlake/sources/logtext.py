@@ -122,18 +122,17 @@ def classify(parsed: DataFrame, phrases: Phrases) -> DataFrame:
     )
     kept = [c for c in parsed.columns if c not in ("origin", "message")]
     found = parsed.select(*parsed.columns, F.explode(F.when(kind.isNotNull(), F.array(kind))).alias("kind"))
-    return found.select(
-        *kept,
-        "kind",
-        _number(message, phrases.load_created).alias("load_id"),
-        F.coalesce(
-            _number(message, phrases.finished_rows),
-            _number(message, phrases.attempt),
-            _number(message, phrases.connected),
-            _number(message, phrases.connect_failed),
-        ).alias("number"),
-    )
-
-
-def _number(message: Column, pattern: str) -> Column:
-    return F.regexp_extract(message, pattern, 1).try_cast("bigint")
+    numbers = {
+        "finished": phrases.finished_rows,
+        "attempt": phrases.attempt,
+        "connected": phrases.connected,
+        "connect_failed": phrases.connect_failed,
+    }
+    number = F.coalesce(*(_number_of(kind, pattern) for kind, pattern in numbers.items()))
+    return found.select(*kept, "kind", _number_of("created", phrases.load_created).alias("load_id"), number.alias("number"))
+
+
+def _number_of(kind: str, pattern: str) -> Column:
+    """The captured number of lines of one kind; other lines are not searched."""
+    digits = F.regexp_extract("message", pattern, 1)
+    return F.when((F.col("kind") == kind) & (digits != ""), digits.cast("bigint"))
