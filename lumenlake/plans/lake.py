@@ -3,6 +3,7 @@
 Layout under the root, all Parquet::
 
     checked/load_id=N/is_valid=true|false   every row of load N, typed
+    splits/load_id=N                        rows before each file split of load N
     control/                                load events, the last one counts
     trials/                                 trial events, the last one counts
     <table>/load_id=N                       rows load N added to a normalised table
@@ -20,10 +21,11 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lumenlake import contract
 from lumenlake.contract import PUBLISHED_TERMS, Terms
+from lumenlake.operators.broadcasting import broadcast_if_small
 from lumenlake.operators.keys import insert_if_absent
 from lumenlake.plans import bronze, gold, silver
 from lumenlake.sources import extract, locate
@@ -43,6 +45,8 @@ CHECKED = {
     "file_name": "string", "too_long": "boolean", "row_number": "bigint", "missing": "string", "violations": "string",
     "reason": "string", "loaded_at": "timestamp_ntz", "is_valid": "boolean",
 }
+# One short row per 128 MB of input: about 100 TB of it may be broadcast.
+SPLIT_LIMIT = 1_000_000
 ABSENT_FILE = "(ausente)"
 
 # Natural keys by which a normalised table takes only rows it lacks.
@@ -195,8 +199,11 @@ class Lake:
             finish(str(unreadable))
         target = f"{self._path('checked')}/load_id={load_id}"
         with extract.pinned_splits(self.spark):
-            rows = extract.with_row_numbers(extract.scan_extract(self.spark, path, header))
-            checked = bronze.check(rows).withColumn("loaded_at", F.lit(started).cast("timestamp_ntz"))
+            scan = extract.scan_extract(self.spark, path, header)
+            offsets = f"{self._path('splits')}/load_id={load_id}"
+            extract.split_offsets(scan).write.mode("overwrite").parquet(offsets)
+            offsets = broadcast_if_small(self.spark.read.parquet(offsets), SPLIT_LIMIT)
+            checked = bronze.check(extract.with_row_numbers(scan, offsets)).withColumn("loaded_at", F.lit(started).cast("timestamp_ntz"))
             checked.write.mode("overwrite").partitionBy("is_valid").parquet(target)
         written = self.spark.read.schema(_ddl(CHECKED)).parquet(target)
         counts = bronze.totals(written).first()
@@ -214,11 +221,12 @@ class Lake:
         """Rows of loads whose control event has released them."""
         terms = self.terms
         released = (F.col("status") == terms.success) if valid else (F.col("n_quarantined") > 0)
-        ids = [r[0] for r in self.loads().where(released & F.col("load_id").isNotNull()).select("load_id").collect()]
-        if not ids:
-            raise LoadFailed("no load has finished")
-        rows = self.spark.read.schema(_ddl({**CHECKED, "load_id": "bigint"})).parquet(self._path("checked"))
-        return rows.where(F.col("load_id").isin(ids) & (F.col("is_valid") == valid))
+        ids = self.loads().where(released & F.col("load_id").isNotNull()).select("load_id")
+        try:
+            rows = self.spark.read.schema(_ddl({**CHECKED, "load_id": "bigint"})).parquet(self._path("checked"))
+        except AnalysisException:
+            raise LoadFailed("no load has finished") from None
+        return rows.where(F.col("is_valid") == valid).join(broadcast_if_small(ids), "load_id", "left_semi")
 
     def history(self) -> DataFrame:
         """Valid rows of all released loads."""
@@ -243,7 +251,8 @@ class Lake:
         target = f"{self._path(name)}/load_id={load_id}"
         keys = KEYS[name]
         try:
-            earlier = self.spark.read.parquet(self._path(name)).where(F.col("load_id") != load_id)
+            known = T.StructType([*incoming.schema.fields, T.StructField("load_id", T.LongType())])
+            earlier = self.spark.read.schema(known).parquet(self._path(name)).where(F.col("load_id") != load_id)
         except AnalysisException:
             earlier = None
         if earlier is not None:
@@ -290,6 +299,12 @@ class Lake:
         base.write.mode("overwrite").partitionBy("month").parquet(self._path("levy_base"))
         return gold.register_views(self.spark.read.parquet(self._path("levy_base")))
 
+    def run(self, directory: str, primary: str, load_id: int, self_healing: bool = True) -> list[str]:
+        """A whole load: find and check the file, normalise it, refresh the served views."""
+        self.load_file(directory, primary, load_id, self_healing)
+        self.normalise()
+        return self.serve()
+
     def preview(self, name: str, rows: int = 100) -> DataFrame:
         return self.table(name).limit(rows)
 

@@ -143,6 +143,26 @@ def mann_whitney(timings: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFram
     return statistics.mann_whitney(_quiet_long(timings, terms), "ms", treated, ["metric"])
 
 
+def mann_whitney_by_step(landmarks: DataFrame, trials: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFrame:
+    """U and z of treatment against control per step of a load, without faults."""
+    return statistics.mann_whitney(_steps(landmarks, trials, terms), "ms", F.col("grp") == terms.treatment, ["step"])
+
+
+def overhead_tests(timings: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFrame:
+    """Both tests with their two-sided p-values, one row per tested metric.
+
+    The tails are evaluated here, on at most one row per metric.
+    """
+    spark = timings.sparkSession
+    both = mann_whitney(timings, terms).join(welch_t(timings, terms), "metric").orderBy("metric").limit(len(TESTED))
+    rows = []
+    for r in both.collect():
+        p_u = None if r["z"] is None else statistics.normal_two_sided(r["z"])
+        p_t = None if r["t"] is None else statistics.student_two_sided(r["t"], r["df"])
+        rows.append((r["metric"], r["u"], p_u, r["t"], r["df"], p_t))
+    return spark.createDataFrame(rows, "metric string, u double, p_u double, t double, df double, p_t double")
+
+
 def welch_t(timings: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFrame:
     treated = F.col("grp") == terms.treatment
     return statistics.welch(_quiet_long(timings, terms), "ms", treated, ["metric"])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lumenlake.contract import PUBLISHED_TERMS, Terms
 from lumenlake.functions.money import percent
+from lumenlake.operators import statistics
 from lumenlake.operators.intervals import count_overlaps, newest_after
 
 SUCCESS = "success"
@@ -107,6 +108,18 @@ def time_to_failure(trials: DataFrame, loads: DataFrame, terms: Terms = PUBLISHE
     )
 
 
+def duration_summary(trials: DataFrame, loads: DataFrame) -> DataFrame:
+    """Load duration statistics by group and injected fault."""
+    rows = _recorded(trials, loads).withColumn("_ms", _elapsed_ms())
+    return statistics.summarise(rows, ["grp", "fault"], "_ms")
+
+
+def recovery_summary(trials: DataFrame, loads: DataFrame) -> DataFrame:
+    """Recovery time statistics by group and injected fault, with the range of attempts."""
+    tries = [F.min("attempts").alias("min_attempts"), F.max("attempts").alias("max_attempts")]
+    return statistics.summarise(_recorded(trials, loads), ["grp", "fault"], "recovery_ms", tries)
+
+
 def mechanism_activations(trials: DataFrame, loads: DataFrame) -> DataFrame:
     rows = _recorded(trials, loads.select("load_id", "mechanism", "auto_resolved"))
     return rows.groupBy("mechanism", "grp").agg(

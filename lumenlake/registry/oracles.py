@@ -321,6 +321,26 @@ def _coordinate(c: str) -> str:
     return f"case when {c} = '' then '' else replace(cast({rounded} as varchar), '.', ',') || '0000000000' end as {c}"
 
 
+def _rank_sums(key: str, rows: str) -> str:
+    ranks = _RANKED.format(key, "ms")
+    return f"""
+select {key}, n_first, n_second, round(u, 4) as u, round((greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5)
+  / nullif(sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))), 0), 4) as z
+from (select {key}, n_first, n_second, n_first::double as n1, n_second::double as n2,
+    ranks - n_first::double * (n_first + 1) / 2 as u, ties
+  from (select {key}, count(*) filter (grp = 'TREATMENT') as n_first, count(*) filter (grp = 'CONTROL') as n_second,
+      sum(r) filter (grp = 'TREATMENT') as ranks, sum(same * same - 1) as ties
+    from (select {key}, grp, cast({ranks} as double) as r,
+        cast(count(*) over (partition by {key}, ms) as double) as same from {rows}) group by {key}))"""
+
+
+def _summary_by_trial(value: str, extra: str = "") -> str:
+    return _with(_TRIAL_CTES, f"""
+select grp, fault, count(*) as n, round(avg(v), 4) as mean, round(stddev_samp(v), 4) as stdev, min(v) as min,
+  max(v) as max, median(v) as median{extra}
+from (select grp, fault, attempts, {value} as v from trials join loads using (load_id)) group by grp, fault""")
+
+
 def oracle_sql() -> dict[str, str]:
     every = contract.NAMES
     violations = _violations()
@@ -419,7 +439,7 @@ select bill_number, bill_number as new_bill_number, cast(rebilled_on as varchar)
 from (select distinct b.bill_id, b.bill_number, v.rebilled_on, v.substitute_amount, v.substitute_levy from bills b
   join valid v on v.bill_number = b.bill_number where {_yes('v.rebilled')})"""),
         "levies": _with([*_BILL_CTES, _LEVIES], "select bill_number, cast(levy as double) as levy from levies"),
-        "insert_if_absent_addresses": _with(_VALID_CTES, f"""
+        "insert_if_absent": _with(_VALID_CTES, f"""
 select distinct on ({_ADDRESS}) {_ADDRESS}, district, municipality from valid v
 where billing_month >= '{INSERT_SPLIT_MONTH}' and not exists (select 1 from valid w
   where w.billing_month < '{INSERT_SPLIT_MONTH}' and {' and '.join(f'w.{k} = v.{k}' for k in silver.ADDRESS_KEY)})
@@ -496,6 +516,10 @@ from trials join loads using (load_id) where grp = 'TREATMENT' and fault = 'NULL
 select reason, count(*) as n_rows, count(distinct q.load_id) as n_loads
 from (select {_REASON} as reason, line_no % 1000 + 1 as load_id from typed where {_BLANK}) q
 join trials t on t.load_id = q.load_id where grp = 'TREATMENT' and fault = 'NULL_DATA' group by reason"""),
+        "duration_summary": _summary_by_trial(elapsed),
+        "recovery_summary": _summary_by_trial(
+            "recovery_ms", ", min(attempts) as min_attempts, max(attempts) as max_attempts"
+        ),
         "trial_load_asof": _with(_TRIAL_CTES, asof),
         "overlapping_runs": _with([f"runs as ({derived.runs_sql()})"], """
 select s.scenario, s.n_runs, coalesce(o.n, 0) as n_overlapping
@@ -519,15 +543,8 @@ where c.fault = 'NONE' and c.grp = 'CONTROL' and c.metric <> 'schema_ms'"""),
         "overhead_by_step": _with([*_LOG_CTES, _QUIET_STEPS], """
 select step, grp, count(*) as n, round(avg(ms), 4) as mean_ms, round(stddev_samp(ms), 4) as stdev_ms
 from quiet group by step, grp"""),
-        "mann_whitney": _with([*_TIMING_CTES, _TESTED], f"""
-select metric, n_first, n_second, round(u, 4) as u, round((greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5)
-  / nullif(sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))), 0), 4) as z
-from (select metric, n_first, n_second, n_first::double as n1, n_second::double as n2,
-    ranks - n_first::double * (n_first + 1) / 2 as u, ties
-  from (select metric, count(*) filter (grp = 'TREATMENT') as n_first, count(*) filter (grp = 'CONTROL') as n_second,
-      sum(r) filter (grp = 'TREATMENT') as ranks, sum(same * same - 1) as ties
-    from (select metric, grp, cast({_RANKED.format('metric', 'ms')} as double) as r,
-        cast(count(*) over (partition by metric, ms) as double) as same from tested) group by metric))"""),
+        "mann_whitney": _with([*_TIMING_CTES, _TESTED], _rank_sums("metric", "tested")),
+        "mann_whitney_by_step": _with([*_LOG_CTES, _QUIET_STEPS], _rank_sums("step", "quiet")),
         "welch_t": _with([*_TIMING_CTES, _TESTED], """
 select metric, round((m1 - m2) / sqrt(v1 + v2), 4) as t,
   round((v1 + v2) * (v1 + v2) / (v1 * v1 / (n1 - 1) + v2 * v2 / (n2 - 1)), 4) as df

@@ -100,9 +100,14 @@ def required_null_fields(r: Relations) -> DataFrame:
 
 @_query
 def constraint_violations(r: Relations) -> DataFrame:
-    broken = r.workspace.table("broken_text", lambda: r.raw(changed=BROKEN_TEXT))
-    typed = bronze.type_columns(broken)
-    return typed.where("violations <> ''").select("bill_number", "missing", "violations")
+    """Rows the raw table could not hold, from an extract with damaged values.
+
+    Checked rows are written before they are filtered: a filter would move
+    into the wide projection and evaluate it twice.
+    """
+    text = r.workspace.table("broken_text", lambda: r.raw(changed=BROKEN_TEXT))
+    faults = lambda: bronze.type_columns(text).select("bill_number", "missing", "violations")
+    return r.workspace.table("broken_faults", faults).where("violations <> ''")
 
 
 @_query
@@ -200,8 +205,7 @@ _silver("rebills", "bill_number", "new_bill_number", "rebilled_on", "substitute_
 _silver("levies", "bill_number", "levy")
 
 
-@_query
-def insert_if_absent_addresses(r: Relations) -> DataFrame:
+def _insert_if_absent(r: Relations) -> DataFrame:
     """Addresses that rows from the split month on add to those seen before it."""
     rows = r.valid()
     target = silver.addresses(rows.where(F.col("billing_month") < INSERT_SPLIT_MONTH))
@@ -211,6 +215,9 @@ def insert_if_absent_addresses(r: Relations) -> DataFrame:
     return insert_if_absent(target, incoming, silver.ADDRESS_KEY).drop("line_no")
 
 
+_QUERIES["insert_if_absent"] = _insert_if_absent
+
+
 @_query
 def unmatched_rows(r: Relations) -> DataFrame:
     return silver.unmatched_rows(r.valid(), r.silver("installations"))
@@ -281,6 +288,16 @@ def quarantine_by_reason(r: Relations) -> DataFrame:
     return reliability.quarantine_by_reason(held, r.trials(), ENGLISH_TERMS)
 
 
+@_query
+def duration_summary(r: Relations) -> DataFrame:
+    return _rounded(reliability.duration_summary(r.trials(), r.loads()), 4, "mean", "stdev")
+
+
+@_query
+def recovery_summary(r: Relations) -> DataFrame:
+    return _rounded(reliability.recovery_summary(r.trials(), r.loads()), 4, "mean", "stdev")
+
+
 @_query
 def trial_load_asof(r: Relations) -> DataFrame:
     return reliability.trial_load_asof(r.trials(), r.loads())
@@ -331,6 +348,11 @@ def mann_whitney(r: Relations) -> DataFrame:
     return _rounded(logs.mann_whitney(r.timings(), ENGLISH_TERMS), 4, "u", "z")
 
 
+@_query
+def mann_whitney_by_step(r: Relations) -> DataFrame:
+    return _rounded(logs.mann_whitney_by_step(r.landmarks(), r.trials(), ENGLISH_TERMS), 4, "u", "z")
+
+
 @_query
 def welch_t(r: Relations) -> DataFrame:
     return _rounded(logs.welch_t(r.timings(), ENGLISH_TERMS), 4, "t", "df")

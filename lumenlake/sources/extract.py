@@ -131,20 +131,27 @@ def _too_many_fields(n: int) -> Column:
     return F.coalesce(separators >= n, F.lit(False))
 
 
-def with_row_numbers(rows: DataFrame, name: str = "row_number") -> DataFrame:
-    """1-based data row number over the files in path order.
-
-    Counts the rows of each file split, accumulates the counts and adds the
-    row's place in its split; the rows themselves are not shuffled.  Run it
-    inside ``pinned_splits`` so that both scans cut the files alike.
-    """
+def split_offsets(rows: DataFrame) -> DataFrame:
+    """Rows that precede each file split, and the split's first row id: one row per split."""
     splits = rows.groupBy("_file", "_start").agg(F.count("*").alias("_size"), F.min("_at").alias("_first"))
     earlier = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
+    return splits.select(
         "_file", "_start", "_first", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
     )
+
+
+def with_row_numbers(rows: DataFrame, offsets: DataFrame, name: str = "row_number") -> DataFrame:
+    """1-based data row number over the files in path order.
+
+    A row's number is its split's offset plus its place in the split, so rows
+    meet one small table and are not shuffled when that is broadcast.  Run
+    both scans inside ``pinned_splits`` so that they cut the files alike; a
+    split without an offset stops the job.
+    """
+    lost = F.raise_error(F.lit("the two scans cut the files differently"))
+    offset = F.when(F.col("_offset").isNull(), lost.cast("bigint")).otherwise(F.col("_offset"))
     numbered = rows.join(offsets, ["_file", "_start"], "left").withColumn(
-        name, F.col("_offset") + F.col("_at") - F.col("_first") + 1
+        name, offset + F.col("_at") - F.col("_first") + 1
     )
     return numbered.drop("_file", "_start", "_at", "_first", "_offset")
 

@@ -56,7 +56,10 @@ def test_row_numbers_over_many_splits(spark, tmp_path, lines):
         with extract.pinned_splits(spark):
             scan = extract.scan_extract(spark, path)
             assert scan.rdd.getNumPartitions() > 4
-            found = extract.with_row_numbers(scan).select("row_number", "bill_number").collect()
+            offsets = F.broadcast(extract.split_offsets(scan))
+            numbered = extract.with_row_numbers(scan, offsets).select("row_number", "bill_number")
+            assert "Exchange hashpartitioning(_file" not in numbered._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+            found = numbered.collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     at = contract.NAMES.index("bill_number")

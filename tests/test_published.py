@@ -39,6 +39,15 @@ def test_two_sample_tests(timings):
     assert statistics.student_two_sided(t["t"], t["df"]) == pytest.approx(6.27e-8, rel=0.01)
 
 
+def test_report_of_both_tests(timings):
+    wide = timings.withColumnRenamed("ms", "ingest_ms").withColumn("fault", F.lit(TERMS.no_fault))
+    wide = wide.withColumn("pre_read_ms", F.lit(None).cast("double")).withColumn("read_to_done_ms", F.col("ingest_ms") * 0)
+    found = {r["metric"]: r for r in logs.overhead_tests(wide.drop("metric"), TERMS).collect()}
+    assert found["ingest_ms"]["p_t"] == pytest.approx(6.27e-8, rel=0.01)
+    assert found["ingest_ms"]["p_u"] == pytest.approx(3.06e-7, rel=0.01)
+    assert found["read_to_done_ms"]["p_u"] is None and found["read_to_done_ms"]["p_t"] is None
+
+
 def test_trend(timings):
     found = {r["grp"]: r for r in statistics.spearman(timings, ["grp"], "iteration", "ms").collect()}
     assert round(found[TERMS.control]["rho"], 3) == 0.488 and round(found[TERMS.treatment]["rho"], 3) == -0.392
