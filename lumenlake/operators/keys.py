@@ -22,12 +22,12 @@ def insert_if_absent(
     """Incoming rows whose key the target lacks, the earliest row per key.
 
     Without ``order`` the incoming keys are taken to be unique already.  Keys
-    with a null never collide, as in a SQL unique constraint.
+    with a null never collide, as in a SQL unique constraint: the anti join
+    keeps them, and only whole keys are reduced to their earliest row.
     """
-    whole = F.lit(True)
-    for key in keys:
-        whole = whole & F.col(key).isNotNull()
-    keyed = incoming.where(whole)
     if order is not None:
-        keyed = first_wins(keyed, keys, order)
-    return keyed.join(target.select(*keys), keys, "left_anti").unionByName(incoming.where(~whole))
+        whole = F.lit(True)
+        for key in keys:
+            whole = whole & F.col(key).isNotNull()
+        incoming = first_wins(incoming.where(whole), keys, order).unionByName(incoming.where(~whole))
+    return incoming.join(target.select(*keys), keys, "left_anti").select(*incoming.columns)

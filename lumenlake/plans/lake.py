@@ -262,7 +262,7 @@ class Lake:
                     match = match & F.col(f"new.{key}").eqNullSafe(F.col(f"old.{key}"))
                 incoming = incoming.alias("new").join(earlier.alias("old"), match, "left_anti")
             else:
-                incoming = insert_if_absent(earlier, incoming, keys, order=None).select(*incoming.columns)
+                incoming = insert_if_absent(earlier, incoming, keys, order=None)
         incoming.write.mode("overwrite").parquet(target)
 
     def normalise(self) -> None:

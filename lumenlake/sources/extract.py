@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -17,14 +18,10 @@ _SPLITS = "spark.sql.files.minPartitionNum"
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Header names of one file, or of the first one under a path; only its first line is fetched."""
-    return split_header(_first_line(spark, path))
-
-
-def _first_line(spark: SparkSession, path: str) -> str:
     lines = spark.read.text(path).limit(1).collect()
     if not lines:
         raise ValueError("no columns to read")
-    return lines[0][0]
+    return split_header(lines[0][0])
 
 
 def split_header(line: str) -> list[str]:
@@ -34,13 +31,17 @@ def split_header(line: str) -> list[str]:
 def header_lines(spark: SparkSession, path: str) -> DataFrame:
     """First line of every file under a path: (file, header).
 
-    A few files are opened one by one, which reads one line each.  Many files
-    are read in one job that keeps the earliest row id of each first split.
+    A few files are each limited to one line, so that no scan reads further.
+    Many files are read in one scan that keeps the earliest row id of each
+    first split.
     """
     listed = spark.read.format("binaryFile").load(path).select("path").limit(FEW_FILES + 1).collect()
     if len(listed) <= FEW_FILES:
-        lines = [(row["path"].rsplit("/", 1)[-1], _first_line(spark, row["path"])) for row in listed]
-        return spark.createDataFrame(lines, "file string, header string")
+        firsts = [
+            spark.read.text(row["path"]).limit(1).select(F.lit(row["path"].rsplit("/", 1)[-1]).alias("file"), "value")
+            for row in listed
+        ]
+        return reduce(DataFrame.unionAll, firsts).withColumnRenamed("value", "header")
     text = spark.read.text(path).select(
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
