@@ -546,8 +546,8 @@ from quiet group by step, grp"""),
         "mann_whitney": _with([*_TIMING_CTES, _TESTED], _rank_sums("metric", "tested")),
         "mann_whitney_by_step": _with([*_LOG_CTES, _QUIET_STEPS], _rank_sums("step", "quiet")),
         "welch_t": _with([*_TIMING_CTES, _TESTED], """
-select metric, round((m1 - m2) / sqrt(v1 + v2), 4) as t,
-  round((v1 + v2) * (v1 + v2) / (v1 * v1 / (n1 - 1) + v2 * v2 / (n2 - 1)), 4) as df
+select metric, round((m1 - m2) / nullif(sqrt(v1 + v2), 0), 4) as t,
+  round((v1 + v2) * (v1 + v2) / nullif(v1 * v1 / (n1 - 1) + v2 * v2 / (n2 - 1), 0), 4) as df
 from (select metric, avg(ms) filter (grp = 'TREATMENT') as m1, avg(ms) filter (grp = 'CONTROL') as m2,
     var_samp(ms) filter (grp = 'TREATMENT') / count(*) filter (grp = 'TREATMENT') as v1,
     var_samp(ms) filter (grp = 'CONTROL') / count(*) filter (grp = 'CONTROL') as v2,
