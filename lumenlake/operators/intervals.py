@@ -20,8 +20,8 @@ def newest_after(marks: DataFrame, mark_time: str, facts: DataFrame, fact_time:
         latest.withColumn("_kind", F.lit(1)).withColumn("_mark", F.lit(None).cast(points.schema["_mark"].dataType))
     )
     timeline = timeline.withColumn("_us", _micros("_at"))
-    bounds = quantile_bounds(timeline, "_us")
-    timeline = timeline.withColumn("_slice", chunk_of(F.col("_us"), bounds))
+    times = marks.select(_micros(mark_time).alias("_us")).unionAll(facts.select(_micros(fact_time)))
+    timeline = timeline.withColumn("_slice", chunk_of(F.col("_us"), quantile_bounds(times, "_us")))
     owned = carry_forward(timeline, ["_slice"], ["_us", "_kind"], "_mark", "_owner")
     return (
         owned.where("_kind = 1 and _owner is not null")
@@ -49,7 +49,8 @@ def count_overlaps(runs: DataFrame, start: str, end: str, by: list[str]) -> Data
     instants = instants.groupBy(*by, "_at").agg(
         *(F.sum(c).alias(c) for c in ("_ended", "_started", "_empty"))
     ).withColumn("_us", _micros("_at"))
-    total = running_total(instants, "_us", "_ended", "_done", by)
+    times = runs.select(F.explode(F.array(_micros(start), _micros(end))).alias("_us"))
+    total = running_total(instants, "_us", "_ended", "_done", by, quantile_bounds(times, "_us"))
     empty = F.col("_empty")
     misses = F.col("_started") * F.col("_done") - empty - (empty * (empty - 1) / 2).cast("bigint")
     return total.groupBy(*by).agg(F.sum("_started").alias("n_runs"), F.sum(misses).alias("_misses")).select(

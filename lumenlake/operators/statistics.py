@@ -10,7 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumenlake.operators.ordering import running_total
+from lumenlake.operators.ordering import quantile_bounds, running_total
 
 
 def value_counts(rows: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -32,8 +32,8 @@ def summarise(rows: DataFrame, by: list[str], value: str, extra: list[Column] |
 
 def median(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     """Mean of the middle values, found from running counts per distinct value."""
-    ranked = running_total(value_counts(rows, by, value), value, "_n", "_upto", by)
-    sizes = ranked.groupBy(*by).agg(F.sum("_n").alias("_all"))
+    ranked = running_total(value_counts(rows, by, value), value, "_n", "_upto", by, quantile_bounds(rows, value))
+    sizes = rows.groupBy(*by).agg(F.count(value).alias("_all"))
     low, high = F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1")
     below = F.col("_upto") - F.col("_n")
     holds = lambda place: (below < place) & (place <= F.col("_upto"))
@@ -44,12 +44,6 @@ def median(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     )
 
 
-def average_ranks(rows: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
-    """(by, value, _n, name): rank of each distinct value, ties sharing their mean rank."""
-    counted = running_total(value_counts(rows, by, value), value, "_n", "_upto", by)
-    return counted.withColumn(name, F.col("_upto") - (F.col("_n") - 1) / 2).drop("_upto")
-
-
 def mann_whitney(rows: DataFrame, value: str, first: Column, by: list[str]) -> DataFrame:
     """U of the sample marked by ``first`` against the rest, with its normal z.
 
@@ -58,7 +52,8 @@ def mann_whitney(rows: DataFrame, value: str, first: Column, by: list[str]) -> D
     counts = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
         F.count_if(first).alias("_in"), F.count("*").alias("_n")
     )
-    ranked = running_total(counts, value, "_n", "_upto", by).withColumn("_rank", F.col("_upto") - (F.col("_n") - 1) / 2)
+    ranked = running_total(counts, value, "_n", "_upto", by, quantile_bounds(rows, value))
+    ranked = ranked.withColumn("_rank", F.col("_upto") - (F.col("_n") - 1) / 2)
     ties = F.col("_n").cast("double")
     sums = ranked.groupBy(*by).agg(
         F.sum("_in").alias("n_first"),
@@ -96,7 +91,7 @@ def spearman(rows: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     weighted = lambda column: pairs.groupBy(*by, column).agg(F.sum("_w").alias("_n"))
 
     def ranks(column: str, name: str) -> DataFrame:
-        counted = running_total(weighted(column), column, "_n", "_upto", by)
+        counted = running_total(weighted(column), column, "_n", "_upto", by, quantile_bounds(rows, column))
         return counted.select(*by, column, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(name))
 
     both = pairs.join(ranks(x, "_rx"), by + [x]).join(ranks(y, "_ry"), by + [y])

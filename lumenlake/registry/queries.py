@@ -105,7 +105,7 @@ def constraint_violations(r: Relations) -> DataFrame:
     Checked rows are written before they are filtered: a filter would move
     into the wide projection and evaluate it twice.
     """
-    text = r.workspace.table("broken_text", lambda: r.raw(changed=BROKEN_TEXT))
+    text = r.raw(changed=BROKEN_TEXT)
     faults = lambda: bronze.type_columns(text).select("bill_number", "missing", "violations")
     return r.workspace.table("broken_faults", faults).where("violations <> ''")
 
