@@ -83,6 +83,7 @@ REQUIRED_HEADERS = [
 # Message formats stored with rejected rows and failed loads.
 MISSING_REASON = "Campos obrigatórios nulos: [{}]"
 HEADER_VALID = "Schema validado com sucesso: {} colunas"
+HEADER_UNREADABLE = "Não foi possível ler o CSV para validação de schema: {}"
 HEADER_INVALID = "Schema inválido: {} colunas faltando, {} colunas extras. Faltando: {}. Extras: {}"
 
 # Text that a flag column uses for "yes".

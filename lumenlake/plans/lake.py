@@ -187,23 +187,27 @@ class Lake:
         running.update(status=self.terms.running, auto_resolved=False, n_rows=None)
         self._append("control", CONTROL, {**event, **running, "event_at": started})
 
-        if self_healing:
-            report = extract.header_report(extract.header_lines(self.spark, path))
-            broken = report.where("not valid").orderBy("file").limit(1).collect()
-            if broken:
-                flags["bad_header"] = True
-                return finish(broken[0]["message"])
         try:
+            if self_healing:
+                report = extract.header_report(extract.header_lines(self.spark, path))
+                worst = report.orderBy("valid", "file").limit(1).collect()
+                if not worst:
+                    raise ValueError("no columns to read")
+                if not worst[0]["valid"]:
+                    flags["bad_header"] = True
+                    return finish(worst[0]["message"])
             header = extract.read_header(self.spark, path)
-        except Exception as unreadable:
-            finish(str(unreadable))
+        except (AnalysisException, ValueError) as unreadable:
+            flags["bad_header"] = self_healing
+            return finish(contract.HEADER_UNREADABLE.format(str(unreadable).split("\n")[0]))
         target = f"{self._path('checked')}/load_id={load_id}"
         with extract.pinned_splits(self.spark):
             scan = extract.scan_extract(self.spark, path, header)
             offsets = f"{self._path('splits')}/load_id={load_id}"
             extract.split_offsets(scan).write.mode("overwrite").parquet(offsets)
             offsets = broadcast_if_small(self.spark.read.parquet(offsets), SPLIT_LIMIT)
-            checked = bronze.check(extract.with_row_numbers(scan, offsets)).withColumn("loaded_at", F.lit(started).cast("timestamp_ntz"))
+            checked = bronze.check(extract.with_row_numbers(scan, offsets))
+            checked = checked.withColumn("loaded_at", F.lit(started).cast("timestamp_ntz"))
             checked.write.mode("overwrite").partitionBy("is_valid").parquet(target)
         written = self.spark.read.schema(_ddl(CHECKED)).parquet(target)
         counts = bronze.totals(written).first()

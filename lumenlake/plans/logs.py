@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lumenlake.contract import PUBLISHED_TERMS, Terms
+from lumenlake.functions.money import guarded_percent
 from lumenlake.operators import statistics
 from lumenlake.operators.ordering import carry_forward, chunk_of, quantile_bounds
 from lumenlake.sources import logtext
@@ -127,7 +128,7 @@ def overhead_summary(summary: DataFrame, terms: Terms = PUBLISHED_TERMS) -> Data
     ).where("control_mean is not null and treatment_mean is not null")
     for value in ("mean", "median"):
         difference = F.col(f"treatment_{value}") - F.col(f"control_{value}")
-        change = F.when(F.col(f"control_{value}") >= 1, difference * 100 / F.col(f"control_{value}"))
+        change = guarded_percent(difference, F.col(f"control_{value}"))
         sides = sides.withColumn(f"{value}_difference", difference).withColumn(f"{value}_change_pct", change)
     return sides
 

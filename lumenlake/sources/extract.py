@@ -36,7 +36,7 @@ def header_lines(spark: SparkSession, path: str) -> DataFrame:
     first split.
     """
     listed = spark.read.format("binaryFile").load(path).select("path").limit(FEW_FILES + 1).collect()
-    if len(listed) <= FEW_FILES:
+    if 0 < len(listed) <= FEW_FILES:
         firsts = [
             spark.read.text(row["path"]).limit(1).select(F.lit(row["path"].rsplit("/", 1)[-1]).alias("file"), "value")
             for row in listed

@@ -111,6 +111,15 @@ def test_header_fault(spark, tmp_path, lines):
     assert lake.loads().where("load_id = 2").first()["fault_type"] == "DADOS_NULOS"
 
 
+def test_unreadable_files_are_header_faults(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    for load_id, name in enumerate(("empty.csv", "absent.csv"), 1):
+        with pytest.raises(LoadFailed, match="Não foi possível ler"):
+            lake.load(str(tmp_path / name), load_id)
+    assert {(r["status"], r["fault_type"]) for r in lake.loads().collect()} == {("ERRO", "SCHEMA")}
+
+
 def test_ragged_and_inadmissible_rows(spark, tmp_path, lines):
     short, long, letters = list(lines[0])[:-3], list(lines[1]) + ["more"], list(lines[2])
     letters[0] = "12x"
