@@ -3,8 +3,7 @@
 A feature is the presence of an n-gram of 3 to 6 characters in the lower-cased
 text.  Its value is the log-count ratio: the logarithm of how much likelier
 the n-gram is in toxic texts than in others, from smoothed document counts.
-Logistic regression is fitted on these values; the part of a weight the data
-do not ask for shrinks to zero.
+Logistic regression is fitted on these values, both classes weighing the same.
 
 The fit uses a bounded sample of labelled rows: at most about ``sample_rows``
 whole texts of each class, chosen by the hash of the id.  N-grams are counted
@@ -33,9 +32,9 @@ from lumenlake.llm.common import remainder, seeded_hash, ship, text_or_empty, wr
 SAMPLE_ROWS = 2500
 SIZES = (3, 4, 5, 6)
 MIN_DOCS = 5
-MIN_RATIO = 1.0
-PENALTY = 0.02
-ROUNDS = 200
+MIN_RATIO = 1.5
+PENALTY = 0.002
+ROUNDS = 300
 REJECT = 0.7
 _BITS = 22
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -134,12 +133,13 @@ def _regress(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, penalty:
     squares = np.bincount(owner, x * x, minlength=len(rows))
     weights, intercept = np.zeros(len(ratios)), 0.0
     ahead, ahead_0, pace = weights.copy(), 0.0, 1.0
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     rate = 1 / (0.25 * (squares.mean() * 4 + 1) + penalty)
     for _ in range(rounds):
         margin = np.bincount(owner, x * ahead[columns], minlength=len(rows)) + ahead_0
-        miss = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y
-        slope = np.bincount(columns, x * miss[owner], minlength=len(ratios)) / len(y) + penalty * ahead
-        new, new_0 = ahead - rate * slope, ahead_0 - rate * miss.mean() * 4
+        miss = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) * share
+        slope = np.bincount(columns, x * miss[owner], minlength=len(ratios)) + penalty * ahead
+        new, new_0 = ahead - rate * slope, ahead_0 - 4 * rate * miss.sum()
         step = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
         ahead, ahead_0 = new + (pace - 1) / step * (new - weights), new_0 + (pace - 1) / step * (new_0 - intercept)
         weights, intercept, pace = new, new_0, step
@@ -177,7 +177,6 @@ def fit(
     found = sample.mapInPandas(placed, "toxic int, at array<long>").toPandas()
     rows = [np.asarray(at, dtype=np.int64) for at in found["at"]]
     weights, intercept = _regress(rows, found["toxic"].to_numpy(dtype=float), ratios, penalty, ROUNDS)
-    # The sample holds more toxic rows than the corpus: the intercept gives that back.
     return ToxicityModel(bare.hashes, weights * ratios, float(intercept))
 
 
