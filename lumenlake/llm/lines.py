@@ -69,7 +69,8 @@ class LineIndex:
 
     def add(self, lines: DataFrame) -> None:
         """Enter a batch of (h1, h2, doc_id)."""
-        fresh = lines.repartition(self.buckets, "h1", "h2").groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"))
+        # Aggregated before it is dealt out: a hot line is one row per map task.
+        fresh = lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner")).repartition(self.buckets, "h1", "h2")
         for name in self.runs():
             fresh = fresh.join(self.spark.table(name).select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
         self._enter(self._write_run(fresh), 0)
