@@ -56,9 +56,9 @@ def learn_rotation(sample: np.ndarray, bits: int, seed: int, rounds: int = ROUND
     mean = sample.mean(axis=0)
     centred = sample - mean
     dims = centred.shape[1]
-    _, _, axes = np.linalg.svd(centred, full_matrices=True)
+    _, axes = np.linalg.eigh(centred.T @ centred)  # dims x dims; a factorisation of the rows would not be
     basis = np.linalg.qr(rng.standard_normal((dims, dims)))[0] if bits < dims else np.eye(dims)
-    axes = axes.T @ basis  # all components, mixed: tables with fewer bits than dimensions see different ones
+    axes = axes @ basis  # all components, mixed: tables with fewer bits than dimensions see different ones
     axes = np.tile(axes, (1, -(-bits // dims)))[:, :bits]
     reduced = centred @ axes
     turn = np.linalg.qr(rng.standard_normal((bits, bits)))[0]
