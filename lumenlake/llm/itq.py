@@ -118,7 +118,8 @@ def _candidates(codes: DataFrame, bits: int, tables: int, radius: int, furthest:
         (F.col("t") == F.col("p_t")) & (F.col("code") == F.col("p_code"))
         & (~F.col("same") | (F.col("p_node") < F.col("node"))) & (apart <= furthest)
     )
-    pairs = probes.join(entries, met).select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"))
+    # Spark sizes the probes by the table they are exploded from and would broadcast them.
+    pairs = probes.join(entries.hint("merge"), met).select(F.least("node", "p_node").alias("a"), F.greatest("node", "p_node").alias("b"))
     return pairs.distinct()
 
 
