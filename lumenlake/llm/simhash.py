@@ -135,7 +135,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, de
         (F.col("entry") == F.col("p_entry")) & (F.col("fp") != F.col("p_fp")) & (F.col("tie") != F.col("p_tie"))
         & (apart <= max_bits) & (~F.col("same") | (F.col("p_fp") < F.col("fp")))
     )
-    found = probes.join(tables, match).select(F.col("p_fp").alias("a"), F.col("fp").alias("b"))
+    # Spark sizes the probes by the table they are exploded from and might broadcast them.
+    found = probes.join(tables.hint("merge"), match).select(F.col("p_fp").alias("a"), F.col("fp").alias("b"))
     if ties is not None:
         found = found.unionByName(ties.where("fp <> tie").select(F.col("fp").alias("a"), F.col("tie").alias("b")))
     return found
