@@ -54,7 +54,7 @@ def words_of(text: str) -> Counter:
 
 
 def grams_of(word: str, size: int) -> list[str]:
-    marked = f" {word} "
+    marked = f" {word} " if size > 1 else word
     return [marked[i : i + size] for i in range(len(marked) - size + 1)]
 
 

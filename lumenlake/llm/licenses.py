@@ -122,7 +122,7 @@ RULES = [
 
 UNKNOWN = "|"
 CUT = "\x01"
-SENTENCE_END = r"([.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09\x0D]*\n"
+SENTENCE_END = r"([.!?;])[\x20\x09-\x0D]+|:[\x20\x09\x0D]*\n|\n[\x20\x09\x0D]*\n"
 ANCHORS = r"(?i)licen[sc]e|permi|redistribut|conditions|warrant|software"
 
 
