@@ -1,19 +1,20 @@
 """Deterministic masking of identifying columns.
 
-Works on the text columns of the extract.  Label tables are written once to
-the workspace and broadcast only when measured small.
+Works on the text columns of the extract.  Every call makes its own label
+tables from the rows it masks; a value without a label fails the job.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lumenlake import contract
 from lumenlake.functions import parsing
-from lumenlake.operators.broadcasting import broadcast_if_small
 from lumenlake.operators.ordering import number_rows
 from lumenlake.plans.workspace import Workspace
+from lumenlake.sources import extract
 
 # Masked headers, label texts and widths, identifier formats.
 MASKED_HEADERS = [
@@ -35,6 +36,17 @@ def require_columns(header: list[str]) -> None:
         raise ValueError(f"columns missing from the extract: {absent}")
 
 
+def _written(workspace: Workspace, name: str, rows: DataFrame) -> DataFrame:
+    """A table of its own for every call: a mapping is never used on other rows than its own."""
+    return workspace.table(f"{name}-{uuid.uuid4().hex}", lambda: rows)
+
+
+def _mapped(label: Column, original: Column, stays: Column) -> Column:
+    """The label; what has none must be allowed to stay as it is, or the job fails."""
+    unmapped = F.raise_error(F.lit("a value has no masked counterpart")).cast("string")
+    return F.when(label.isNotNull(), label).when(original.isNull() | stays, original).otherwise(unmapped)
+
+
 def _padded(number: Column, width: int) -> Column:
     """Zero-padded; a longer number keeps all its digits."""
     text = number.cast("string")
@@ -50,55 +62,75 @@ def appearance_numbers(rows: DataFrame, column: str, skip_blank: bool = False) -
 
 
 def address_labels(rows: DataFrame, workspace: Workspace) -> DataFrame:
-    """Street, complement and district become numbered labels; a blank complement stays."""
+    """Street, complement and district become numbered labels; a blank complement stays.
+
+    Blank complements are most of the rows and never match: they pass beside the join.
+    """
     columns = rows.columns
     for column, prefix in LABELS.items():
         blank = column == "complement"
-        places = workspace.table(f"mask_{column}", lambda c=column, b=blank: appearance_numbers(rows, c, b))
+        places = _written(workspace, f"mask_{column}", appearance_numbers(rows, column, blank))
         label = F.concat(F.lit(prefix), _padded(F.col("place"), LABEL_WIDTH)).alias("_label")
-        labelled = rows.join(broadcast_if_small(places.select(column, label)), column, "left")
-        rows = labelled.withColumn(column, F.coalesce("_label", column)).select(*columns)
+        bare = F.coalesce(parsing.is_blank(F.col(column)), F.lit(True)) if blank else F.col(column).isNull()
+        labelled = rows.where(~bare).join(places.select(column, label), column, "left")
+        masked = labelled.withColumn(column, _mapped(F.col("_label"), F.col(column), F.lit(False))).select(*columns)
+        rows = masked.unionByName(rows.where(bare))
     return rows
 
 
+def _hash_rank(rows: DataFrame, column: str, salt: str, name: str) -> DataFrame:
+    """Add ``name``: the rank by the seeded hash of a column with distinct values.
+
+    Ranked inside chunks by the leading digits of the hash; only the sizes of
+    at most 65 536 chunks pass through one window.
+    """
+    hashed = rows.withColumn("_hash", F.md5(F.concat(F.lit(f"{SEED}:{salt}:"), F.col(column).cast("string")).cast("binary")))
+    hashed = hashed.withColumn("_chunk", F.substring("_hash", 1, 4))
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = hashed.groupBy("_chunk").agg(F.count("*").alias("_n"))
+    offsets = sizes.select("_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_chunk").orderBy("_hash"))
+    ranked = hashed.withColumn("_place", inside).join(offsets, "_chunk")
+    return ranked.withColumn(name, F.col("_before") + F.col("_place")).drop("_hash", "_chunk", "_place", "_before")
+
+
 def house_number_map(rows: DataFrame, workspace: Workspace) -> DataFrame:
     """(house_number, masked): distinct numbers to distinct free numbers.
 
     The pool is every number that is not an original, up to a bound that
-    leaves at least as many free numbers as there are originals.  Places in
-    the pool are spread by a step without common factor with its size.
+    leaves more free numbers than there are originals.  The n-th original by
+    its seeded hash gets the n-th pool number by another.
     """
-    digits = rows.where(F.col("house_number").rlike("^[0-9]+$"))
-    originals = workspace.table("mask_house_places", lambda: appearance_numbers(digits, "house_number"))
+    digits = rows.where(F.col("house_number").rlike("^[0-9]+$")).select("house_number").distinct()
+    originals = _written(workspace, "mask_house_originals", digits)
     taken = originals.select(F.col("house_number").try_cast("bigint").alias("id")).where("id is not null").distinct()
-    n = originals.count()
-    bound = max(LARGEST_HOUSE_NUMBER, 2 * n + 1)
+    bound = LARGEST_HOUSE_NUMBER + 2 * originals.count()
     pool = rows.sparkSession.range(1, bound + 1).join(taken, "id", "left_anti")
-    pool = workspace.table("mask_house_pool", lambda: number_rows(pool, "id", {"slot": None}))
-    size = max(pool.count(), 1)
-    step = next(s for s in range(SEED % size + 1, SEED % size + size + 2) if math.gcd(s, size) == 1)
-    slot = F.pmod(F.col("place") * F.lit(step).cast("decimal(38,0)"), F.lit(size).cast("decimal(38,0)")) + 1
-    placed = originals.withColumn("slot", slot.cast("bigint"))
+    pool = _hash_rank(_written(workspace, "mask_house_pool", pool), "id", "pool", "slot")
+    placed = _hash_rank(originals, "house_number", "original", "slot")
     return placed.join(pool, "slot").select("house_number", F.col("id").cast("string").alias("masked"))
 
 
 def house_numbers(rows: DataFrame, workspace: Workspace) -> DataFrame:
-    """Text such as S/N has no entry in the map and is kept."""
-    numbers = workspace.table("mask_house_number", lambda: house_number_map(rows, workspace))
-    joined = rows.join(broadcast_if_small(numbers), "house_number", "left")
-    masked = F.coalesce("masked", "house_number")
+    """Text such as S/N has no entry in the map and is kept; a number without one fails."""
+    numbers = _written(workspace, "mask_house_number", house_number_map(rows, workspace))
+    joined = rows.join(numbers, "house_number", "left")
+    masked = _mapped(F.col("masked"), F.col("house_number"), ~F.col("house_number").rlike("^[0-9]+$"))
     return joined.withColumn("house_number", masked).drop("masked").select(*rows.columns)
 
 
 def postal_codes(rows: DataFrame, workspace: Workspace) -> DataFrame:
-    """The municipality's commonest five-digit prefix, the smallest on a tie."""
-    return rows.join(
-        broadcast_if_small(workspace.table("mask_postal_code", lambda: modal_prefixes(rows))), "municipality"
-    ).withColumn("postal_code", F.concat("_prefix", F.lit("-000"))).drop("_prefix").select(*rows.columns)
+    """The municipality's commonest five-digit prefix, the smallest on a tie.
+
+    Rows without municipality are a group of their own; where all postal codes are null they stay null.
+    """
+    prefixes = _written(workspace, "mask_postal_code", modal_prefixes(rows)).withColumnRenamed("municipality", "_of")
+    joined = rows.join(prefixes, rows["municipality"].eqNullSafe(prefixes["_of"]), "left")
+    return joined.withColumn("postal_code", F.concat("_prefix", F.lit("-000"))).select(*rows.columns)
 
 
 def modal_prefixes(rows: DataFrame) -> DataFrame:
-    counts = rows.groupBy("municipality", F.substring("postal_code", 1, 5).alias("_prefix")).agg(
+    counts = rows.where(F.col("postal_code").isNotNull()).groupBy("municipality", F.substring("postal_code", 1, 5).alias("_prefix")).agg(
         F.count("*").alias("_n")
     )
     best = F.row_number().over(Window.partitionBy("municipality").orderBy(F.desc("_n"), "_prefix"))
@@ -135,10 +167,9 @@ def identifiers(rows: DataFrame, per_row: bool = True, workspace: Workspace | No
     if per_row:
         numbered = numbered.withColumn("installation", _padded(F.col("_seq"), 10))
     else:
-        places = workspace.table("mask_installation", lambda: appearance_numbers(rows, "installation"))
-        numbered = numbered.join(broadcast_if_small(places), "installation", "left").withColumn(
-            "installation", F.coalesce(_padded(F.col("place"), 10), "installation")
-        )
+        places = _written(workspace, "mask_installation", appearance_numbers(rows, "installation"))
+        label = _mapped(_padded(F.col("place"), 10), F.col("installation"), F.lit(False))
+        numbered = numbered.join(places, "installation", "left").withColumn("installation", label)
     account = F.when(F.col("_follows"), F.concat(F.lit("00"), "installation")).otherwise(
         F.concat(F.lit("0030"), _padded(F.col("_own"), 8))
     )
@@ -152,13 +183,30 @@ def identifiers(rows: DataFrame, per_row: bool = True, workspace: Workspace | No
 
 
 def mask(rows: DataFrame, workspace: Workspace, per_row: bool = True) -> DataFrame:
-    """The whole extract masked; ``line_no`` must be a unique integer row number."""
+    """The whole extract masked; ``line_no`` must be a unique integer row number.
+
+    Refuses rows that lack a masked or helper column.  Records that the scan
+    marked as too long, and quotes inside a masked text, fail the job: their
+    fields may have shifted into columns that are not masked.
+    """
+    names = {c.header: c.name for c in contract.COLUMNS}
+    require_columns([header for header, name in names.items() if name in rows.columns])
+    broken = F.coalesce(F.concat_ws("", *(F.col(names[h]) for h in MASKED_HEADERS)).contains('"'), F.lit(False))
+    if "too_long" in rows.columns:
+        broken = broken | F.coalesce("too_long", F.lit(False))
+    street, fault = F.col("street"), F.raise_error(F.lit("a record cannot be told apart into its fields"))
+    rows = rows.withColumn("street", F.when(broken, fault.cast("string")).otherwise(street))
     masked = address_labels(rows, workspace)
     masked = house_numbers(masked, workspace)
     masked = coordinates(postal_codes(masked, workspace))
     return identifiers(masked, per_row, workspace).select(*rows.columns)
 
 
+def mask_extract(rows: DataFrame, target: str, workspace: Workspace, per_row: bool = True) -> None:
+    """Mask the rows of a scan, numbered as ``line_no``, and write them in the form of the extract."""
+    extract.write_extract(mask(rows, workspace, per_row), target)
+
+
 def equality_audit(before: DataFrame, after: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per column: distinct values before, after and together; equal when nothing merged or split.
 

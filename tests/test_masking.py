@@ -39,7 +39,8 @@ def test_mask(spark, workspace):
     assert [found[i]["postal_code"] for i in (10, 40)] == ["11111-000", "33333-000"]
     assert found[30]["house_number"] == "S/N" and found[10]["house_number"] == found[50]["house_number"]
     numbers = {found[i]["house_number"] for i in (10, 20, 40)}
-    assert len(numbers) == 3 and not numbers & {"7", "9", "07"} and all(1 <= int(n) <= 9999 for n in numbers)
+    assert len(numbers) == 3 and not numbers & {"7", "9", "07"}
+    assert all(1 <= int(n) <= masking.LARGEST_HOUSE_NUMBER + 2 * 3 for n in numbers)
     assert [found[i]["installation"] for i in (10, 20, 50)] == ["0000000001", "0000000002", "0000000005"]
     assert [found[i]["contract_account"] for i in (10, 20, 30, 40, 50)] == [
         "000000000001", "003000000001", "000000000003", "003000000002", "003000000003"]
@@ -64,3 +65,57 @@ def test_house_numbers_stay_injective_when_the_small_range_is_full(spark, worksp
     assert audit["preserved"] and audit["n_old"] == 12000
     changed = masking.house_numbers(many, workspace).where("cast(house_number as int) between 1 and 12000").count()
     assert changed == 0
+
+
+MASKED_TEXTS = ["street", "house_number", "complement", "district"]
+
+
+def second_extract(spark):
+    return rows(spark).withColumns({
+        "street": F.concat(F.lit("SECRET "), "street"), "district": F.concat(F.lit("HIDDEN "), "district"),
+        "house_number": F.concat(F.lit("55"), "line_no"), "complement": F.concat(F.lit("FLAT "), "line_no"),
+        "installation": F.concat(F.lit("99"), "installation"),
+    })
+
+
+def test_a_second_extract_in_the_same_workspace_is_masked_too(spark, workspace):
+    for extract in (rows(spark), second_extract(spark)):
+        found = masking.mask(extract, workspace, per_row=False).collect()
+        assert len(found) == extract.count()
+        for column in MASKED_TEXTS + ["installation"]:
+            original = {r[column] for r in extract.collect() if (r[column] or "").strip() and r[column] != "S/N"}
+            assert not original & {r[column] for r in found}, column
+
+
+def test_a_value_without_a_label_fails(spark):
+    frame = spark.createDataFrame([("x", None, False), (None, None, False), ("", None, True)], "v string, label string, stays boolean")
+    masked = frame.select("v", masking._mapped(F.col("label"), F.col("v"), F.col("stays")).alias("m"))
+    assert [r["m"] for r in masked.where("v is null or v = ''").collect()] == [None, ""]
+    with pytest.raises(Exception, match="no masked counterpart"):
+        masked.collect()
+
+
+def test_rows_without_municipality_stay(spark, workspace):
+    data = [(1, None, "11111-1"), (2, None, "11111-9"), (3, "M", "22222-2"), (4, "N", None)]
+    frame = spark.createDataFrame(data, "line_no bigint, municipality string, postal_code string")
+    found = {r["line_no"]: r["postal_code"] for r in masking.postal_codes(frame, workspace).collect()}
+    assert found == {1: "11111-000", 2: "11111-000", 3: "22222-000", 4: None}
+
+
+def test_unsound_records_are_refused(spark, workspace):
+    with pytest.raises(ValueError, match="columns missing"):
+        masking.mask(rows(spark).drop("street"), workspace)
+    for broken in (rows(spark).withColumn("too_long", F.col("line_no") == 20), rows(spark).withColumn("street", F.lit('a"b'))):
+        with pytest.raises(Exception, match="cannot be told apart"):
+            masking.mask(broken, workspace).collect()
+
+
+def test_masked_extract_is_written_in_its_own_form(spark, workspace, tmp_path):
+    from lumenlake import contract
+    from lumenlake.sources import extract
+
+    before = derived.bills_raw(spark, SF).withColumn("line_no", F.col("line_no").cast("bigint")).where("line_no <= 40")
+    masking.mask_extract(before, str(tmp_path / "masked"), workspace)
+    after = extract.scan_extract(spark, str(tmp_path / "masked"))
+    assert after.count() == 40 and set(contract.NAMES) <= set(after.columns)
+    assert after.where("street like 'RUA FICTICIA %'").count() == 40
