@@ -7,6 +7,7 @@ Layout under the root, all Parquet::
     control/                                load events, the last one counts
     trials/                                 trial events, the last one counts
     <table>/load_id=N                       rows load N added to a normalised table
+    rejects/load_id=N                       payments and rebills of load N that were left out
     levy_base/                              the served base relation
 
 A load writes its rows once.  The raw snapshot, the history and the
@@ -25,7 +26,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lumenlake import contract
 from lumenlake.contract import PUBLISHED_TERMS, Terms
-from lumenlake.operators.broadcasting import broadcast_if_small
 from lumenlake.operators.keys import insert_if_absent
 from lumenlake.plans import bronze, gold, silver
 from lumenlake.sources import extract, locate
@@ -45,8 +45,6 @@ CHECKED = {
     "file_name": "string", "too_long": "boolean", "row_number": "bigint", "missing": "string", "violations": "string",
     "reason": "string", "loaded_at": "timestamp_ntz", "is_valid": "boolean",
 }
-# One short row per 128 MB of input: about 100 TB of it may be broadcast.
-SPLIT_LIMIT = 1_000_000
 ABSENT_FILE = "(ausente)"
 
 # Natural keys by which a normalised table takes only rows it lacks.
@@ -200,21 +198,29 @@ class Lake:
         except (AnalysisException, ValueError) as unreadable:
             flags["bad_header"] = self_healing
             return finish(contract.HEADER_UNREADABLE.format(str(unreadable).split("\n")[0]))
+        try:
+            counts, fault = self._store(path, load_id, header, started, self_healing)
+        except Exception as broken:
+            finish(f"{type(broken).__name__}: {str(broken).splitlines()[0]}" if str(broken) else type(broken).__name__)
+        return finish(fault, counts["n_rows"], counts["n_quarantined"])
+
+    def _store(self, path: str, load_id: int, header: list[str], started: datetime, self_healing: bool):
+        """Write the checked rows; returns their counts and, without healing, the first fault."""
         target = f"{self._path('checked')}/load_id={load_id}"
         with extract.pinned_splits(self.spark):
             scan = extract.scan_extract(self.spark, path, header)
             offsets = f"{self._path('splits')}/load_id={load_id}"
             extract.split_offsets(scan).write.mode("overwrite").parquet(offsets)
-            offsets = broadcast_if_small(self.spark.read.parquet(offsets), SPLIT_LIMIT)
+            offsets = self.spark.read.parquet(offsets)
             checked = bronze.check(extract.with_row_numbers(scan, offsets))
             checked = checked.withColumn("loaded_at", F.lit(started).cast("timestamp_ntz"))
             checked.write.mode("overwrite").partitionBy("is_valid").parquet(target)
         written = self.spark.read.schema(_ddl(CHECKED)).parquet(target)
         counts = bronze.totals(written).first()
-        error = None
+        fault = None
         if counts["n_quarantined"] and not self_healing:
-            error = bronze.first_fault(written, "row_number").first()["reason"]
-        return finish(error, counts["n_rows"], counts["n_quarantined"])
+            fault = bronze.first_fault(written, "row_number").first()["reason"]
+        return counts, fault
 
     def _outcome(self, n_rows: int, n_quarantined: int, flags: dict[str, bool], self_healing: bool) -> dict:
         summary = self.spark.createDataFrame([(n_rows, n_quarantined)], "n_rows bigint, n_quarantined bigint")
@@ -230,16 +236,23 @@ class Lake:
             rows = self.spark.read.schema(_ddl({**CHECKED, "load_id": "bigint"})).parquet(self._path("checked"))
         except AnalysisException:
             raise LoadFailed("no load has finished") from None
-        return rows.where(F.col("is_valid") == valid).join(broadcast_if_small(ids), "load_id", "left_semi")
+        return rows.where(F.col("is_valid") == valid).join(ids, "load_id", "left_semi")
 
     def history(self) -> DataFrame:
         """Valid rows of all released loads."""
         return self._checked(True).drop("is_valid", "missing", "violations", "reason", "too_long")
 
+    def latest_load(self) -> int:
+        """The load released last, whatever its number."""
+        released = self.loads().where((F.col("status") == self.terms.success) & F.col("load_id").isNotNull())
+        found = released.agg(F.max_by("load_id", F.struct("event_at", "load_id"))).first()[0]
+        if found is None:
+            raise LoadFailed("no load has finished")
+        return found
+
     def raw(self) -> DataFrame:
         """Valid rows of the latest released load."""
-        released = self.loads().where(F.col("status") == self.terms.success)
-        return self.history().where(F.col("load_id") == released.agg(F.max("load_id")).first()[0])
+        return self.history().where(F.col("load_id") == self.latest_load())
 
     def quarantine(self) -> DataFrame:
         rows = self._checked(False)
@@ -276,7 +289,7 @@ class Lake:
         load; across loads the earlier load wins.
         """
         raw = self.raw()
-        load_id = raw.select("load_id").first()[0]
+        load_id = self.latest_load()
         raw = raw.withColumn("line_no", F.col("row_number"))
         for name in ("commercial_status", "bill_status", "tariff_categories", "municipalities",
                      "regulatory_profiles", "addresses", "customers"):
@@ -289,6 +302,12 @@ class Lake:
         billed = self.table("bills")
         for name in ("payments", "taxes", "reading_cycles", "rebills", "levies"):
             self._insert(name, getattr(silver, name)(raw, billed), load_id)
+        rejects = silver.null_in_required_fact(raw)
+        rejects.write.mode("overwrite").parquet(f"{self._path('rejects')}/load_id={load_id}")
+
+    def rejects(self) -> DataFrame:
+        """Rows whose payment or rebill was left out, with the reason, of all normalised loads."""
+        return self.spark.read.parquet(self._path("rejects"))
 
     # --- served layer -------------------------------------------------------
 

@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
-# Name pattern of fallback files and the messages reported.
+# Fixed value: name pattern of fallback files.
 FALLBACK_PATTERN = "Amostra*.csv"
-NO_PRIMARY = "Arquivo primário '{}' não encontrado (fallback desativado: FEATURE_AUTOCORRECAO=OFF)"
-NO_CANDIDATE = "Nenhum arquivo Amostra*.csv encontrado em {}"
+NO_PRIMARY = "{}: no such file, and taking another one is switched off"
+NO_CANDIDATE = "{}: no file to load, neither the named one nor any " + FALLBACK_PATTERN
 
 
 @dataclass(frozen=True)

@@ -151,12 +151,12 @@ def test_fallback_to_the_newest_candidate(spark, tmp_path, lines):
     event = lake.load_file(str(inbox), "Main.csv", 1, attempt=Attempt(3, 11066))
     assert event["file_name"] == "Amostra_new.csv" and event["fault_type"] == "CONEXAO"
     assert event["mechanism"] == "RETRY_BACKOFF+FALLBACK_ARQUIVO" and event["auto_resolved"]
-    with pytest.raises(LoadFailed, match="FEATURE_AUTOCORRECAO=OFF"):
+    with pytest.raises(LoadFailed, match="switched off"):
         lake.load_file(str(inbox), "Main.csv", 2, self_healing=False)
     missing = lake.loads().where("load_id is null").first()
     assert (missing["file_name"], missing["mechanism"], missing["attempts"]) == ("(ausente)", "FALLBACK_ARQUIVO", 1)
     assert locate.locate(spark, str(inbox), "Other.csv").path.endswith("Other.csv")
-    assert locate.locate(spark, str(tmp_path / "lake"), "x.csv").message.startswith("Nenhum arquivo")
+    assert locate.locate(spark, str(tmp_path / "lake"), "x.csv").message.endswith("Amostra*.csv")
 
 
 def counts(lake):
@@ -200,3 +200,52 @@ def test_masking_contract():
     with pytest.raises(ValueError, match="CEP"):
         masking.require_columns([h for h in contract.HEADERS if h != "CEP"])
     masking.require_columns(contract.HEADERS)
+
+
+def test_a_failure_after_the_header_check_ends_the_load(spark, tmp_path, lines, monkeypatch):
+    path = write(tmp_path / "a.csv", lines)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    monkeypatch.setattr("lumenlake.plans.bronze.totals", lambda *_: 1 / 0)
+    with pytest.raises(LoadFailed, match="ZeroDivisionError"):
+        lake.load(path, 1)
+    row = lake.loads().first()
+    assert row["status"] == TERMS.error and row["ended_at"] is not None and "ZeroDivisionError" in row["error"]
+    monkeypatch.undo()
+    lake.load(path, 1)
+    assert lake.raw().count() == len(lines)
+
+
+def test_the_latest_load_is_the_one_released_last(spark, tmp_path, lines):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.load(write(tmp_path / "a.csv", lines[:20]), 5)
+    lake.load(write(tmp_path / "b.csv", lines[20:50]), 3)
+    assert {r["load_id"] for r in lake.raw().select("load_id").distinct().collect()} == {3}
+    assert lake.raw().count() == 30
+
+
+def test_dropped_payments_and_rebills_are_kept_as_rejects(spark, tmp_path, lines):
+    copy = [list(r) for r in lines[:12]]
+    names = contract.NAMES
+    for r in copy:
+        r[names.index("paid_on")], r[names.index("paid_amount")] = "01/02/2024", "5,00"
+        r[names.index("rebilled")], r[names.index("rebilled_on")] = "", ""
+    copy[3][names.index("paid_amount")] = ""
+    copy[7][names.index("rebilled")] = contract.YES_WORDS[0]
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.load(write(tmp_path / "a.csv", copy), 1)
+    lake.normalise()
+    assert sorted(r["fault"] for r in lake.rejects().collect()) == ["payment without amount", "rebill without date"]
+    lake.normalise()
+    assert lake.rejects().count() == 2
+
+
+def test_a_header_without_rows_goes_all_the_way(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    write(tmp_path / "empty.csv", [[]], end="\n")
+    try:
+        lake.load(str(tmp_path / "empty.csv"), 1)
+    except LoadFailed:
+        assert lake.loads().first()["status"] == TERMS.error
+    else:
+        lake.normalise()
+        assert lake.table("bills").count() == 0
