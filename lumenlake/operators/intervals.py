@@ -51,11 +51,14 @@ def count_overlaps(runs: DataFrame, start: str, end: str, by: list[str]) -> Data
     ).withColumn("_us", _micros("_at"))
     times = runs.select(F.explode(F.array(_micros(start), _micros(end))).alias("_us"))
     total = running_total(instants, "_us", "_ended", "_done", by, quantile_bounds(times, "_us"))
-    empty = F.col("_empty")
-    misses = F.col("_started") * F.col("_done") - empty - (empty * (empty - 1) / 2).cast("bigint")
-    return total.groupBy(*by).agg(F.sum("_started").alias("n_runs"), F.sum(misses).alias("_misses")).select(
-        *by, "n_runs", (F.expr("n_runs * (n_runs - 1) div 2") - F.col("_misses")).alias("n_overlapping")
-    )
+    # Products of counts outgrow 64 bits at a few thousand million runs.
+    exact = lambda name: F.col(name).cast("decimal(19,0)")
+    pairs = lambda n: (n * (n - 1) / 2).cast("decimal(38,0)")
+    empty = exact("_empty")
+    misses = (exact("_started") * exact("_done")).cast("decimal(38,0)") - empty - pairs(empty)
+    summed = total.groupBy(*by).agg(F.sum("_started").alias("n_runs"), F.sum(misses.cast("decimal(38,0)")).alias("_misses"))
+    overlapping = (pairs(exact("n_runs")) - F.col("_misses")).cast("decimal(38,0)")
+    return summed.select(*by, "n_runs", overlapping.alias("n_overlapping"))
 
 
 def _micros(column: str):

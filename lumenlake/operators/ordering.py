@@ -35,14 +35,14 @@ def number_rows(rows: DataFrame, order: str, names: dict[str, Column | None], bl
 
 
 def quantile_bounds(rows: DataFrame, order: str, parts: int | None = None) -> list:
-    """Cut points that spread the values of a column evenly over ``parts`` chunks.
+    """Cut points that spread the values of a column evenly over ``parts`` chunks, one per shuffle partition.
 
     One aggregate; the driver receives at most ``parts`` numbers.  Taken over
     the rows before they are reduced to distinct values, the bounds still hold:
     a chunk has no more distinct values than rows.
     """
     if parts is None:
-        parts = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 256)
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if parts < 2:
         return []
     shares = [i / parts for i in range(1, parts)]

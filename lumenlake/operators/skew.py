@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lumenlake.operators.broadcasting import ROW_LIMIT
-
 HOT_ROWS = 100_000
 
 
@@ -13,17 +11,14 @@ def join_many(unique: DataFrame, many: DataFrame, key: str, hot_rows: int = HOT_
     """Left join of a side with one row per key to a side with any number.
 
     An outer join cannot be split on its right side at run time.  So keys
-    with more than ``hot_rows`` rows there are found by a count, at most one
-    per ``hot_rows`` rows, and their rows stay where they are while the few
-    rows of the unique side are broadcast to them.  All other keys are joined
-    by shuffle.
+    with more than ``hot_rows`` rows there, at most one per ``hot_rows`` rows,
+    are joined apart by an inner join, which can: adaptive execution broadcasts
+    the few rows of the unique side if they are small in bytes, and splits the
+    hot partitions otherwise.  All other keys are joined by shuffle.
     """
     hot = many.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(key)
-    found = [row[0] for row in hot.limit(ROW_LIMIT + 1).collect()]
-    if not found or len(found) > ROW_LIMIT:
+    if hot.isEmpty():
         return unique.join(many, key, "left")
-    hot = F.broadcast(unique.sparkSession.createDataFrame([(k,) for k in found], many.select(key).schema))
-    few = F.broadcast(unique.join(hot, key, "left_semi"))
-    spread = many.join(few, key)
+    spread = many.join(unique.join(hot, key, "left_semi"), key)
     rest = unique.join(hot, key, "left_anti").join(many.join(hot, key, "left_anti"), key, "left")
     return rest.unionByName(spread.select(rest.columns))

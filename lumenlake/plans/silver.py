@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lumenlake import contract
 from lumenlake.functions import parsing
-from lumenlake.operators.broadcasting import broadcast_if_small
 from lumenlake.operators.keys import first_wins
 
 ADDRESS_KEY = ["street", "house_number", "complement", "postal_code"]
@@ -177,8 +176,8 @@ def bills(raw: DataFrame, known: DataFrame, installed: DataFrame) -> DataFrame:
         _customer_type().alias("_own"),
         parsing.is_yes_word(F.col("cancelled"), contract.YES_WORDS).alias("cancelled"),
     )
-    rows = rows.join(broadcast_if_small(installed.select("installation")), "installation", "left_semi")
-    rows = rows.join(broadcast_if_small(both), "customer_name", "left")
+    rows = rows.join(installed.select("installation"), "installation", "left_semi")
+    rows = rows.join(both, "customer_name", "left")
     types = F.when(F.col("_types").isNull(), F.array("_own")).otherwise(
         F.array(F.lit(contract.PERSON), F.lit(contract.COMPANY))
     )

@@ -100,3 +100,13 @@ def test_median_matches_python(spark):
         mine = [v for g, v in values if g == r["g"]]
         assert r["median"] == plain.median(mine) and r["n"] == len(mine)
         assert r["stdev"] == (pytest.approx(plain.stdev(mine)) if len(mine) > 1 else None)
+
+
+def test_overlaps_of_more_runs_than_64_bits_can_pair(spark, monkeypatch):
+    """Four thousand million runs, all at once: counts are put in, not rows."""
+    rows = spark.sql("select 'a' as g, timestamp_ntz'2024-01-01 00:00:00' as s, timestamp_ntz'2024-01-01 01:00:00' as e")
+    real = intervals.F.count
+    monkeypatch.setattr(intervals.F, "count", lambda c: real(c) * F.lit(4_000_000_000))
+    found = intervals.count_overlaps(rows, "s", "e", ["g"]).first()
+    n = 4_000_000_000
+    assert (found["n_runs"], int(found["n_overlapping"])) == (n, n * (n - 1) // 2)

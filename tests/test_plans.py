@@ -5,8 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lumenlake.operators.broadcasting import broadcast_if_small
 from lumenlake.operators.keys import first_wins
+from lumenlake.operators.ordering import quantile_bounds
 from lumenlake.operators.skew import join_many
 from lumenlake.plans import gold, logs, silver
 from lumenlake.registry.queries import _QUERIES
@@ -59,14 +59,14 @@ def test_only_summaries_pass_one_partition(relations):
     assert re.match(r"[^\n]*\n[\s:+|*()\d-]*(Sort|Object)?(Hash)?Aggregate", below)
 
 
-def test_broadcast_follows_the_count(spark):
-    rows = spark.range(1000)
-    assert "rightHint" in join_hint(rows, broadcast_if_small(rows, 1000))
-    assert "rightHint" not in join_hint(rows, broadcast_if_small(rows, 999))
-
-
-def join_hint(left, right):
-    return left.join(right, "id")._jdf.queryExecution().optimizedPlan().toString()
+def test_chunks_grow_with_the_shuffle_partitions(spark):
+    rows = spark.range(20000).selectExpr("id as v")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "400")
+        assert len(quantile_bounds(rows, "v")) > 300
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_hot_keys_are_spread(spark):
