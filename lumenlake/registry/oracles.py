@@ -8,7 +8,7 @@ is repeated here.
 from __future__ import annotations
 
 from lumenlake import contract
-from lumenlake.plans import silver
+from lumenlake.plans import masking, silver
 from lumenlake.registry.queries import INSERT_SPLIT_MONTH, RENAMED
 from lumenlake.registry.relations import DATES, DECIMALS
 from lumenlake.sources import derived
@@ -316,6 +316,26 @@ def _pad(number: str, width: int) -> str:
     return f"lpad({text}, cast(greatest({width}, length({text})) as int), '0')"
 
 
+_MASKED_IDS = f"""
+select line_no, {_pad('seq', 10)} as installation, case when follows then '00' || {_pad('seq', 10)}
+  else '0030' || {_pad('own', 8)} end as contract_account, '0' || billing_month || {_pad('seq', 9)} as bill_number,
+  '3' || {_pad('seq', 11)} as print_document
+from (select *, row_number() over (order by line_no) as seq,
+    sum(case when follows then 0 else 1 end) over (order by line_no) as own
+  from (select cast(line_no as bigint) as line_no, billing_month, contract_account = '00' || installation as follows
+    from raw))"""
+_HOUSE_CTES = [
+    "originals as (select distinct house_number from raw where regexp_full_match(house_number, '[0-9]+'))",
+    f"""pool as (select id from (select unnest(generate_series(1, (select {masking.LARGEST_HOUSE_NUMBER} + 2 * count(*)
+  from originals))) as id) where id not in (select try_cast(house_number as bigint) from originals
+  where try_cast(house_number as bigint) is not null))""",
+    f"""house_map as (select house_number, cast(id as varchar) as masked
+from (select house_number, row_number() over (order by md5('{masking.SEED}:original:' || house_number)) as slot
+  from originals)
+join (select id, row_number() over (order by md5('{masking.SEED}:pool:' || id)) as slot from pool) using (slot))""",
+]
+
+
 def _coordinate(c: str) -> str:
     rounded = f"cast(round(cast(replace({c}, ',', '.') as decimal(18,12)), 2) as decimal(18,2))"
     return f"case when {c} = '' then '' else replace(cast({rounded} as varchar), '.', ',') || '0000000000' end as {c}"
@@ -444,6 +464,13 @@ select distinct on ({_ADDRESS}) {_ADDRESS}, district, municipality from valid v
 where billing_month >= '{INSERT_SPLIT_MONTH}' and not exists (select 1 from valid w
   where w.billing_month < '{INSERT_SPLIT_MONTH}' and {' and '.join(f'w.{k} = v.{k}' for k in silver.ADDRESS_KEY)})
 order by {_ADDRESS}, line_no"""),
+        "preview_table": _with(_BILL_CTES, f"""select {_shown(silver.BILL)} from (select * from bills
+order by {', '.join(f'{c} nulls first' for c in silver.BILL)} limit 100)"""),
+        "null_in_required_fact": _with([_RAW, _TYPED], """
+select line_no, bill_number, case when paid_on is not null and paid_amount is null then 'payment without amount'
+  else 'rebill without date' end as fault
+from typed where (paid_on is not null and paid_amount is null)
+  or (rebilled_on is null and rebilled in ('S', 'SIM', '1', 'TRUE', 'T'))"""),
         "unmatched_rows": _with([*_VALID_CTES, _PAIRS, _INSTALLATIONS], """
 select line_no, bill_number, case when consumption_class not in (select consumption_class from pairs)
   then 'consumption_class' when (consumption_class, consumption_subclass) not in (select
@@ -591,14 +618,22 @@ from raw r join (select distinct on (municipality) municipality, substring(posta
             [_RAW],
             f"select cast(line_no as bigint) as line_no, {_coordinate('latitude')}, {_coordinate('longitude')} from raw",
         ),
-        "mask_identifiers": _with([_RAW], f"""
-select line_no, {_pad('seq', 10)} as installation, case when follows then '00' || {_pad('seq', 10)}
-  else '0030' || {_pad('own', 8)} end as contract_account, '0' || billing_month || {_pad('seq', 9)} as bill_number,
-  '3' || {_pad('seq', 11)} as print_document
-from (select *, row_number() over (order by line_no) as seq,
-    sum(case when follows then 0 else 1 end) over (order by line_no) as own
-  from (select cast(line_no as bigint) as line_no, billing_month, contract_account = '00' || installation as follows
-    from raw))"""),
+        "mask_identifiers": _with([_RAW], _MASKED_IDS),
+        "mask_house_number": _with([_RAW, *_HOUSE_CTES], """
+select cast(line_no as bigint) as line_no, coalesce(m.masked, r.house_number) as house_number
+from raw r left join house_map m on m.house_number = r.house_number"""),
+        "mask_extract": _with([*_LABEL_CTES, *_HOUSE_CTES], f"""
+select cast(r.line_no as bigint) as line_no, s.label as street, coalesce(m.masked, r.house_number) as house_number,
+  coalesce(c.label, r.complement) as complement, p.prefix || '-000' as postal_code, d.label as district,
+  {_coordinate('latitude')}, {_coordinate('longitude')}, i.installation, i.contract_account, i.bill_number,
+  i.print_document
+from raw r left join street_labels s on s.street = r.street left join district_labels d on d.district = r.district
+left join complement_labels c on c.complement = r.complement
+left join house_map m on m.house_number = r.house_number
+left join (select distinct on (municipality) municipality as place, substring(postal_code, 1, 5) as prefix from raw
+  where postal_code is not null group by municipality, prefix order by municipality, count(*) desc, prefix) p
+  on p.place is not distinct from r.municipality
+join ({_MASKED_IDS}) i on i.line_no = cast(r.line_no as bigint)"""),
         "mask_equality_audit": _with([_RAW], " union all ".join(
             f"select '{c}' as name, count(distinct {c}) as n_old, count(distinct {c}) as n_new,"
             f" count(distinct {c}) as n_pairs, true as preserved from raw"

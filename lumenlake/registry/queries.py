@@ -12,7 +12,7 @@ from lumenlake.functions import parsing
 from lumenlake.operators.keys import insert_if_absent
 from lumenlake.plans import bronze, gold, logs, masking, reliability, silver
 from lumenlake.registry.relations import DATES, DECIMALS, Relations
-from lumenlake.sources import extract, locate, logtext
+from lumenlake.sources import extract, logtext
 from lumenlake.sources.derived import BROKEN_TEXT
 
 Query = Callable[[Relations], DataFrame]
@@ -54,12 +54,6 @@ def header_contract_report(r: Relations) -> DataFrame:
     ).distinct()
 
 
-@_query
-def source_fallback_pick(r: Relations) -> DataFrame:
-    files = locate.listing(r.spark, r.extract_path(), "*.csv")
-    return locate.newest(files)
-
-
 @_query
 def parse_dates(r: Relations) -> DataFrame:
     rows = r.numbered(DATES)
@@ -223,9 +217,16 @@ def unmatched_rows(r: Relations) -> DataFrame:
     return silver.unmatched_rows(r.valid(), r.silver("installations"))
 
 
+@_query
+def null_in_required_fact(r: Relations) -> DataFrame:
+    """Payments and rebills that the normalised tables leave out, from all typed rows."""
+    return silver.null_in_required_fact(r.checked())
+
+
 @_query
 def preview_table(r: Relations) -> DataFrame:
-    return r.silver("bills").limit(100)
+    """The first hundred bills by all their columns."""
+    return r.silver("bills").select(*silver.BILL).orderBy(*silver.BILL).limit(100)
 
 
 # --- served layer ------------------------------------------------------------
@@ -418,6 +419,15 @@ def mask_identifiers(r: Relations) -> DataFrame:
     return masking.identifiers(r.numbered(names)).drop("billing_month")
 
 
+@_query
+def mask_extract(r: Relations) -> DataFrame:
+    """Every masked column of the extract."""
+    names = {c.header: c.name for c in contract.COLUMNS}
+    masked = [names[h] for h in masking.MASKED_HEADERS]
+    helpers = [names[h] for h in masking.HELPER_HEADERS]
+    return masking.mask(r.numbered([*masked, *helpers]), r.workspace).select("line_no", *masked)
+
+
 @_query
 def mask_equality_audit(r: Relations) -> DataFrame:
     before = r.numbered(masking.EQUALITY_COLUMNS)
