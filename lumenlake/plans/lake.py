@@ -186,29 +186,29 @@ class Lake:
         self._append("control", CONTROL, {**event, **running, "event_at": started})
 
         try:
+            headers = extract.header_rows(self.spark, path)
+            if not headers:
+                raise ValueError("no columns to read")
             if self_healing:
-                report = extract.header_report(extract.header_lines(self.spark, path))
-                worst = report.orderBy("valid", "file").limit(1).collect()
-                if not worst:
-                    raise ValueError("no columns to read")
-                if not worst[0]["valid"]:
+                report = extract.header_report(extract.header_lines(self.spark, path, headers))
+                faults = report.where("not valid").orderBy("file").collect()
+                if faults:
                     flags["bad_header"] = True
-                    return finish(worst[0]["message"])
-            header = extract.read_header(self.spark, path)
+                    return finish(_header_faults(faults, len(headers)))
         except (AnalysisException, ValueError) as unreadable:
             flags["bad_header"] = self_healing
             return finish(contract.HEADER_UNREADABLE.format(str(unreadable).split("\n")[0]))
         try:
-            counts, fault = self._store(path, load_id, header, started, self_healing)
+            counts, fault = self._store(path, load_id, headers, started, self_healing)
         except Exception as broken:
             finish(f"{type(broken).__name__}: {str(broken).splitlines()[0]}" if str(broken) else type(broken).__name__)
         return finish(fault, counts["n_rows"], counts["n_quarantined"])
 
-    def _store(self, path: str, load_id: int, header: list[str], started: datetime, self_healing: bool):
+    def _store(self, path: str, load_id: int, headers: list[tuple[str, str]], started: datetime, self_healing: bool):
         """Write the checked rows; returns their counts and, without healing, the first fault."""
         target = f"{self._path('checked')}/load_id={load_id}"
         with extract.pinned_splits(self.spark):
-            scan = extract.scan_extract(self.spark, path, header)
+            scan = extract.scan_extract(self.spark, path, headers)
             offsets = f"{self._path('splits')}/load_id={load_id}"
             extract.split_offsets(scan).write.mode("overwrite").parquet(offsets)
             offsets = self.spark.read.parquet(offsets)
@@ -332,6 +332,13 @@ class Lake:
         return self.table(name).limit(rows)
 
 
+def _header_faults(faults: list, n_files: int) -> str:
+    """The message of one file as it is; of several files each behind its name."""
+    if n_files == 1:
+        return faults[0]["message"]
+    return "; ".join(f"{row['file']}: {row['message']}" for row in faults)
+
+
 def _ddl(schema: dict[str, str]) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in schema.items())
 

@@ -372,6 +372,7 @@ from trials t left join (select w.injected_at, max_by(l.load_id, (l.started_at,
     elapsed = _ms("started_at", "ended_at")
     return {
         "scan_bills": _with([_RAW], f"select {_names(every)} from raw"),
+        "scan_mixed_headers": _with([_RAW], f"select {_names(every)} from raw"),
         "header_contract_report": _header_rows(),
         "parse_dates": _with(_CHECKED_CTES, f"select line_no, {_shown(DATES)} from typed"),
         "parse_decimals": _with(_CHECKED_CTES, f"select line_no, {_shown(DECIMALS)} from typed"),

@@ -40,6 +40,19 @@ def scan_bills(r: Relations) -> DataFrame:
     return extract.scan_extract(r.spark, r.extract_path()).select(*contract.NAMES)
 
 
+@_query
+def scan_mixed_headers(r: Relations) -> DataFrame:
+    """A folder in which one file has the columns in another order."""
+    rows = r.numbered([c for c in contract.NAMES if c != "line_no"])
+    even = F.col("line_no") % 2 == 0
+
+    def write(path: str) -> None:
+        extract.write_extract(rows.where(even), f"{path}/forwards")
+        extract.write_extract(rows.where(~even), f"{path}/backwards", backwards=True)
+
+    return extract.scan_extract(r.spark, r.workspace.files("mixed_extract", write) + "/*").select(*contract.NAMES)
+
+
 @_query
 def header_contract_report(r: Relations) -> DataFrame:
     lines = extract.header_lines(r.spark, r.extract_path())

@@ -11,44 +11,50 @@ from lumenlake import contract
 
 SEPARATOR = ";"
 BOM = "\ufeff"
-FEW_FILES = 32
 _CORRUPT = "_corrupt"
 _SPLITS = "spark.sql.files.minPartitionNum"
-
-
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Header names of one file, or of the first one under a path; only its first line is fetched."""
-    lines = spark.read.text(path).limit(1).collect()
-    if not lines:
-        raise ValueError("no columns to read")
-    return split_header(lines[0][0])
+_ONE_SPLIT_PER_FILE = {"spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.files.minPartitionNum": "1"}
+_GROUP = 64
 
 
 def split_header(line: str) -> list[str]:
     return [name.strip('"') for name in line.removeprefix(BOM).rstrip("\r").split(SEPARATOR)]
 
 
-def header_lines(spark: SparkSession, path: str) -> DataFrame:
-    """First line of every file under a path: (file, header).
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
 
-    A few files are each limited to one line, so that no scan reads further.
-    Many files are read in one scan that keeps the earliest row id of each
-    first split.
+def header_rows(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(path, first line) of every file under a path, in path order.
+
+    Files are taken in groups, however many there are, and each is limited to
+    one line of one split, so no scan reads on.  The driver gets one line per
+    file of the listing it holds anyway.
     """
-    listed = spark.read.format("binaryFile").load(path).select("path").limit(FEW_FILES + 1).collect()
-    if 0 < len(listed) <= FEW_FILES:
-        firsts = [
-            spark.read.text(row["path"]).limit(1).select(F.lit(row["path"].rsplit("/", 1)[-1]).alias("file"), "value")
-            for row in listed
-        ]
-        return reduce(DataFrame.unionAll, firsts).withColumnRenamed("value", "header")
-    text = spark.read.text(path).select(
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("at"),
-        "value",
-    )
-    return text.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    listed = sorted(row["path"] for row in spark.read.format("binaryFile").load(path).select("path").collect())
+    found = []
+    with _settings(spark, _ONE_SPLIT_PER_FILE):
+        for at in range(0, len(listed), _GROUP):
+            firsts = [
+                spark.read.text(file).limit(1).select(F.lit(file).alias("path"), "value") for file in listed[at : at + _GROUP]
+            ]
+            found += [tuple(row) for row in reduce(DataFrame.unionAll, firsts).collect()]
+    return found
+
+
+def header_lines(spark: SparkSession, path: str, rows: list[tuple[str, str]] | None = None) -> DataFrame:
+    """First line of every file under a path: (file, header)."""
+    rows = header_rows(spark, path) if rows is None else rows
+    return spark.createDataFrame([(file.rsplit("/", 1)[-1], header) for file, header in rows], "file string, header string")
 
 
 def header_report(headers: DataFrame, expected: list[str] | None = None) -> DataFrame:
@@ -91,14 +97,26 @@ def pinned_splits(spark: SparkSession):
             spark.conf.unset(_SPLITS)
 
 
-def scan_extract(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
-    """All declared columns as text, blanks kept as '', columns matched by name.
+def scan_extract(spark: SparkSession, path: str, headers: list[tuple[str, str]] | None = None) -> DataFrame:
+    """All declared columns as text, blanks kept as '', columns matched by name in each file.
 
     Adds ``file_name``; ``too_long`` marks records with more fields than the
     header, while records with fewer are padded with blanks.  A declared
-    column the header lacks comes back null.
+    column the header lacks comes back null.  Files with the same header are
+    scanned together; ``headers`` are those of header_rows, if known.
     """
-    header = header or read_header(spark, path)
+    headers = header_rows(spark, path) if headers is None else headers
+    if not headers:
+        raise ValueError("no columns to read")
+    files: dict[tuple[str, ...], list[str]] = {}
+    for file, line in headers:
+        files.setdefault(tuple(split_header(line)), []).append(file)
+    if len(files) == 1:
+        return _scan(spark, path, list(*files))
+    return reduce(DataFrame.unionAll, [_scan(spark, paths, list(header)) for header, paths in files.items()])
+
+
+def _scan(spark: SparkSession, path: str | list[str], header: list[str]) -> DataFrame:
     fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(header))]
     schema = T.StructType(fields + [T.StructField(_CORRUPT, T.StringType())])
     rows = (
@@ -157,10 +175,12 @@ def with_row_numbers(rows: DataFrame, offsets: DataFrame, name: str = "row_numbe
     return numbered.drop("_file", "_start", "_at", "_first", "_offset")
 
 
-def write_extract(rows: DataFrame, path: str, headers: dict[str, str] | None = None) -> None:
+def write_extract(
+    rows: DataFrame, path: str, headers: dict[str, str] | None = None, backwards: bool = False
+) -> None:
     """Write text columns as ';'-separated files with a header and a byte-order mark."""
     renamed = []
-    for i, column in enumerate(contract.COLUMNS):
+    for i, column in enumerate(contract.COLUMNS[::-1] if backwards else contract.COLUMNS):
         header = (headers or {}).get(column.header, column.header)
         renamed.append(F.col(column.name).alias(BOM + header if i == 0 else header))
     rows.select(*renamed).write.mode("overwrite").option("sep", SEPARATOR).option("header", True).option(

@@ -249,3 +249,28 @@ def test_a_header_without_rows_goes_all_the_way(spark, tmp_path):
     else:
         lake.normalise()
         assert lake.table("bills").count() == 0
+
+
+def test_files_of_a_folder_may_differ_in_column_order(spark, tmp_path, lines):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.csv", lines[:30])
+    write(tmp_path / "in" / "b.csv", [r[::-1] for r in lines[30:70]], contract.HEADERS[::-1])
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.load(str(tmp_path / "in"), 1)
+    names = ("customer_name", "district", "installation")
+    at = [contract.NAMES.index(n) for n in names]
+    found = sorted(tuple(r[n] for n in names) for r in lake.raw().collect())
+    assert found == sorted(tuple(r[i] for i in at) for r in lines[:70])
+    assert sorted(r["row_number"] for r in lake.raw().collect()) == list(range(1, 71))
+
+
+def test_every_faulty_header_of_many_files_is_named(spark, tmp_path, lines):
+    (tmp_path / "in").mkdir()
+    for i in range(70):
+        headers = contract.HEADERS if i % 30 else ["X", *contract.HEADERS[1:]]
+        write(tmp_path / "in" / f"f{i:02}.csv", lines[:2], headers)
+    assert len(extract.header_rows(spark, str(tmp_path / "in"))) == 70
+    lake = Lake(spark, str(tmp_path / "lake"))
+    with pytest.raises(LoadFailed) as failed:
+        lake.load(str(tmp_path / "in"), 1)
+    assert [name for name in ("f00", "f01", "f30", "f60") if name in str(failed.value)] == ["f00", "f30", "f60"]
