@@ -18,6 +18,8 @@ undo, and repeating a load replaces its own partitions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -283,7 +285,7 @@ class Lake:
         incoming.write.mode("overwrite").parquet(target)
 
     def normalise(self) -> None:
-        """Add the latest load to every normalised table, in dependency order.
+        """Add the latest load to every normalised table, in dependency order; independent ones together.
 
         Row numbers restart in each load, so first-wins compares rows of one
         load; across loads the earlier load wins.
@@ -291,19 +293,26 @@ class Lake:
         raw = self.raw()
         load_id = self.latest_load()
         raw = raw.withColumn("line_no", F.col("row_number"))
-        for name in ("commercial_status", "bill_status", "tariff_categories", "municipalities",
-                     "regulatory_profiles", "addresses", "customers"):
-            self._insert(name, getattr(silver, name)(raw), load_id)
+
+        def insert(name: str, *more: DataFrame) -> Callable[[], None]:
+            return lambda: self._insert(name, getattr(silver, name)(raw, *more), load_id)
+
+        _together(*(insert(name) for name in (
+            "commercial_status", "bill_status", "tariff_categories", "municipalities", "regulatory_profiles", "addresses",
+            "customers", "installations",
+        )))
         known = self.table("customers")
-        self._insert("customers_person", silver.customers_person(raw, known), load_id)
-        self._insert("customers_company", silver.customers_company(raw, known), load_id)
-        self._insert("installations", silver.installations(raw), load_id)
-        self._insert("bills", silver.bills(raw, known, self.table("installations")), load_id)
+        _together(
+            insert("customers_person", known),
+            insert("customers_company", known),
+            insert("bills", known, self.table("installations")),
+        )
         billed = self.table("bills")
-        for name in ("payments", "taxes", "reading_cycles", "rebills", "levies"):
-            self._insert(name, getattr(silver, name)(raw, billed), load_id)
         rejects = silver.null_in_required_fact(raw)
-        rejects.write.mode("overwrite").parquet(f"{self._path('rejects')}/load_id={load_id}")
+        _together(
+            *(insert(name, billed) for name in ("payments", "taxes", "reading_cycles", "rebills", "levies")),
+            lambda: rejects.write.mode("overwrite").parquet(f"{self._path('rejects')}/load_id={load_id}"),
+        )
 
     def rejects(self) -> DataFrame:
         """Rows whose payment or rebill was left out, with the reason, of all normalised loads."""
@@ -332,6 +341,13 @@ class Lake:
         return self.table(name).limit(rows)
 
 
+def _together(*steps: Callable[[], None]) -> None:
+    """Run steps that do not need each other at once; the first fault is raised when all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for ended in [pool.submit(step) for step in steps]:
+            ended.result()
+
+
 def _header_faults(faults: list, n_files: int) -> str:
     """The message of one file as it is; of several files each behind its name."""
     if n_files == 1:
