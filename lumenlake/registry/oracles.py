@@ -467,7 +467,7 @@ where billing_month >= '{INSERT_SPLIT_MONTH}' and not exists (select 1 from vali
 order by {_ADDRESS}, line_no"""),
         "preview_table": _with(_BILL_CTES, f"""select {_shown(silver.BILL)} from (select * from bills
 order by {', '.join(f'{c} nulls first' for c in silver.BILL)} limit 100)"""),
-        "null_in_required_fact": _with([_RAW, _TYPED], """
+        "null_in_required_fact": _with([f"raw as materialized ({derived.bills_raw_sql(changed=derived.UNFINISHED_TEXT)})", _TYPED], """
 select line_no, bill_number, case when paid_on is not null and paid_amount is null then 'payment without amount'
   else 'rebill without date' end as fault
 from typed where (paid_on is not null and paid_amount is null)

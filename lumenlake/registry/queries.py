@@ -13,7 +13,7 @@ from lumenlake.operators.keys import insert_if_absent
 from lumenlake.plans import bronze, gold, logs, masking, reliability, silver
 from lumenlake.registry.relations import DATES, DECIMALS, Relations
 from lumenlake.sources import extract, logtext
-from lumenlake.sources.derived import BROKEN_TEXT
+from lumenlake.sources.derived import BROKEN_TEXT, UNFINISHED_TEXT
 
 Query = Callable[[Relations], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -232,8 +232,11 @@ def unmatched_rows(r: Relations) -> DataFrame:
 
 @_query
 def null_in_required_fact(r: Relations) -> DataFrame:
-    """Payments and rebills that the normalised tables leave out, from all typed rows."""
-    return silver.null_in_required_fact(r.checked())
+    """Payments and rebills that the normalised tables leave out, from rows with lost amounts and dates."""
+    text = r.raw(changed=UNFINISHED_TEXT)
+    facts = ["line_no", "bill_number", "paid_on", "paid_amount", "rebilled", "rebilled_on"]
+    typed = r.workspace.table("unfinished", lambda: bronze.type_columns(text).select(*facts))
+    return silver.null_in_required_fact(typed)
 
 
 @_query

@@ -144,6 +144,12 @@ BROKEN_TEXT = {
     "line_no": "case when o.o_orderkey%113=0 then cast(o.o_orderkey as string)||'x' else cast(o.o_orderkey+1 as string) end",
 }
 
+# Payments whose amount and rebills whose date got lost.
+UNFINISHED_TEXT = {
+    "paid_amount": f"case when o.o_orderkey%37=0 then '' else {BILL_TEXT['paid_amount']} end",
+    "rebilled_on": f"case when o.o_orderkey%93=0 then '' else {BILL_TEXT['rebilled_on']} end",
+}
+
 
 def bills_raw_sql(
     table: str = "{}", names: list[str] | None = None, spark_sql: bool = False, changed: dict[str, str] | None = None
