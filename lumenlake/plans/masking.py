@@ -61,20 +61,23 @@ def appearance_numbers(rows: DataFrame, column: str, skip_blank: bool = False) -
     return number_rows(firsts, "_first", {"place": None}).drop("_first")
 
 
-def address_labels(rows: DataFrame, workspace: Workspace) -> DataFrame:
+def address_labels(rows: DataFrame, workspace: Workspace, source: DataFrame | None = None) -> DataFrame:
     """Street, complement and district become numbered labels; a blank complement stays.
 
-    Blank complements are most of the rows and never match: they pass beside the join.
+    Blank complements are most of the rows and never match: they pass beside
+    the join, which comes first so that little is read twice for it.  Labels
+    are made from ``source``, the same rows before other columns were masked.
     """
+    source = rows if source is None else source
     columns = rows.columns
-    for column, prefix in LABELS.items():
+    for column in sorted(LABELS, key=lambda c: c != "complement"):
         blank = column == "complement"
-        places = _written(workspace, f"mask_{column}", appearance_numbers(rows, column, blank))
-        label = F.concat(F.lit(prefix), _padded(F.col("place"), LABEL_WIDTH)).alias("_label")
-        bare = F.coalesce(parsing.is_blank(F.col(column)), F.lit(True)) if blank else F.col(column).isNull()
+        places = _written(workspace, f"mask_{column}", appearance_numbers(source, column, blank))
+        label = F.concat(F.lit(LABELS[column]), _padded(F.col("place"), LABEL_WIDTH)).alias("_label")
+        bare = F.coalesce(parsing.is_blank(F.col(column)), F.lit(True)) if blank else F.lit(False)
         labelled = rows.where(~bare).join(places.select(column, label), column, "left")
         masked = labelled.withColumn(column, _mapped(F.col("_label"), F.col(column), F.lit(False))).select(*columns)
-        rows = masked.unionByName(rows.where(bare))
+        rows = masked.unionByName(rows.where(bare)) if blank else masked
     return rows
 
 
@@ -111,20 +114,22 @@ def house_number_map(rows: DataFrame, workspace: Workspace) -> DataFrame:
     return placed.join(pool, "slot").select("house_number", F.col("id").cast("string").alias("masked"))
 
 
-def house_numbers(rows: DataFrame, workspace: Workspace) -> DataFrame:
+def house_numbers(rows: DataFrame, workspace: Workspace, source: DataFrame | None = None) -> DataFrame:
     """Text such as S/N has no entry in the map and is kept; a number without one fails."""
-    numbers = _written(workspace, "mask_house_number", house_number_map(rows, workspace))
+    source = rows if source is None else source
+    numbers = _written(workspace, "mask_house_number", house_number_map(source, workspace))
     joined = rows.join(numbers, "house_number", "left")
     masked = _mapped(F.col("masked"), F.col("house_number"), ~F.col("house_number").rlike("^[0-9]+$"))
     return joined.withColumn("house_number", masked).drop("masked").select(*rows.columns)
 
 
-def postal_codes(rows: DataFrame, workspace: Workspace) -> DataFrame:
+def postal_codes(rows: DataFrame, workspace: Workspace, source: DataFrame | None = None) -> DataFrame:
     """The municipality's commonest five-digit prefix, the smallest on a tie.
 
     Rows without municipality are a group of their own; where all postal codes are null they stay null.
     """
-    prefixes = _written(workspace, "mask_postal_code", modal_prefixes(rows)).withColumnRenamed("municipality", "_of")
+    prefixes = modal_prefixes(rows if source is None else source)
+    prefixes = _written(workspace, "mask_postal_code", prefixes).withColumnRenamed("municipality", "_of")
     joined = rows.join(prefixes, rows["municipality"].eqNullSafe(prefixes["_of"]), "left")
     return joined.withColumn("postal_code", F.concat("_prefix", F.lit("-000"))).select(*rows.columns)
 
@@ -196,10 +201,10 @@ def mask(rows: DataFrame, workspace: Workspace, per_row: bool = True) -> DataFra
         broken = broken | F.coalesce("too_long", F.lit(False))
     street, fault = F.col("street"), F.raise_error(F.lit("a record cannot be told apart into its fields"))
     rows = rows.withColumn("street", F.when(broken, fault.cast("string")).otherwise(street))
-    masked = address_labels(rows, workspace)
-    masked = house_numbers(masked, workspace)
-    masked = coordinates(postal_codes(masked, workspace))
-    return identifiers(masked, per_row, workspace).select(*rows.columns)
+    source = _written(workspace, "mask_rows", rows)  # read once for every mapping
+    masked = address_labels(identifiers(source, per_row, workspace), workspace, source)
+    masked = house_numbers(masked, workspace, source)
+    return coordinates(postal_codes(masked, workspace, source)).select(*rows.columns)
 
 
 def mask_extract(rows: DataFrame, target: str, workspace: Workspace, per_row: bool = True) -> None:
