@@ -1,47 +1,54 @@
 """Exact order statistics and two-sample tests.
 
-Spark reduces the rows to counts per value, sums and ranks; the tails of the
-distributions are evaluated on the single row that is left.
+Rows are reduced once to counts per value, which are written; moments, ranks
+and medians come from those.  The tails of the distributions are integrated
+in columns of the few rows that are left.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenlake.operators.ordering import quantile_bounds, running_total
+from lumenlake.plans.workspace import written
 
 
-def value_counts(rows: DataFrame, by: list[str], value: str) -> DataFrame:
-    return rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+def _value_counts(rows: DataFrame, by: list[str], value: str, *more: Column) -> DataFrame:
+    """One row per group and value, written: the input is read once, whatever follows."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"), *more)
+    return written(counts, "value-counts")
 
 
-def summarise(rows: DataFrame, by: list[str], value: str, extra: list[Column] | None = None) -> DataFrame:
-    """n, mean, sample deviation, min, max and exact median of the non-null values."""
-    plain = rows.where(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.count("*").alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("stdev"),
+def summarise(rows: DataFrame, by: list[str], value: str, ranges: list[str] | None = None) -> DataFrame:
+    """n, mean, sample deviation, min, max and exact median of the non-null values.
+
+    The median is the mean of the middle values, found from running counts per
+    distinct value.  ``ranges`` are further columns whose extremes are wanted.
+    """
+    ends = [(f"{name}_{c}", f, c) for c in ranges or [] for name, f in (("min", F.min), ("max", F.max))]
+    counts = _value_counts(rows, by, value, *(f(c).alias(alias) for alias, f, c in ends))
+    number, n = F.col(value).cast("double"), F.col("_n")
+    totals = counts.groupBy(*by).agg(
+        F.sum("_n").alias("n"),
+        (F.sum(number * n) / F.sum("_n")).alias("mean"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-        *(extra or []),
+        *(f(alias).alias(alias) for alias, f, _ in ends),
     )
-    return plain.join(median(rows, by, value), by)
-
-
-def median(rows: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Mean of the middle values, found from running counts per distinct value."""
-    ranked = running_total(value_counts(rows, by, value), value, "_n", "_upto", by, quantile_bounds(rows, value))
-    sizes = rows.groupBy(*by).agg(F.count(value).alias("_all"))
-    low, high = F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1")
-    below = F.col("_upto") - F.col("_n")
-    holds = lambda place: (below < place) & (place <= F.col("_upto"))
-    return (
-        ranked.join(sizes, by)
-        .groupBy(*by)
-        .agg(((F.min(F.when(holds(low), F.col(value))) + F.min(F.when(holds(high), F.col(value)))) / 2).alias("median"))
+    ranked = running_total(counts.select(*by, value, "_n"), value, "_n", "_upto", by).join(totals, by)
+    low, high = F.expr("(n + 1) div 2"), F.expr("n div 2 + 1")
+    below = F.col("_upto") - n
+    middle = lambda place: F.min(F.when((below < place) & (place <= F.col("_upto")), F.col(value)))
+    away = number - F.col("mean")
+    found = ranked.groupBy(*totals.columns).agg(
+        F.sum(n * away * away).alias("_away"), ((middle(low) + middle(high)) / 2).alias("median")
     )
+    stdev = F.when(F.col("n") > 1, F.sqrt(F.col("_away") / F.nullif(F.col("n") - 1, F.lit(0))))
+    extremes = [alias for alias, _, _ in ends]
+    return found.select(*by, "n", "mean", stdev.alias("stdev"), "min", "max", *extremes, "median")
 
 
 def mann_whitney(rows: DataFrame, value: str, first: Column, by: list[str]) -> DataFrame:
@@ -49,10 +56,8 @@ def mann_whitney(rows: DataFrame, value: str, first: Column, by: list[str]) -> D
 
     z has the tie correction and the continuity correction of one half.
     """
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
-        F.count_if(first).alias("_in"), F.count("*").alias("_n")
-    )
-    ranked = running_total(counts, value, "_n", "_upto", by, quantile_bounds(rows, value))
+    counts = _value_counts(rows, by, value, F.count_if(first).alias("_in"))
+    ranked = running_total(counts, value, "_n", "_upto", by)
     ranked = ranked.withColumn("_rank", F.col("_upto") - (F.col("_n") - 1) / 2)
     ties = F.col("_n").cast("double")
     sums = ranked.groupBy(*by).agg(
@@ -88,10 +93,11 @@ def welch(rows: DataFrame, value: str, first: Column, by: list[str]) -> DataFram
 def spearman(rows: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     """Rank correlation: average ranks of both columns, then their Pearson correlation."""
     pairs = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*by, x, y).agg(F.count("*").alias("_w"))
+    pairs = written(pairs, "value-pairs")
     weighted = lambda column: pairs.groupBy(*by, column).agg(F.sum("_w").alias("_n"))
 
     def ranks(column: str, name: str) -> DataFrame:
-        counted = running_total(weighted(column), column, "_n", "_upto", by, quantile_bounds(rows, column))
+        counted = running_total(weighted(column), column, "_n", "_upto", by, quantile_bounds(pairs, column))
         return counted.select(*by, column, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(name))
 
     both = pairs.join(ranks(x, "_rx"), by + [x]).join(ranks(y, "_ry"), by + [y])
@@ -107,45 +113,40 @@ def spearman(rows: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     return sums.select(*by, "n", rho.alias("rho"))
 
 
-# --- tails, evaluated on one aggregated row ---------------------------------
+# --- tails, as columns of the aggregated rows ---------------------------------
 
+_STEP, _REACH = 0.05, 80
 
-def normal_two_sided(z: float) -> float:
-    return min(1.0, math.erfc(z / math.sqrt(2)))
 
+def normal_two_sided(z: Column) -> Column:
+    """Both tails beyond a z that is taken from the larger U; 1 where it is not positive."""
+    return F.when(z <= 0, F.lit(1.0)).otherwise(_two_sided(z, lambda x: F.exp(-x * x / 2)))
 
-def student_two_sided(t: float, df: float) -> float:
-    """2 P(T > |t|) by the regularised incomplete beta function."""
-    return _beta_share(df / 2, 0.5, df / (df + t * t))
 
+def student_two_sided(t: Column, df: Column) -> Column:
+    """Both tails of Student's distribution beyond t; null without degrees of freedom."""
+    freedom = F.when(df > 0, df.cast("double"))
+    return _two_sided(t, lambda x: F.exp(-(freedom + 1) / 2 * F.log1p(x * x / freedom)))
 
-def spearman_two_sided(rho: float, n: int) -> float:
-    if abs(rho) >= 1:
-        return 0.0
-    return student_two_sided(rho * math.sqrt((n - 2) / (1 - rho * rho)), n - 2)
 
+def spearman_two_sided(rho: Column, n: Column) -> Column:
+    """By Student's distribution of rho; exact correlation has no tail, two pairs have no test."""
+    t = rho * F.sqrt((n - 2) / F.nullif(1 - rho * rho, F.lit(0.0)))
+    return F.when(F.abs(rho) >= 1, F.when(n > 2, F.lit(0.0))).otherwise(student_two_sided(t, n - 2))
 
-def _beta_share(a: float, b: float, x: float) -> float:
-    if x <= 0 or x >= 1:
-        return min(max(x, 0.0), 1.0)
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
-    if x > (a + 1) / (a + b + 2):
-        return 1 - front * _beta_fraction(b, a, 1 - x) / b
-    return front * _beta_fraction(a, b, x) / a
 
+def _two_sided(at: Column, density: Callable[[Column], Column]) -> Column:
+    """Area of a symmetric density beyond ``at``, as a share of the area beyond zero.
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function."""
-    c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1))
-    value = d
-    for m in range(1, 500):
-        for step in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1 / (1 + step * d)
-            c = 1 + step / c
-            value *= c * d
-        if abs(c * d - 1) < 1e-15:
-            break
-    return value
+    Exp-sinh quadrature: the distance from the lower end runs through
+    exp(pi/2 sinh u) at equal steps of u, which suits tails of any weight.
+    """
+    u = lambda i: i * F.lit(_STEP)
+    nodes = F.transform(
+        F.sequence(F.lit(-_REACH), F.lit(_REACH)),
+        lambda i: F.struct(F.exp(F.sinh(u(i)) * (math.pi / 2)).alias("x"), F.cosh(u(i)).alias("w")),
+    )
+    area = lambda low: F.aggregate(
+        nodes, F.lit(0.0), lambda total, k: total + k["x"] * k["w"] * density(low + k["x"])
+    )
+    return area(F.abs(at)) / area(F.lit(0.0))

@@ -150,18 +150,10 @@ def mann_whitney_by_step(landmarks: DataFrame, trials: DataFrame, terms: Terms =
 
 
 def overhead_tests(timings: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFrame:
-    """Both tests with their two-sided p-values, one row per tested metric.
-
-    The tails are evaluated here, on at most one row per metric.
-    """
-    spark = timings.sparkSession
-    both = mann_whitney(timings, terms).join(welch_t(timings, terms), "metric").orderBy("metric").limit(len(TESTED))
-    rows = []
-    for r in both.collect():
-        p_u = None if r["z"] is None else statistics.normal_two_sided(r["z"])
-        p_t = None if r["t"] is None else statistics.student_two_sided(r["t"], r["df"])
-        rows.append((r["metric"], r["u"], p_u, r["t"], r["df"], p_t))
-    return spark.createDataFrame(rows, "metric string, u double, p_u double, t double, df double, p_t double")
+    """Both tests with their two-sided p-values, one row per tested metric."""
+    u = mann_whitney(timings, terms).select("metric", "u", statistics.normal_two_sided(F.col("z")).alias("p_u"))
+    p_t = statistics.student_two_sided(F.col("t"), F.col("df")).alias("p_t")
+    return u.join(welch_t(timings, terms).select("metric", "t", "df", p_t), "metric")
 
 
 def welch_t(timings: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFrame:
@@ -175,6 +167,12 @@ def spearman_trend(landmarks: DataFrame, trials: DataFrame, terms: Terms = PUBLI
     return statistics.spearman(rows, ["grp", "step"], "iteration", "ms")
 
 
+def trend_tests(landmarks: DataFrame, trials: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFrame:
+    """The same correlations with their two-sided p-values."""
+    p = statistics.spearman_two_sided(F.col("rho"), F.col("n"))
+    return spearman_trend(landmarks, trials, terms).withColumn("p", p)
+
+
 def trend_first_last(
     landmarks: DataFrame, trials: DataFrame, terms: Terms = PUBLISHED_TERMS, size: int = 10
 ) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written to a folder of their own and read back, for plans that use them more than once."""
+    spark = rows.sparkSession
+    path = f"{shared_folder(spark)}/lumenlake/{spark.sparkContext.applicationId}/steps/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 class Workspace:
     """Tables written once per application and source, then read back.
 

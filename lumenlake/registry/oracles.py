@@ -341,11 +341,29 @@ def _coordinate(c: str) -> str:
     return f"case when {c} = '' then '' else replace(cast({rounded} as varchar), '.', ',') || '0000000000' end as {c}"
 
 
-def _rank_sums(key: str, rows: str) -> str:
+def _area(limit: str, density: str) -> str:
+    """Simpson's rule from 0 to the limit; the density is a function of x."""
+    at = density.replace("{x}", f"({limit} * i / 2000.0)")
+    weight = "case when i in (0, 2000) then 1 when i % 2 = 1 then 4 else 2 end"
+    return f"{limit} / 6000.0 * list_sum([({weight}) * {at} for i in range(0, 2001)])"
+
+
+def _normal_share(z: str) -> str:
+    inside = _area(f"least(abs({z}), 40)", "exp(-{x} * {x} / 2) / sqrt(2 * pi())")
+    return f"case when {z} <= 0 then 1.0 when {z} > 0 then greatest(1 - 2 * {inside}, 0) end"
+
+
+def _student_share(t: str, df: str) -> str:
+    scale = f"exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt({df} * pi())"
+    inside = _area(f"least(abs({t}), 60)", f"pow(1 + {{x}} * {{x}} / {df}, -({df} + 1) / 2)")
+    return f"case when {t} is not null then greatest(1 - 2 * {scale} * {inside}, 0) end"
+
+
+def _rank_sums(key: str, rows: str, digits: int = 4) -> str:
     ranks = _RANKED.format(key, "ms")
     return f"""
-select {key}, n_first, n_second, round(u, 4) as u, round((greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5)
-  / nullif(sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))), 0), 4) as z
+select {key}, n_first, n_second, round(u, {digits}) as u, round((greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5)
+  / nullif(sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1)))), 0), {digits}) as z
 from (select {key}, n_first, n_second, n_first::double as n1, n_second::double as n2,
     ranks - n_first::double * (n_first + 1) / 2 as u, ties
   from (select {key}, count(*) filter (grp = 'TREATMENT') as n_first, count(*) filter (grp = 'CONTROL') as n_second,
@@ -354,6 +372,24 @@ from (select {key}, n_first, n_second, n_first::double as n1, n_second::double a
         cast(count(*) over (partition by {key}, ms) as double) as same from {rows}) group by {key}))"""
 
 
+def _welch(digits: int) -> str:
+    return f"""
+select metric, round((m1 - m2) / nullif(sqrt(v1 + v2), 0), {digits}) as t,
+  round((v1 + v2) * (v1 + v2) / nullif(v1 * v1 / (n1 - 1) + v2 * v2 / (n2 - 1), 0), {digits}) as df
+from (select metric, avg(ms) filter (grp = 'TREATMENT') as m1, avg(ms) filter (grp = 'CONTROL') as m2,
+    var_samp(ms) filter (grp = 'TREATMENT') / count(*) filter (grp = 'TREATMENT') as v1,
+    var_samp(ms) filter (grp = 'CONTROL') / count(*) filter (grp = 'CONTROL') as v2,
+    count(*) filter (grp = 'TREATMENT') as n1, count(*) filter (grp = 'CONTROL') as n2 from tested group by metric)"""
+
+
+def _correlations(digits: int) -> str:
+    return f"""
+select grp, step, count(*) as n, round(corr(rx, ry), {digits}) as rho
+from (select grp, step, cast({_RANKED.format('grp, step', 'iteration')} as double) as rx,
+    cast({_RANKED.format('grp, step', 'ms')} as double) as ry from quiet where step in ('total', 'insert_rows'))
+group by grp, step"""
+
+
 def _summary_by_trial(value: str, extra: str = "") -> str:
     return _with(_TRIAL_CTES, f"""
 select grp, fault, count(*) as n, round(avg(v), 4) as mean, round(stddev_samp(v), 4) as stdev, min(v) as min,
@@ -573,18 +609,15 @@ select step, grp, count(*) as n, round(avg(ms), 4) as mean_ms, round(stddev_samp
 from quiet group by step, grp"""),
         "mann_whitney": _with([*_TIMING_CTES, _TESTED], _rank_sums("metric", "tested")),
         "mann_whitney_by_step": _with([*_LOG_CTES, _QUIET_STEPS], _rank_sums("step", "quiet")),
-        "welch_t": _with([*_TIMING_CTES, _TESTED], """
-select metric, round((m1 - m2) / nullif(sqrt(v1 + v2), 0), 4) as t,
-  round((v1 + v2) * (v1 + v2) / nullif(v1 * v1 / (n1 - 1) + v2 * v2 / (n2 - 1), 0), 4) as df
-from (select metric, avg(ms) filter (grp = 'TREATMENT') as m1, avg(ms) filter (grp = 'CONTROL') as m2,
-    var_samp(ms) filter (grp = 'TREATMENT') / count(*) filter (grp = 'TREATMENT') as v1,
-    var_samp(ms) filter (grp = 'CONTROL') / count(*) filter (grp = 'CONTROL') as v2,
-    count(*) filter (grp = 'TREATMENT') as n1, count(*) filter (grp = 'CONTROL') as n2 from tested group by metric)"""),
-        "spearman_trend": _with([*_LOG_CTES, _QUIET_STEPS], f"""
-select grp, step, count(*) as n, round(corr(rx, ry), 6) as rho
-from (select grp, step, cast({_RANKED.format('grp, step', 'iteration')} as double) as rx,
-    cast({_RANKED.format('grp, step', 'ms')} as double) as ry from quiet where step in ('total', 'insert_rows'))
-group by grp, step"""),
+        "welch_t": _with([*_TIMING_CTES, _TESTED], _welch(4)),
+        "overhead_tests": _with([*_TIMING_CTES, _TESTED], f"""
+select metric, round(u, 4) as u, round({_normal_share('z')}, 6) as p_u, round(t, 4) as t, round(df, 4) as df,
+  round({_student_share('t', 'df')}, 6) as p_t
+from ({_rank_sums('metric', 'tested', 15)}) join ({_welch(15)}) using (metric)"""),
+        "spearman_trend": _with([*_LOG_CTES, _QUIET_STEPS], _correlations(6)),
+        "trend_tests": _with([*_LOG_CTES, _QUIET_STEPS], f"""
+select grp, step, n, round(rho, 6) as rho, round({_student_share('t', '(n - 2)')}, 6) as p
+from (select *, rho * sqrt((n - 2) / (1 - rho * rho)) as t from ({_correlations(15)}))"""),
         "trend_first_last": _with([*_LOG_CTES, _QUIET_STEPS], """
 select grp, step, round(avg(ms) filter (early <= 10), 4) as first_mean_ms, round(avg(ms) filter (late <= 10), 4)
   as last_mean_ms

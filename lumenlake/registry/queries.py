@@ -380,6 +380,17 @@ def spearman_trend(r: Relations) -> DataFrame:
     return _rounded(logs.spearman_trend(r.landmarks(), r.trials(), ENGLISH_TERMS), 6, "rho")
 
 
+@_query
+def overhead_tests(r: Relations) -> DataFrame:
+    rows = _rounded(logs.overhead_tests(r.timings(), ENGLISH_TERMS), 4, "u", "t", "df")
+    return _rounded(rows, 6, "p_u", "p_t")
+
+
+@_query
+def trend_tests(r: Relations) -> DataFrame:
+    return _rounded(logs.trend_tests(r.landmarks(), r.trials(), ENGLISH_TERMS), 6, "rho", "p")
+
+
 @_query
 def trend_first_last(r: Relations) -> DataFrame:
     rows = logs.trend_first_last(r.landmarks(), r.trials(), ENGLISH_TERMS)

@@ -59,6 +59,15 @@ def test_only_summaries_pass_one_partition(relations):
     assert re.match(r"[^\n]*\n[\s:+|*()\d-]*(Sort|Object)?(Hash)?Aggregate", below)
 
 
+@pytest.mark.parametrize(
+    "name", ["duration_summary", "recovery_summary", "mann_whitney", "spearman_trend", "connect_failures"]
+)
+def test_statistics_read_their_input_once(relations, name):
+    """What is left after the counts are written reads nothing but the counts."""
+    files = _QUERIES[name](relations).inputFiles()
+    assert files and all("/steps/value-" in f for f in files)
+
+
 def test_chunks_grow_with_the_shuffle_partitions(spark):
     rows = spark.range(20000).selectExpr("id as v")
     before = spark.conf.get("spark.sql.shuffle.partitions")
