@@ -8,6 +8,7 @@ from lumenlake import contract
 from lumenlake.contract import Terms
 from lumenlake.functions import parsing
 
+OPEN_QUOTE = "A quoted field does not end on its line: load the file with multiline"
 _QUOTED = "', '"
 
 
@@ -31,6 +32,8 @@ def type_columns(raw: DataFrame) -> DataFrame:
     faults = [F.when(_is_inadmissible(c), c.header) for c in contract.COLUMNS if c.kind != "date"]
     if "too_long" in raw.columns:
         faults.append(F.when(F.col("too_long"), "*"))
+    if "open_quote" in raw.columns:
+        faults.append(F.when(F.col("open_quote"), '"'))
     return raw.select(
         *typed,
         *extra,
@@ -73,7 +76,8 @@ def check(raw: DataFrame) -> DataFrame:
     """Typed rows with ``is_valid`` and, for rejected ones, the ``reason``."""
     before, after = contract.MISSING_REASON.split("{}")
     typed = type_columns(raw)
-    reason = F.when(
+    torn = F.col("open_quote") if "open_quote" in raw.columns else F.lit(False)
+    reason = F.when(torn, OPEN_QUOTE).when(
         F.col("missing") != "", F.concat(F.lit(before + "'"), "missing", F.lit("'" + after))
     ).when(F.col("violations") != "", F.concat(F.lit("Inadmissible values: ['"), "violations", F.lit("']")))
     valid = (F.col("missing") == "") & (F.col("violations") == "")
@@ -81,7 +85,7 @@ def check(raw: DataFrame) -> DataFrame:
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:
-    return checked.where("is_valid").drop("missing", "violations", "is_valid", "reason", "too_long")
+    return checked.where("is_valid").drop("missing", "violations", "is_valid", "reason", "too_long", "open_quote")
 
 
 def rejected_rows(checked: DataFrame, row: str = "line_no", keep: list[str] | None = None) -> DataFrame:

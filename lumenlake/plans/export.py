@@ -1,7 +1,7 @@
 """Report files: CSV with a byte-order mark, and one Markdown document.
 
-Reports are small by construction (one row per group), and a report longer
-than the limit stays a distributed CSV instead of passing through the driver.
+Reports in the document are small by construction (one row per group); the
+caller says how many rows it takes, and a longer one is refused, not cut.
 """
 
 from __future__ import annotations
@@ -22,19 +22,19 @@ def write_csv(rows: DataFrame, path: str) -> None:
     marked.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
-def markdown_table(rows: DataFrame) -> str:
+def markdown_table(rows: DataFrame, limit: int = REPORT_LIMIT) -> str:
     names = rows.columns
-    found = rows.limit(REPORT_LIMIT + 1).collect()
-    if len(found) > REPORT_LIMIT:
-        raise ValueError(f"a Markdown report holds at most {REPORT_LIMIT} rows; export it as CSV")
+    found = rows.limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"the table has more than the {limit} rows asked for; export it as CSV")
     lines = ["| " + " | ".join(names) + " |", "| " + " | ".join("---" for _ in names) + " |"]
     for row in found or [[NO_DATA] * len(names)]:
         lines.append("| " + " | ".join("" if v is None else str(v) for v in row) + " |")
     return "\n".join(lines)
 
 
-def markdown_report(title: str, sections: dict[str, DataFrame]) -> str:
+def markdown_report(title: str, sections: dict[str, DataFrame], limit: int = REPORT_LIMIT) -> str:
     blocks = [f"# {title}"]
     for heading, rows in sections.items():
-        blocks += ["", f"## {heading}", "", markdown_table(rows)]
+        blocks += ["", f"## {heading}", "", markdown_table(rows, limit)]
     return "\n".join(blocks) + "\n"

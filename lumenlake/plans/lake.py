@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lumenlake import contract
 from lumenlake.contract import PUBLISHED_TERMS, Terms
 from lumenlake.operators.keys import insert_if_absent
-from lumenlake.plans import bronze, gold, silver
+from lumenlake.plans import bronze, gold, reports, silver
 from lumenlake.sources import extract, locate
 
 CONTROL = {
@@ -44,7 +44,7 @@ TRIAL = {
 }
 CHECKED = {
     **{c.name: c.spark_type for c in contract.COLUMNS},
-    "file_name": "string", "too_long": "boolean", "row_number": "bigint", "missing": "string", "violations": "string",
+    "file_name": "string", "too_long": "boolean", "open_quote": "boolean", "row_number": "bigint", "missing": "string", "violations": "string",
     "reason": "string", "loaded_at": "timestamp_ntz", "is_valid": "boolean",
 }
 ABSENT_FILE = "(ausente)"
@@ -137,6 +137,7 @@ class Lake:
         load_id: int,
         self_healing: bool = True,
         attempt: Attempt = Attempt(),
+        multiline: bool = False,
     ) -> dict:
         """Find the file and load it; without one, record the failure and raise.
 
@@ -148,7 +149,7 @@ class Lake:
             terms = self.terms
             self.record_failure(ABSENT_FILE, found.message, terms.file_missing, terms.fallback, attempt, _now())
             raise LoadFailed(found.message)
-        return self.load(found.path, load_id, self_healing, attempt, found.used_fallback)
+        return self.load(found.path, load_id, self_healing, attempt, found.used_fallback, multiline)
 
     def load(
         self,
@@ -157,12 +158,14 @@ class Lake:
         self_healing: bool = True,
         attempt: Attempt = Attempt(),
         used_fallback: bool = False,
+        multiline: bool = False,
     ) -> dict:
         """Type, check and store one extract; returns its control row.
 
         With ``self_healing`` a wrong header stops the load before the data
         is read, and bad rows go to quarantine.  Without it the header is not
-        checked and the first bad row fails the load.
+        checked and the first bad row fails the load.  ``multiline`` allows
+        line breaks in quoted fields and reads each file in one task.
         """
         started = _now()
         event = {
@@ -201,16 +204,18 @@ class Lake:
             flags["bad_header"] = self_healing
             return finish(contract.HEADER_UNREADABLE.format(str(unreadable).split("\n")[0]))
         try:
-            counts, fault = self._store(path, load_id, headers, started, self_healing)
+            counts, fault = self._store(path, load_id, headers, started, self_healing, multiline)
         except Exception as broken:
             finish(f"{type(broken).__name__}: {str(broken).splitlines()[0]}" if str(broken) else type(broken).__name__)
         return finish(fault, counts["n_rows"], counts["n_quarantined"])
 
-    def _store(self, path: str, load_id: int, headers: list[tuple[str, str]], started: datetime, self_healing: bool):
+    def _store(
+        self, path: str, load_id: int, headers: list[tuple[str, str]], started: datetime, self_healing: bool, multiline: bool
+    ):
         """Write the checked rows; returns their counts and, without healing, the first fault."""
         target = f"{self._path('checked')}/load_id={load_id}"
         with extract.pinned_splits(self.spark):
-            scan = extract.scan_extract(self.spark, path, headers)
+            scan = extract.scan_extract(self.spark, path, headers, multiline)
             offsets = f"{self._path('splits')}/load_id={load_id}"
             extract.split_offsets(scan).write.mode("overwrite").parquet(offsets)
             offsets = self.spark.read.parquet(offsets)
@@ -242,7 +247,7 @@ class Lake:
 
     def history(self) -> DataFrame:
         """Valid rows of all released loads."""
-        return self._checked(True).drop("is_valid", "missing", "violations", "reason", "too_long")
+        return self._checked(True).drop("is_valid", "missing", "violations", "reason", "too_long", "open_quote")
 
     def latest_load(self) -> int:
         """The load released last, whatever its number."""
@@ -331,15 +336,23 @@ class Lake:
         base.write.mode("overwrite").partitionBy("month").parquet(self._path("levy_base"))
         return gold.register_views(self.spark.read.parquet(self._path("levy_base")))
 
-    def run(self, directory: str, primary: str, load_id: int, self_healing: bool = True) -> list[str]:
+    def run(
+        self, directory: str, primary: str, load_id: int, self_healing: bool = True, multiline: bool = False
+    ) -> list[str]:
         """A whole load: find and check the file, normalise it, refresh the served views."""
-        self.load_file(directory, primary, load_id, self_healing)
+        self.load_file(directory, primary, load_id, self_healing, multiline=multiline)
         self.normalise()
         return self.serve()
 
     def preview(self, name: str, rows: int = 100) -> DataFrame:
         return self.table(name).limit(rows)
 
+    # --- reports ------------------------------------------------------------
+
+    def write_reports(self, folder: str, landmarks: DataFrame) -> list[str]:
+        """The result files of all trials of this lake; landmarks are those of its log."""
+        return reports.write_reports(folder, self.trials(), self.loads(), landmarks, self.terms)
+
 
 def _together(*steps: Callable[[], None]) -> None:
     """Run steps that do not need each other at once; the first fault is raised when all have ended."""

@@ -197,8 +197,9 @@ def mask(rows: DataFrame, workspace: Workspace, per_row: bool = True) -> DataFra
     names = {c.header: c.name for c in contract.COLUMNS}
     require_columns([header for header, name in names.items() if name in rows.columns])
     broken = F.coalesce(F.concat_ws("", *(F.col(names[h]) for h in MASKED_HEADERS)).contains('"'), F.lit(False))
-    if "too_long" in rows.columns:
-        broken = broken | F.coalesce("too_long", F.lit(False))
+    for fault in ("too_long", "open_quote"):
+        if fault in rows.columns:
+            broken = broken | F.coalesce(fault, F.lit(False))
     street, fault = F.col("street"), F.raise_error(F.lit("a record cannot be told apart into its fields"))
     rows = rows.withColumn("street", F.when(broken, fault.cast("string")).otherwise(street))
     source = _written(workspace, "mask_rows", rows)  # read once for every mapping

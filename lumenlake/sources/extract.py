@@ -97,13 +97,19 @@ def pinned_splits(spark: SparkSession):
             spark.conf.unset(_SPLITS)
 
 
-def scan_extract(spark: SparkSession, path: str, headers: list[tuple[str, str]] | None = None) -> DataFrame:
+def scan_extract(
+    spark: SparkSession, path: str, headers: list[tuple[str, str]] | None = None, multiline: bool = False
+) -> DataFrame:
     """All declared columns as text, blanks kept as '', columns matched by name in each file.
 
     Adds ``file_name``; ``too_long`` marks records with more fields than the
     header, while records with fewer are padded with blanks.  A declared
     column the header lacks comes back null.  Files with the same header are
     scanned together; ``headers`` are those of header_rows, if known.
+
+    With ``multiline`` a quoted field may hold line breaks, at the price of
+    one task per file, as a file cannot be cut then.  Without it a record ends
+    with its line, and ``open_quote`` marks the pieces of one that does not.
     """
     headers = header_rows(spark, path) if headers is None else headers
     if not headers:
@@ -112,11 +118,11 @@ def scan_extract(spark: SparkSession, path: str, headers: list[tuple[str, str]]
     for file, line in headers:
         files.setdefault(tuple(split_header(line)), []).append(file)
     if len(files) == 1:
-        return _scan(spark, path, list(*files))
-    return reduce(DataFrame.unionAll, [_scan(spark, paths, list(header)) for header, paths in files.items()])
+        return _scan(spark, path, list(*files), multiline)
+    return reduce(DataFrame.unionAll, [_scan(spark, paths, list(header), multiline) for header, paths in files.items()])
 
 
-def _scan(spark: SparkSession, path: str | list[str], header: list[str]) -> DataFrame:
+def _scan(spark: SparkSession, path: str | list[str], header: list[str], multiline: bool) -> DataFrame:
     fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(header))]
     schema = T.StructType(fields + [T.StructField(_CORRUPT, T.StringType())])
     rows = (
@@ -125,6 +131,7 @@ def _scan(spark: SparkSession, path: str | list[str], header: list[str]) -> Data
         .option("header", True)
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
+        .option("multiLine", multiline)
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
     )
@@ -138,6 +145,7 @@ def _scan(spark: SparkSession, path: str | list[str], header: list[str]) -> Data
         *columns,
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file_name"),
         _too_many_fields(len(header)).alias("too_long"),
+        (F.length(F.regexp_replace(F.coalesce(_CORRUPT, F.lit("")), '[^"]', "")) % 2 == 1).alias("open_quote"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_at"),

@@ -1,15 +1,18 @@
 """Files to lake: scans, faults, quarantine, repeated loads, reports."""
 
+import csv
 import random
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from lumenlake import contract
-from lumenlake.contract import PUBLISHED_TERMS as TERMS
-from lumenlake.plans import export, gold, masking, reliability
+from lumenlake.contract import ENGLISH_TERMS, PUBLISHED_TERMS as TERMS
+from lumenlake.plans import export, gold, masking, reliability, reports
 from lumenlake.plans.lake import KEYS, Attempt, Lake, LoadFailed
+from lumenlake.registry.relations import Relations
 from lumenlake.sources import derived, extract, locate
 
 SF = "/root/testdata/sf0.001"
@@ -274,3 +277,41 @@ def test_every_faulty_header_of_many_files_is_named(spark, tmp_path, lines):
     with pytest.raises(LoadFailed) as failed:
         lake.load(str(tmp_path / "in"), 1)
     assert [name for name in ("f00", "f01", "f30", "f60") if name in str(failed.value)] == ["f00", "f30", "f60"]
+
+
+def test_quoted_line_breaks(spark, tmp_path, lines):
+    """One record when the load allows for it, named for what it is when not."""
+    rows = [list(r) for r in lines[:3]]
+    rows[1][contract.NAMES.index("complement")] = '"UNIT 1\nREAR; LEFT"'
+    path = write(tmp_path / "a.csv", rows)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    event = lake.load(path, 1, multiline=True)
+    assert (event["n_rows"], event["n_quarantined"]) == (3, 0)
+    found = {r["row_number"]: r["complement"] for r in lake.raw().collect()}
+    assert sorted(found) == [1, 2, 3] and found[2] == "UNIT 1\nREAR; LEFT"
+    event = lake.load(path, 2)
+    assert (event["n_rows"], event["n_quarantined"]) == (2, 2)
+    held = lake.quarantine().where("load_id = 2").collect()
+    assert len(held) == 2 and all(r["reason"].startswith("A quoted field") for r in held)
+
+
+def test_all_reports_are_written(spark, tmp_path):
+    """Every file read back: the tables, the timings, and the document that shows them."""
+    r = Relations(spark, SF)
+    paths = reports.write_reports(str(tmp_path / "out"), r.trials(), r.loads(), r.landmarks(), ENGLISH_TERMS)
+    assert [p.rsplit("/", 1)[-1] for p in paths] == [reports.TIMINGS, *reports.TABLES, reports.DOCUMENT]
+    read = lambda p: [row for f in sorted(Path(p).glob("part-*")) for row in list(csv.reader(f.open(encoding="utf-8-sig")))[1:]]
+    assert len(read(paths[0])) == r.timings().count()
+    rates = read(paths[1])
+    expected = reliability.success_rate(r.trials()).orderBy("fault", "grp").collect()
+    assert rates == [[str(v) for v in row] for row in expected]
+    document = "\n".join(f.read_text() for f in sorted(Path(paths[-1]).glob("part-*")))
+    for heading, _ in reports.TABLES.values():
+        assert f"## {heading}" in document
+    assert all("| " + " | ".join(row) + " |" in document for row in rates)
+
+    none = reports.write_reports(
+        str(tmp_path / "none"), r.trials().where("false"), r.loads(), r.landmarks(), ENGLISH_TERMS
+    )
+    document = "\n".join(f.read_text() for f in sorted(Path(none[-1]).glob("part-*")))
+    assert document.count("(sem dados)") >= len(reports.TABLES) and read(none[1]) == []
