@@ -127,7 +127,8 @@ _BASE_CTES = [*_BILL_CTES, _ADDRESSES, _PAYMENTS, _LEVIES, _BASE]
 
 _TRIAL_CTES = [f"trials as ({derived.trials_sql()})", f"loads as ({derived.loads_sql()})"]
 _MILESTONES = {
-    "created": 6, "schema": 7, "reading": 8, "clearing": 9, "cleared": 10, "history": 11, "copied": 12, "finished": 13,
+    "created": "Load id created%", "schema": "Schema valid", "reading": "Reading file%", "clearing": "Clearing raw",
+    "cleared": "Raw cleared", "history": "Writing history", "copied": "History copied", "finished": "Load finished%",
 }
 _STEPS = (
     f"steps as materialized (select *, timestamp '2026-09-01' + ms * interval '1' millisecond as ts"
@@ -135,9 +136,9 @@ _STEPS = (
 )
 _LANDMARKS = (
     "landmarks as materialized (select load_id, "
-    + ", ".join(f"min(ts) filter (line_seq = {n}) as {k}" for k, n in _MILESTONES.items())
-    + ", min(try_cast(regexp_extract(message, '[0-9]+$') as bigint)) filter (line_seq = 13) as rows_logged"
-    " from steps where line_seq between 6 and 13 group by load_id)"
+    + ", ".join(f"min(ts) filter (message like '{text}') as {k}" for k, text in _MILESTONES.items())
+    + ", min(try_cast(regexp_extract(message, '[0-9]+$') as bigint)) filter (message like 'Load finished%') as rows_logged"
+    " from steps where origin in ('__main__', 'schema_check') group by load_id)"
 )
 
 
@@ -178,12 +179,18 @@ _QUIET_STEPS = "quiet as materialized ({})".format(
 _TESTED = "tested as (select metric, grp, ms from long where fault = 'NONE' and metric <> 'schema_ms')"
 _LOG_CTES = [*_TRIAL_CTES, _STEPS, _LANDMARKS]
 _TIMING_CTES = [*_LOG_CTES, _TIMINGS, _LONG, _SUMMARY]
+_RETRIES = """retries as materialized (
+  select load_id, max(ts) filter (message = 'Attempt 1/3') as try1_at, max(ts) filter (message = 'Attempt 2/3') as try2_at,
+    max(ts) filter (message = 'Attempt 3/3') as try3_at, max(ts) filter (message like 'Connected after 3%') as connected_at,
+    max(try_cast(regexp_extract(message, 'in ([0-9]+) ms', 1) as bigint)) filter (message like 'Connected after 3%') as recovery_ms
+  from steps where origin = 'db_utils' and message not like 'Connection failed%' group by load_id
+  having connected_at is not null)"""
 _SEQUENCES = """sequences as materialized (
-  select load_id, max(ts) filter (line_seq = 0) as shutdown_at, max(ts) filter (line_seq = 3) as ready_at,
-    max(ts) filter (line_seq = 1) as try1_at, max(ts) filter (line_seq = 2) as try2_at,
-    max(ts) filter (line_seq = 4) as try3_at, max(ts) filter (line_seq = 5) as connected_at,
-    cast(11066 as bigint) as recovery_ms
-  from steps where line_seq < 6 group by load_id)"""
+  select load_id, stopped.ts as shutdown_at, ready.ts as ready_at, try1_at, try2_at, try3_at, connected_at, recovery_ms
+  from retries asof join (select ts from steps where message like '%fast shutdown request%') stopped
+    on retries.try1_at > stopped.ts
+  asof join (select ts from steps where message like '%ready to accept connections%') ready on stopped.ts < ready.ts)"""
+_OUTAGE_CTES = [_STEPS, _RETRIES, _SEQUENCES]
 
 
 def _with(ctes: list[str], body: str) -> str:
@@ -625,10 +632,10 @@ from (select *, row_number() over (partition by grp, step order by iteration, tr
     row_number() over (partition by grp, step order by iteration desc, trial_id desc) as late
   from quiet where step in ('total', 'insert_rows')) group by grp, step"""),
         "retry_sequences": _with(
-            [_STEPS, _SEQUENCES], "select try1_at, try2_at, try3_at, connected_at, recovery_ms from sequences"
+            [_STEPS, _RETRIES], "select try1_at, try2_at, try3_at, connected_at, recovery_ms from retries"
         ),
-        "outage_timeline": _with([_STEPS, _SEQUENCES], "select * exclude (load_id) from sequences"),
-        "outage_statistics": _with([_STEPS, _SEQUENCES], """
+        "outage_timeline": _with(_OUTAGE_CTES, "select * exclude (load_id) from sequences"),
+        "outage_statistics": _with(_OUTAGE_CTES, """
 select interval, count(*) as n, round(avg(s), 4) as mean_s, round(stddev_samp(s), 4) as stdev_s,
   round(min(s), 4) as min_s, round(max(s), 4) as max_s
 from (select unnest(['shutdown_to_try1', 'try1_to_try2', 'try2_to_try3', 'try3_to_connected', 'outage',
@@ -638,7 +645,7 @@ from (select unnest(['shutdown_to_try1', 'try1_to_try2', 'try2_to_try3', 'try3_t
         "connect_failures": _with([_STEPS], """
 select count(*) as n, round(avg(ms), 4) as mean, round(stddev_samp(ms), 4) as stdev, min(ms) as min, max(ms) as max,
   median(ms) as median
-from (select cast(regexp_extract(message, 'in ([0-9]+) ms', 1) as bigint) as ms from steps where line_seq = 14)"""),
+from (select cast(regexp_extract(message, 'in ([0-9]+) ms', 1) as bigint) as ms from steps where message like 'Connection failed%')"""),
         "mask_address_labels": _with(_LABEL_CTES, """
 select cast(line_no as bigint) as line_no, s.label as street, coalesce(c.label, r.complement) as complement,
   d.label as district

@@ -209,37 +209,43 @@ select load_id, case when fault='FILE_MISSING' then 'Sample_Backup.csv' else 'Sa
 from ({trials_sql(table)}) t where load_id is not null"""
 
 
-# Landmark lines written per load: sequence, origin, offset in ms, message.
+# Landmark lines written per load: sequence, origin, offset in ms, how far it may move with the trial, message.
 LOG_STEPS = [
-    (0, "database", -9500, "received fast shutdown request"),
-    (1, "db_utils", -8000, "Attempt 1/3"),
-    (2, "db_utils", -3500, "Attempt 2/3"),
-    (3, "database", -1500, "database system is ready to accept connections"),
-    (4, "db_utils", -20, "Attempt 3/3"),
-    (5, "db_utils", -10, "Connected after 3 attempt(s) in 11066 ms"),
-    (6, "__main__", 0, ""),
-    (7, "schema_check", 9, "Schema valid"),
-    (8, "__main__", 10, "Reading file: x.csv"),
-    (9, "__main__", 33, "Clearing raw"),
-    (10, "__main__", 45, "Raw cleared"),
-    (11, "__main__", 250, "Writing history"),
-    (12, "__main__", 253, "History copied"),
-    (13, "__main__", 257, ""),
-    (14, "db_utils", 300, ""),
+    (-1, "database", -9900, 300, "received fast shutdown request"),
+    (0, "database", -9500, 1000, "received fast shutdown request"),
+    (1, "db_utils", -8000, 1100, "Attempt 1/3"),
+    (2, "db_utils", -3500, 900, "Attempt 2/3"),
+    (3, "database", -1500, 1300, "database system is ready to accept connections"),
+    (4, "db_utils", -20, 9, "Attempt 3/3"),
+    (5, "db_utils", -10, 8, ""),
+    (6, "__main__", 0, 1, ""),
+    (7, "schema_check", 5, 5, "Schema valid"),
+    (8, "__main__", 10, 13, "Reading file: x.csv"),
+    (9, "__main__", 33, 11, "Clearing raw"),
+    (10, "__main__", 45, 50, "Raw cleared"),
+    (11, "__main__", 250, 37, "Writing history"),
+    (12, "__main__", 290, 17, "History copied"),
+    (13, "__main__", 312, 7, ""),
+    (14, "db_utils", 330, 1, ""),
 ]
 
 
 def log_steps_sql(table: str = "{}", spark_sql: bool = False) -> str:
-    """Log messages with the millisecond at which each was written."""
+    """Log messages with the millisecond at which each was written.
+
+    Every interval varies with the trial.  Some outages have two shutdowns,
+    some no line that the database is ready, some end after the second try.
+    """
     if spark_sql:
         structs = ", ".join(f"struct{step}" for step in LOG_STEPS)
-        steps = f"lateral view inline(array({structs})) k as line_seq, origin, off, message"
+        steps = f"lateral view inline(array({structs})) k as line_seq, origin, off, jitter, message"
     else:
-        steps = f"cross join (values {', '.join(map(str, LOG_STEPS))}) k(line_seq,origin,off,message)"
+        steps = f"cross join (values {', '.join(map(str, LOG_STEPS))}) k(line_seq,origin,off,jitter,message)"
     return f"""
 select t.load_id, t.trial_id, k.line_seq, k.origin,
-   t.trial_id*20000 + k.off + (case when k.line_seq between 11 and 13 then t.trial_id%37 else 0 end) as ms,
-   case k.line_seq when 6 then 'Load id created: '||cast(t.load_id as string)
+   t.trial_id*20000 + k.off + (t.trial_id*(2*k.line_seq+3))%k.jitter as ms,
+   case k.line_seq when 5 then 'Connected after 3 attempt(s) in '||cast(11000+(t.trial_id*7)%101 as string)||' ms'
+     when 6 then 'Load id created: '||cast(t.load_id as string)
      when 13 then 'Load finished. Rows inserted: '||(case when fault='NULL_DATA' then '252' else '267' end)
      when 14 then 'Connection failed after 1 attempt(s) in '||cast(2515+t.trial_id%114 as string)
                   ||' ms: could not translate host name'
@@ -247,6 +253,8 @@ select t.load_id, t.trial_id, k.line_seq, k.origin,
  from ({trials_sql(table)}) t {steps}
  where (t.load_id is not null and k.line_seq<14
    and (k.line_seq>=6 or (fault='CONNECTION' and grp='TREATMENT'))
+   and (k.line_seq<>-1 or t.trial_id%5=0) and (k.line_seq<>3 or t.trial_id%7<>0)
+   and (k.line_seq not in (4,5) or t.trial_id%13<>0)
    and (k.line_seq<>7 or grp='TREATMENT')
    and (k.line_seq<=6 or fault<>'SCHEMA')
    and (k.line_seq<11 or outcome='success'))
