@@ -325,16 +325,39 @@ class Lake:
 
     # --- served layer -------------------------------------------------------
 
-    def serve(self) -> list[str]:
-        """Write the base relation once, by month, and register it and its views.
+    def serve(self, whole: bool = False) -> list[str]:
+        """Write the months of the base relation that the latest load touched; register it and its views.
 
-        Ranges of month and bill spread a hot month over several tasks while
-        every task writes few months.
+        A month is touched if the load added a bill to it, or a levy or a
+        payment to one of its bills; without a written base, or with
+        ``whole``, all months are.  Ranges of month and bill spread a hot
+        month over several tasks while every task writes few months.
         """
-        tables = [self.table(t) for t in ("bills", "installations", "addresses", "levies", "payments")]
-        base = gold.levy_base(*tables).repartitionByRange("month", "bill_id")
-        base.write.mode("overwrite").partitionBy("month").parquet(self._path("levy_base"))
-        return gold.register_views(self.spark.read.parquet(self._path("levy_base")))
+        bills, *others = (self.table(t) for t in ("bills", "installations", "addresses", "levies", "payments"))
+        if not whole and self._is_served():
+            months = [row[0] for row in self._touched(bills).collect()]  # calendar months
+            bills = bills.where(F.col("billing_month").isin(months))
+        base = gold.levy_base(bills, *others).repartitionByRange("month", "bill_id")
+        writer = base.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
+        writer.partitionBy("month").parquet(self._path("levy_base"))
+        return gold.register_views(self.served())
+
+    def _is_served(self) -> bool:
+        try:
+            return bool(self.spark.read.parquet(self._path("levy_base")).columns)
+        except AnalysisException:
+            return False
+
+    def _touched(self, bills: DataFrame) -> DataFrame:
+        """Billing months of bills that the latest load added or added to."""
+        load_id = self.latest_load()
+        added = lambda name: self.spark.read.parquet(self._path(name)).where(F.col("load_id") == load_id)
+        ids = added("levies").select("bill_id").unionByName(added("payments").select("bill_id"))
+        later = bills.join(ids, "bill_id", "left_semi").select("billing_month")
+        return added("bills").select("billing_month").unionByName(later).distinct()
+
+    def served(self) -> DataFrame:
+        return self.spark.read.parquet(self._path("levy_base"))
 
     def run(
         self, directory: str, primary: str, load_id: int, self_healing: bool = True, multiline: bool = False
@@ -345,7 +368,18 @@ class Lake:
         return self.serve()
 
     def preview(self, name: str, rows: int = 100) -> DataFrame:
-        return self.table(name).limit(rows)
+        """The first rows, by all columns in turn, of any table, layer, record or view of the lake."""
+        layers = {
+            "raw": self.raw, "history": self.history, "quarantine": self.quarantine, "rejects": self.rejects,
+            "loads": self.loads, "trials": self.trials, "levy_base": self.served,
+        }
+        if name in layers:
+            found = layers[name]()
+        elif name in gold.VIEWS:
+            found = gold.VIEWS[name](self.served())
+        else:
+            found = self.table(name)
+        return found.orderBy(*found.columns).limit(rows)
 
     # --- reports ------------------------------------------------------------
 

@@ -285,6 +285,35 @@ select billing_month, case when n_quarantined = 0 then n_rows end, 0,
   case when n_quarantined > 0 then 'ERROR' else 'SUCCESS' end, false, false from counts""")
 
 
+def _many_faults() -> str:
+    """The fault type is what the first true of an ordered list of tests says."""
+    retried, fell_back, bad_header, bad_rows = "load_id % 5 = 0", "load_id % 7 = 0", "load_id % 11 = 0", "bad > 0"
+    held = f"({bad_rows} and not {bad_header})"
+
+    def mode(healing: bool) -> str:
+        used = [(retried, "RETRY_BACKOFF"), (fell_back, "FILE_FALLBACK"), (bad_header, "SCHEMA_CHECK"),
+                (held, "QUARANTINE" if healing else "NONE")]
+        names = ", ".join(f"case when {test} then '{name}' end" for test, name in used)
+        failed = f"({bad_header} or ({bad_rows} and {'n = 0' if healing else 'true'}))"
+        kind = (
+            f"case when {retried} then 'CONNECTION' when {fell_back} then 'FILE_MISSING' when {bad_header} then 'SCHEMA'"
+            f" when {bad_rows} then 'NULL_DATA' else 'NONE' end"
+        )
+        n_rows = "n" if healing else f"case when not {failed} then n end"
+        return (
+            f"select load_id, {n_rows} as n_rows, {'bad' if healing else 0}::bigint as n_quarantined, {kind} as fault_type,"
+            f" coalesce(nullif(concat_ws('+', {names}), ''), 'NONE') as mechanism,"
+            f" case when {failed} then 'ERROR' else 'SUCCESS' end as status,"
+            f" {kind} <> 'NONE' and not {failed} as auto_resolved, {healing} as self_healing from counted"
+        )
+
+    counted = (
+        "counted as (select load_id, case when load_id % 4 = 0 then 0 else load_id % 100 end::bigint as n,"
+        " (load_id % 3)::bigint as bad from loads)"
+    )
+    return _with([*_TRIAL_CTES, counted], f"{mode(True)} union all {mode(False)}")
+
+
 def _seeds() -> str:
     rows = [("commercial_status", c, d) for c, d in contract.COMMERCIAL_STATUS]
     rows += [("entity_type", c, d) for c, d in contract.ENTITY_TYPES]
@@ -449,6 +478,7 @@ from (select load_id,
       when mechanism = 'SCHEMA_CHECK' then 'SCHEMA_CHECK' when n_quarantined > 0 then 'QUARANTINE'
       else 'NONE' end as mechanism,
     mechanism = 'SCHEMA_CHECK' or (n_quarantined > 0 and coalesce(n_rows, 0) = 0) as failed from loads)"""),
+        "load_outcome_of_many_faults": _many_faults(),
         "history_load_bounds": _with(
             _VALID_CTES,
             "select billing_month as load_id, cast(min(due_on) as timestamp) as first_at,"
@@ -520,6 +550,14 @@ select line_no, bill_number, case when consumption_class not in (select consumpt
   then 'consumption_class' when (consumption_class, consumption_subclass) not in (select
   (consumption_class, consumption_subclass) from pairs) then 'consumption_subclass' else 'installation' end as lost_by
 from valid where installation not in (select installation from installations)"""),
+        "unmatched_rows_with_gaps": _with([*_VALID_CTES, _PAIRS], """
+select line_no, bill_number, lost_by from (select line_no, bill_number,
+  case when line_no % 11 = 0 then 'consumption_class'
+    when not exists (select 1 from pairs p where p.consumption_class = v.consumption_class
+      and p.consumption_subclass = v.consumption_subclass) then 'consumption_subclass'
+    when line_no % 13 = 0 then 'commercial_status' when line_no % 17 = 0 or line_no % 19 = 0 then 'address'
+    when line_no % 23 = 0 or line_no % 31 = 0 then 'regulatory_profile' when line_no % 29 = 0 then 'installation'
+  end as lost_by from valid v) where lost_by is not null"""),
         "levy_base": _with(_BASE_CTES, """
 select * replace (cast(month as varchar) as month, measured_kwh::double as measured_kwh,
   billed_kwh::double as billed_kwh, bill_amount::double as bill_amount, levy_billed::double as levy_billed,

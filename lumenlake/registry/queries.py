@@ -164,6 +164,23 @@ def load_outcome_class(r: Relations) -> DataFrame:
     )
 
 
+@_query
+def load_outcome_of_many_faults(r: Relations) -> DataFrame:
+    """Loads with any combination of faults, in both modes: the first is the type, mechanisms are joined."""
+    load = F.col("load_id")
+    summary = r.loads().select(
+        "load_id",
+        F.when(load % 4 == 0, 0).otherwise(load % 100).cast("long").alias("n_rows"),
+        (load % 3).cast("long").alias("n_quarantined"),
+    )
+    flags = [load % 5 == 0, load % 7 == 0, load % 11 == 0]
+    modes = [
+        bronze.outcome(summary, *flags, healing, ENGLISH_TERMS).withColumn("self_healing", F.lit(healing))
+        for healing in (True, False)
+    ]
+    return modes[0].unionByName(modes[1])
+
+
 @_query
 def history_load_bounds(r: Relations) -> DataFrame:
     history = r.valid().select(
@@ -230,6 +247,18 @@ def unmatched_rows(r: Relations) -> DataFrame:
     return silver.unmatched_rows(r.valid(), r.silver("installations"))
 
 
+@_query
+def unmatched_rows_with_gaps(r: Relations) -> DataFrame:
+    """Every row with an installation of its own, some without a value that a lookup needs."""
+    rows = r.valid()
+    gap = lambda c, n: F.when(F.col("line_no") % n != 0, F.col(c))
+    known = F.when(F.col("line_no") % 11 != 0, F.col("consumption_class")).otherwise("Unlisted")
+    own = F.when(F.col("line_no") % 29 != 0, F.concat_ws("-", "installation", "line_no"))
+    gaps = {"commercial_status": 13, "municipality": 17, "street": 19, "tariff_category": 23, "phase": 31}
+    rows = rows.withColumns({c: gap(c, n) for c, n in gaps.items()} | {"consumption_class": known, "installation": own})
+    return silver.unmatched_rows(rows, silver.installations(rows))
+
+
 @_query
 def null_in_required_fact(r: Relations) -> DataFrame:
     """Payments and rebills that the normalised tables leave out, from rows with lost amounts and dates."""

@@ -315,3 +315,35 @@ def test_all_reports_are_written(spark, tmp_path):
     )
     document = "\n".join(f.read_text() for f in sorted(Path(none[-1]).glob("part-*")))
     assert document.count("(sem dados)") >= len(reports.TABLES) and read(none[1]) == []
+
+
+def test_serving_refreshes_the_months_a_load_touched(spark, tmp_path, lines):
+    """A second load with one new bill and one late payment: the base equals one written as a whole."""
+    month, number, paid, amount = (contract.NAMES.index(n) for n in ("billing_month", "bill_number", "paid_on", "paid_amount"))
+    subclass = contract.NAMES.index("consumption_subclass")
+    matched = [r for r in lines if r[subclass] != "UNKNOWN" and r[paid]]
+    fresh, late = list(matched[0]), list(next(r for r in matched if r[month] != matched[0][month]))
+    fresh[number], fresh[month] = "0999999999999999", "203001"
+    late[paid], late[amount] = "01/02/2031", "3,00"
+    lake = Lake(spark, str(tmp_path / "lake"))
+    for load_id, rows in ((1, lines), (2, [fresh, late])):
+        lake.load(write(tmp_path / f"{load_id}.csv", rows), load_id)
+        lake.normalise()
+        if load_id == 2:
+            assert {r[0] for r in lake._touched(lake.table("bills")).collect()} == {"203001", late[month]}
+        views = lake.serve()
+    found = sorted(map(repr, lake.served().collect()))
+    lake.serve(whole=True)
+    assert found == sorted(map(repr, lake.served().collect())) and len(views) == 14
+
+
+def test_preview_of_every_layer(spark, tmp_path, lines):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.run(str(Path(write(tmp_path / "Main.csv", blanked(lines))).parent), "Main.csv", 1)
+    lake.record_trial(trial_id=1, grp="A", fault="B", iteration=1, outcome="success", load_id=1, event_at=datetime(2026, 1, 1))
+    for name in ("raw", "history", "quarantine", "rejects", "loads", "trials", "levy_base", *KEYS, *gold.VIEWS):
+        rows = lake.preview(name, 5)
+        first = rows.columns[0]
+        shown = [r[first] for r in rows.collect()]
+        assert len(shown) <= 5 and shown == sorted(shown, key=lambda v: (v is not None, v))
+    assert [r["line_no"] for r in lake.preview("raw", 3).collect()] == sorted(r["line_no"] for r in lake.raw().collect())[:3]
