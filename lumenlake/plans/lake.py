@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lumenlake import contract
 from lumenlake.contract import PUBLISHED_TERMS, Terms
@@ -271,7 +271,8 @@ class Lake:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._path(name)).drop("load_id")
 
-    def _insert(self, name: str, incoming: DataFrame, load_id: int) -> None:
+    def _insert(self, name: str, incoming: DataFrame, load_id: int, months: list | None = None) -> None:
+        """Write what earlier loads lack.  ``months`` bound the earlier rows that can have the same key."""
         target = f"{self._path(name)}/load_id={load_id}"
         keys = KEYS[name]
         try:
@@ -280,6 +281,8 @@ class Lake:
         except AnalysisException:
             earlier = None
         if earlier is not None:
+            if months is not None:
+                earlier = earlier.where(_in_months(months))
             if name in NULL_SAFE:
                 match = F.lit(True)
                 for key in keys:
@@ -293,14 +296,16 @@ class Lake:
         """Add the latest load to every normalised table, in dependency order; independent ones together.
 
         Row numbers restart in each load, so first-wins compares rows of one
-        load; across loads the earlier load wins.
+        load; across loads the earlier load wins.  Bills and their facts are
+        compared with the months of the load alone: loads come by month, so
+        the files of other months are not read.
         """
         raw = self.raw()
         load_id = self.latest_load()
         raw = raw.withColumn("line_no", F.col("row_number"))
 
-        def insert(name: str, *more: DataFrame) -> Callable[[], None]:
-            return lambda: self._insert(name, getattr(silver, name)(raw, *more), load_id)
+        def insert(name: str, *more: DataFrame, months: list | None = None) -> Callable[[], None]:
+            return lambda: self._insert(name, getattr(silver, name)(raw, *more), load_id, months)
 
         _together(*(insert(name) for name in (
             "commercial_status", "bill_status", "tariff_categories", "municipalities", "regulatory_profiles", "addresses",
@@ -310,12 +315,15 @@ class Lake:
         _together(
             insert("customers_person", known),
             insert("customers_company", known),
-            insert("bills", known, self.table("installations")),
+            insert("bills", known, self.table("installations"), months=_months(raw)),
         )
         billed = self.table("bills")
+        # A number may be that of a bill of another month than the row's.
+        months = _months(billed.join(raw.select("bill_number"), "bill_number", "left_semi"))
+        billed = billed.where(_in_months(months))
         rejects = silver.null_in_required_fact(raw)
         _together(
-            *(insert(name, billed) for name in ("payments", "taxes", "reading_cycles", "rebills", "levies")),
+            *(insert(name, billed, months=months) for name in ("payments", "taxes", "reading_cycles", "rebills", "levies")),
             lambda: rejects.write.mode("overwrite").parquet(f"{self._path('rejects')}/load_id={load_id}"),
         )
 
@@ -335,8 +343,7 @@ class Lake:
         """
         bills, *others = (self.table(t) for t in ("bills", "installations", "addresses", "levies", "payments"))
         if not whole and self._is_served():
-            months = [row[0] for row in self._touched(bills).collect()]  # calendar months
-            bills = bills.where(F.col("billing_month").isin(months))
+            bills = bills.where(_in_months(_months(self._touched(bills))))
         base = gold.levy_base(bills, *others).repartitionByRange("month", "bill_id")
         writer = base.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
         writer.partitionBy("month").parquet(self._path("levy_base"))
@@ -395,6 +402,15 @@ def _together(*steps: Callable[[], None]) -> None:
             ended.result()
 
 
+def _months(rows: DataFrame) -> list:
+    """Calendar months, so few whatever the rows."""
+    return [row[0] for row in rows.select("billing_month").distinct().collect() if row[0] is not None]
+
+
+def _in_months(months: list) -> Column:
+    return F.col("billing_month").isin(months) | F.col("billing_month").isNull()
+
+
 def _header_faults(faults: list, n_files: int) -> str:
     """The message of one file as it is; of several files each behind its name."""
     if n_files == 1:

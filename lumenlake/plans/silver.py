@@ -195,8 +195,8 @@ def _row_id(names: list[str]) -> Column:
 
 
 def _billed(billed: DataFrame, facts: DataFrame) -> DataFrame:
-    """Attach per-number facts to every bill with that number."""
-    return billed.select("bill_id", "bill_number").join(facts, "bill_number")
+    """Attach per-number facts to every bill with that number, and its month to prune by."""
+    return billed.select("bill_id", "bill_number", "billing_month").join(facts, "bill_number")
 
 
 def payments(raw: DataFrame, billed: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lumenlake import contract
 from lumenlake.contract import ENGLISH_TERMS, PUBLISHED_TERMS as TERMS
 from lumenlake.plans import export, gold, masking, reliability, reports
-from lumenlake.plans.lake import KEYS, Attempt, Lake, LoadFailed
+from lumenlake.plans.lake import KEYS, Attempt, Lake, LoadFailed, _in_months
 from lumenlake.registry.relations import Relations
 from lumenlake.sources import derived, extract, locate
 
@@ -347,3 +347,17 @@ def test_preview_of_every_layer(spark, tmp_path, lines):
         shown = [r[first] for r in rows.collect()]
         assert len(shown) <= 5 and shown == sorted(shown, key=lambda v: (v is not None, v))
     assert [r["line_no"] for r in lake.preview("raw", 3).collect()] == sorted(r["line_no"] for r in lake.raw().collect())[:3]
+
+
+def test_a_load_is_compared_with_its_own_months(spark, tmp_path, lines):
+    """The filter that keeps other months out reaches the scan of the earlier rows."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    path = write(tmp_path / "a.csv", lines)
+    lake.load(path, 1)
+    lake.normalise()
+    before = {name: lake.table(name).count() for name in KEYS}
+    text = lake.table("payments").where(_in_months(["199601"]))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in text and "billing_month" in text
+    lake.load(path, 2)
+    lake.normalise()
+    assert {name: lake.table(name).count() for name in KEYS} == before
