@@ -11,8 +11,13 @@ reranked: a link needs a cosine of at least ``threshold`` from the original
 vectors in double precision.
 
 Tables are as wide as the corpus needs for a bounded number of chance
-meetings, and there are as many as the wanted recall needs at the threshold's
-angle: both follow from the number of vectors and ``recall``.
+meetings; their number is measured.  Pairs at the threshold (found in the
+sample, and made from it) are coded, and tables are added until the share of
+them that meets is ``recall``.  How far apart codes may be is taken from the
+same pairs.  The angle of the raw vectors does not tell either: codes are signs
+around a centre, and around the mean of vectors with a common direction a pair
+stands at a wider angle.  Centre is the mean or the origin, whichever is
+expected to need fewer probes and meetings.
 
 The rotations are fitted on a bounded sample of ``fit_rows`` vectors; every
 vector is indexed.  Equal vectors are one node; their number enters the counts.
@@ -43,18 +48,21 @@ RADIUS = 2
 FIT_ROWS = 8192
 ROUNDS = 40
 MEETINGS = 64
+PROBES = 2048
+LEAST_FOUND = 200
 _SEED = 20
 
 
-def learn_rotation(sample: np.ndarray, bits: int, seed: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projection): signs of (x - mean) @ projection are the code.
+def learn_rotation(
+    sample: np.ndarray, bits: int, seed: int, centre: np.ndarray, rounds: int = ROUNDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """(centre, projection): signs of (x - centre) @ projection are the code.
 
     Components are taken in a random basis of the leading ones, so that every
     bit carries about the same variance, then quantised iteratively.
     """
     rng = np.random.default_rng(seed)
-    mean = sample.mean(axis=0)
-    centred = sample - mean
+    centred = sample - centre
     dims = centred.shape[1]
     _, axes = np.linalg.eigh(centred.T @ centred)  # dims x dims; a factorisation of the rows would not be
     basis = np.linalg.qr(rng.standard_normal((dims, dims)))[0] if bits < dims else np.eye(dims)
@@ -66,11 +74,11 @@ def learn_rotation(sample: np.ndarray, bits: int, seed: int, rounds: int = ROUND
         corners = np.where(reduced @ turn >= 0, 1.0, -1.0)
         left, _, right = np.linalg.svd(reduced.T @ corners)
         turn = left @ right
-    return mean, axes @ turn
+    return centre, axes @ turn
 
 
 def plan(n: int, threshold: float, recall: float, radius: int) -> tuple[int, int]:
-    """(bits per table, tables) for ``n`` vectors."""
+    """(bits per table, least number of tables) for ``n`` vectors."""
     ball = lambda bits: sum(math.comb(bits, r) for r in range(radius + 1))
     bits = 12
     while bits < 30 and n * ball(bits) > MEETINGS << bits:
@@ -80,13 +88,108 @@ def plan(n: int, threshold: float, recall: float, radius: int) -> tuple[int, int
     return bits, max(2, math.ceil(math.log(1 - recall) / math.log(1 - met)))
 
 
+def encode(x: np.ndarray, rotation: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Codes of unit vectors in one table."""
+    centre, axes = rotation
+    return ((x - centre) @ axes >= 0) @ (1 << np.arange(axes.shape[1], dtype=np.int64))
+
+
+def threshold_pairs(sample: np.ndarray, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors (x, y), by kind: turned to the threshold in any direction, turned the way two
+    vectors of the sample differ, and, if there are enough, the sample's own in the lower half of the links."""
+    rng = np.random.default_rng(_SEED)
+    x = sample[rng.permutation(np.resize(np.arange(len(sample)), PROBES))]
+    kinds = []
+    one, other = rng.integers(len(sample), size=(2, PROBES))
+    for way in (rng.standard_normal(x.shape), sample[one] - sample[other]):
+        across = way - (way * x).sum(axis=1, keepdims=True) * x
+        size = np.linalg.norm(across, axis=1, keepdims=True)
+        some = size[:, 0] > 1e-6
+        y = threshold * x[some] + math.sqrt(1 - threshold**2) * across[some] / size[some]
+        kinds.append((x[some], y))
+    own, step = [], 256
+    share = -(-PROBES * step // len(sample))
+    for start in range(0, len(sample), step):
+        cosine = sample[start : start + step] @ sample[start:].T
+        a, b = np.nonzero(np.triu((cosine >= threshold) & (cosine <= (1 + threshold) / 2), 1))
+        some = rng.permutation(len(a))[:share]
+        own.append(np.stack([a[some], b[some]], axis=1) + start)
+    own = np.concatenate(own)
+    if len(own) >= LEAST_FOUND:
+        kinds.append((sample[own[:, 0]], sample[own[:, 1]]))
+    return [kind for kind in kinds if len(kind[0])]
+
+
+class Tables:
+    """Rotations around one centre, and what they do to pairs at the threshold."""
+
+    def __init__(self, sample: np.ndarray, centre: np.ndarray, bits: int, radius: int, pairs: list[tuple[np.ndarray, np.ndarray]]):
+        self.sample, self.centre, self.bits, self.radius, self.pairs = sample, centre, bits, radius, pairs
+        self.rotations: list[tuple[np.ndarray, np.ndarray]] = []
+        self.met = [np.zeros(len(x), dtype=bool) for x, _ in pairs]
+        self.apart = [np.zeros(len(x), dtype=np.int64) for x, _ in pairs]
+        self.single = [0.0] * len(pairs)  # tables a pair meets in, on average
+
+    def add(self, rounds: int = ROUNDS) -> None:
+        rotation = learn_rotation(self.sample, self.bits, _SEED + len(self.rotations), self.centre, rounds)
+        self.rotations.append(rotation)
+        for k, (x, y) in enumerate(self.pairs):
+            differing = np.bitwise_count(encode(x, rotation) ^ encode(y, rotation)).astype(np.int64)
+            self.met[k] |= differing <= self.radius
+            self.apart[k] += differing
+            self.single[k] += (differing <= self.radius).mean()
+
+    def recall(self) -> float:
+        return min((met.mean() for met in self.met), default=1.0)
+
+    def needed(self, recall: float) -> float:
+        """Number of tables the recall is expected to need."""
+        met = min(self.single, default=1.0) / len(self.rotations)
+        return math.inf if met <= 0 else max(1.0, math.log(1 - recall) / math.log(1 - min(met, recall)))
+
+    def work(self, n: int, recall: float) -> float:
+        """Expected probes and meetings of a vector among ``n``."""
+        rng = np.random.default_rng(_SEED)
+        a, b = rng.integers(len(self.sample), size=(2, 1 << 19))
+        a, b = a[a != b], b[a != b]
+        ball = sum(math.comb(self.bits, r) for r in range(self.radius + 1))
+        chance = 0.0
+        for rotation in self.rotations:
+            codes = encode(self.sample, rotation)
+            chance += (np.bitwise_count(codes[a] ^ codes[b]) <= self.radius).mean() if len(a) else 0.0
+        return self.needed(recall) * (ball + n * chance / len(self.rotations))
+
+    def furthest(self) -> int:
+        """Differing bits over all tables that no pair at the threshold goes past."""
+        ends = [max(apart.max(), apart.mean() + 5 * apart.std()) for apart in self.apart]
+        return math.ceil(max(ends, default=self.bits * len(self.rotations)))
+
+
+def learn_tables(sample: np.ndarray, n: int, threshold: float, recall: float, radius: int) -> Tables:
+    """Tables for ``n`` vectors in which pairs at the threshold meet with the recall."""
+    bits, least = plan(n, threshold, recall, radius)
+    pairs = threshold_pairs(sample, threshold)
+    ways = []
+    for centre in (sample.mean(axis=0), np.zeros(sample.shape[1])):
+        tables = Tables(sample, centre, bits, radius, pairs)
+        for _ in range(least):
+            tables.add()
+        ways.append(tables)
+    best = min(ways, key=lambda tables: tables.work(n, recall))
+    # Past four times the expected number, rotations are drawn: those differ for sure, learned ones may not.
+    learned = 4 * best.needed(recall)
+    while best.recall() < recall:
+        best.add(ROUNDS if len(best.rotations) < learned else 0)
+    return best
+
+
 def usable(vector) -> F.Column:
     """Non-empty, finite throughout and not zero; null otherwise false."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     return F.coalesce((F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _codes(nodes: DataFrame, rotations: list[tuple[np.ndarray, np.ndarray]], bits: int) -> DataFrame:
+def _codes(nodes: DataFrame, rotations: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """(node, codes): one integer per table."""
     shared = nodes.sparkSession.sparkContext.broadcast(rotations)  # tables x dims x bits numbers
 
@@ -96,9 +199,7 @@ def _codes(nodes: DataFrame, rotations: list[tuple[np.ndarray, np.ndarray]], bit
             return pd.Series([], dtype=object)
         x = np.stack(vectors.to_numpy()).astype(np.float64)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        weights = 1 << np.arange(bits, dtype=np.int64)
-        found = np.stack([((x - mean) @ axes >= 0) @ weights for mean, axes in shared.value], axis=1)
-        return pd.Series(list(found))
+        return pd.Series(list(np.stack([encode(x, rotation) for rotation in shared.value], axis=1)))
 
     return nodes.select("node", coded("vector").alias("codes"))
 
@@ -145,13 +246,10 @@ def _links_of_length(
     sample = nodes.orderBy(F.xxhash64("vector")).limit(fit_rows).select("vector").toPandas()["vector"]
     sample = np.stack(sample.to_numpy()).astype(np.float64)
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
-    bits, tables = plan(n, threshold, recall, radius)
-    rotations = [learn_rotation(sample, bits, _SEED + t) for t in range(tables)]
-    # Differing bits of a pair at the threshold, and five deviations more.
-    flip, width = math.acos(threshold) / math.pi, bits * tables
-    furthest = math.ceil(width * flip + 5 * math.sqrt(width * flip * (1 - flip)))
-    codes = written(_codes(nodes, rotations, bits), "itq-codes")
-    pairs = written(_candidates(codes, bits, tables, radius, furthest), "itq-pairs")
+    tables = learn_tables(sample, n, threshold, recall, radius)
+    codes = written(_codes(nodes, tables.rotations), "itq-codes")
+    pairs = _candidates(codes, tables.bits, len(tables.rotations), radius, tables.furthest())
+    pairs = written(pairs, "itq-pairs")
     return _rerank(pairs, nodes, threshold)
 
 

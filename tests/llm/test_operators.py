@@ -322,6 +322,23 @@ def test_recall_against_brute_force(spark):
     assert _rows(found, ["vec_id", "component_id"]) == sorted(enumerate(least), key=str)
 
 
+@pytest.mark.parametrize("common", [0.72, 0.8, 0.97])  # mean cosine of all pairs
+def test_recall_on_vectors_with_a_common_mean(spark, common):
+    rng = np.random.default_rng(23)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    centre = unit(rng.standard_normal((1, 64)))
+    base = unit(np.sqrt(common) * centre + np.sqrt(1 - common) * unit(rng.standard_normal((600, 64))))
+    way = rng.standard_normal(base.shape)
+    way = unit(way - (way * base).sum(axis=1, keepdims=True) * base)
+    cosine = rng.uniform(0.951, 0.96, (600, 1))
+    x = unit(np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * way]))
+    a, b = np.nonzero(np.triu(x @ x.T >= 0.95, 1))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {tuple(sorted(r)) for r in itq.near_duplicates(vectors)[1].collect()}
+    want = set(zip(a.tolist(), b.tolist(), strict=True))
+    assert got <= want and len(got) >= 0.97 * len(want) > 500
+
+
 def test_tables_follow_size_and_recall():
     assert itq.plan(10**9, 0.95, 0.98, 2)[0] > itq.plan(10**4, 0.95, 0.98, 2)[0]
     assert itq.plan(10**4, 0.95, 0.999, 2)[1] > itq.plan(10**4, 0.95, 0.9, 2)[1]
