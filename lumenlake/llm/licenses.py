@@ -2,7 +2,10 @@
 
 A text is cut into sentences.  Each is normalised (A-Z lower-cased, all but
 letters and digits to single spaces) and looked up among known license
-sentences; a sentence that is not known as a whole is looked up line by line.
+sentences.  One that is not known as a whole is cut further, after each colon
+and before the opening words of long known sentences (so joined lines, titles
+and copyright lines part from the license), and its pieces are looked up; a
+piece that is not known either is looked up line by line.
 What is left is the sequence of identifiers in text order, with a bar for each
 unknown stretch.  Ordered rules then claim runs of identifiers: a rule matches
 its identifiers side by side, each claims what it matches, and later, less
@@ -123,6 +126,8 @@ RULES = [
 UNKNOWN = "|"
 CUT = "\x01"
 SENTENCE_END = r"([.!?;])[\x20\x09-\x0D]+|:[\x20\x09\x0D]*\n|\n[\x20\x09\x0D]*\n"
+OPENING_WORDS = 6
+MARKER = r"^[^A-Za-z0-9]*\(?[0-9a-z]{1,2}\)\s"  # of a list, (a) or 1)
 ANCHORS = r"(?i)licen[sc]e|permi|redistribut|conditions|warrant|software"
 
 
@@ -139,6 +144,13 @@ def known_sentences() -> dict[str, str]:
     return {normal(text): name for name, texts in SENTENCES.items() for text in texts}
 
 
+def inner_cuts() -> str:
+    """Where a sentence that is not known is cut: after colons and before openings of long known sentences."""
+    long = (normal(text).split() for texts in SENTENCES.values() for text in texts)
+    openings = sorted({"[^A-Za-z0-9]+".join(words[:OPENING_WORDS]) for words in long if len(words) >= 2 * OPENING_WORDS})
+    return rf"(?i)(?<!SPDX-License-Identifier):\s+|(?<![A-Za-z0-9])(?=(?:{'|'.join(openings)})(?![A-Za-z0-9]))"
+
+
 def identifiers(text: Column) -> Column:
     """The sequence of identifiers and bars of a text."""
     known = F.create_map(*(F.lit(x) for pair in known_sentences().items() for x in pair))
@@ -148,7 +160,10 @@ def identifiers(text: Column) -> Column:
         F.filter(F.split(s, "\n"), lambda line: F.length(normalised(line)) > 2),
         lambda line: F.coalesce(named(line), F.lit(UNKNOWN)),
     )
-    return F.flatten(F.transform(sentences, lambda s: F.when(named(s).isNotNull(), F.array(named(s))).otherwise(by_line(s))))
+    whole_or = lambda other: lambda s: F.when(named(s).isNotNull(), F.array(named(s))).otherwise(other(s))
+    pieces = lambda s: F.transform(F.split(s, inner_cuts()), lambda p: F.regexp_replace(p, MARKER, ""))
+    by_piece = lambda s: F.flatten(F.transform(pieces(s), whole_or(by_line)))
+    return F.flatten(F.transform(sentences, whole_or(by_piece)))
 
 
 def scan(docs: DataFrame) -> DataFrame:

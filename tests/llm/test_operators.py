@@ -367,6 +367,69 @@ def test_rules(spark, text, found, unclaimed):
     assert (r.licenses, r.n_unclaimed) == (found, unclaimed)
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD3 = """Copyright (c) 2020, Jane Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+
+
+def _stored(text):
+    """The text wrapped, without blank lines, on one line, as a comment."""
+    packed = re.sub("\n+", "\n", text)
+    return [text, packed, " ".join(text.split()), re.sub("(?m)^", "# ", text), re.sub("(?m)^", "// ", packed)]
+
+
+def _licenses(spark, texts):
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [(r.licenses, r.n_unclaimed) for r in sorted(rows, key=lambda r: r.row.doc_id)]
+
+
+def test_whole_texts_wrapped_and_joined(spark):
+    texts = [*_stored(MIT), *_stored("some code\n" + MIT), *_stored(BSD3), *_stored(BSD3.replace("1. ", "(1) ").replace("2. ", "b) "))]
+    found = _licenses(spark, texts)
+    assert found == [(["MIT"], 0)] * 10 + [(["BSD-3-Clause"], 0)] * 10
+    odd = ["Note: SPDX-License-Identifier: MIT", "// SPDX-License-Identifier: MIT\nint main", "License: Released under the MIT License."]
+    assert _licenses(spark, odd) == [(["MIT"], 0)] * 3
+
+
 def test_every_known_sentence_has_an_anchor_and_is_found_whole(spark):
     texts = [t for group in licenses.SENTENCES.values() for t in group]
     assert all(re.search(licenses.ANCHORS, t) for t in texts)
