@@ -430,6 +430,69 @@ def test_whole_texts_wrapped_and_joined(spark):
     assert _licenses(spark, odd) == [(["MIT"], 0)] * 3
 
 
+APACHE = """Copyright 2020 Jane Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+ISC = """Copyright (c) 2020, Jane Doe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS
+OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER
+TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+THIS SOFTWARE.
+"""
+
+
+def test_common_licenses(spark):
+    gpl2 = GPL3.replace("software:", "software;").replace("Foundation, either", "Foundation; either").replace("version 3", "version 2")
+    family = lambda text, kind: text.replace("GNU General", f"GNU {kind} General").replace("GNU\nGeneral", f"GNU {kind} General")
+    lgpl = family(gpl2, "Lesser").replace("version 2", "version 2.1").replace("program", "library")
+    holder = lambda name: BSD3.replace("the copyright holder nor", f"{name} nor")
+    advert = "All advertising materials mentioning features or use of this software\n   must display the following acknowledgement:\n"
+    bsd4 = BSD3.replace("3. Neither", f"3. {advert}   This product includes software developed by Acme, Inc. and others.\n\n4. Neither")
+    cases = [
+        (APACHE, "Apache-2.0"), (GPL3, "GPL-3.0-or-later"), (gpl2, "GPL-2.0-or-later"), (lgpl, "LGPL-2.1-or-later"),
+        (family(GPL3, "Lesser"), "LGPL-3.0-or-later"), (family(GPL3, "Affero"), "AGPL-3.0-or-later"), (ISC, "ISC"),
+        (holder("Acme Corp"), "BSD-3-Clause"), (holder("Acme, Inc."), "BSD-3-Clause"), (bsd4, "BSD-4-Clause"),
+        (re.sub("(?s)3. Neither.*?used", "3. The name of J. Doe may not be used", BSD3), "BSD-3-Clause"),
+        (re.sub("(?s)3. Neither.*?permission.", "", BSD3), "BSD-2-Clause"),
+    ]
+    found = _licenses(spark, [t for text, _ in cases for t in _stored(text)])
+    assert found == [([name], 0) for _, name in cases for _ in range(5)]
+    between = BSD3.replace("3. Neither", "3. Something else must hold.\n\n4. Neither")
+    assert _licenses(spark, [between]) == [([], 4)]
+
+
 def test_every_known_sentence_has_an_anchor_and_is_found_whole(spark):
     texts = [t for group in licenses.SENTENCES.values() for t in group]
     assert all(re.search(licenses.ANCHORS, t) for t in texts)
