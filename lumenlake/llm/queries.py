@@ -75,8 +75,10 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     warc.write_archives(warc.records(_table(spark, sf_dir, "pages")), folder)
-    # Payloads of responses are inflated and held against their digests.
-    found = warc.read_archives(spark, folder, verify="true")
+    # Payloads of responses are inflated and held against their digests; revisits are taken from headers alone.
+    responses = warc.read_archives(spark, folder, verify="true").where(F.col("record_type") == "response")
+    revisits = warc.read_archives(spark, folder, payload="none").where(F.col("record_type") == "revisit")
+    found = responses.unionByName(revisits)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

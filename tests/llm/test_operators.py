@@ -302,6 +302,14 @@ def test_uncommitted_archives_are_not_read(spark):
     assert [r.page_id for r in warc.read_archives(spark, folder).collect()] == [1]
 
 
+def test_registered_query_pushes_record_types(spark):
+    found = QUERIES["op8_warc"](spark, SF)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 2 and "Union" in plan
+    assert "Filter (" not in plan  # the reader has taken every predicate
+    assert found.count() == spark.read.parquet(f"{SF}/pages.parquet").count()
+
+
 # --- embeddings --------------------------------------------------------------
 
 
