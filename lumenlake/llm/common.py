@@ -5,8 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import lumenlake
@@ -18,6 +22,7 @@ _shipped: set[str] = set()
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
+SLICE_BYTES = 1 << 21
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -67,3 +72,13 @@ def remainder(identifier: Column, parts: int) -> Column:
 def seeded_hash(seed: str, identifier: Column) -> Column:
     """32 hex digits, the same in every engine that has md5."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(identifier.cast("string"), F.lit(""))).cast("binary"))
+
+
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Consecutive parts of about ``most`` bytes; a longer text is a part of its own."""
+    sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
+    start = 0
+    while start < len(texts):
+        end = max(start + 1, int(np.searchsorted(sizes, sizes[start] + most, side="right")) - 1)
+        yield texts.slice(start, end - start)
+        start = end

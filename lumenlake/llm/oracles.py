@@ -102,5 +102,32 @@ SELECT doc_id, array_to_string(regexp_extract_all(rest, '=(\\S+)', 1), ',') AS l
 FROM matched
 """
 
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), {_ASCII}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
-ORACLES = {"op1_mixing": MIXING, "op5_exact": EXACT, "op6_lines": LINES, "op8_warc": WARC, "op10_licenses": _license_sql()}
+SEARCH = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS place, {_TERMS} AS terms FROM documents),
+size AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS total FROM d WHERE len(terms) > 0),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+single AS (SELECT doc_id, place, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM d),
+counted AS (
+  SELECT doc_id, place, n, term, CAST(count(*) AS BIGINT) AS tf FROM single
+  WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, place, n, term
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, size GROUP BY term
+), scored AS (
+  SELECT item_id, place, any_value(doc_id) AS doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // total)))) AS BIGINT) AS score
+  FROM counted JOIN weighed USING (term) JOIN wanted USING (term), size GROUP BY item_id, place
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+ORACLES = {
+    "op1_mixing": MIXING, "op5_exact": EXACT, "op6_lines": LINES, "op8_warc": WARC, "op10_licenses": _license_sql(),
+    "op13_search": SEARCH,
+}

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lumenlake.llm import exact, itq, language, licenses, lines, mixing, pieces, simhash, toxicity, warc
-from lumenlake.llm.common import new_folder, remainder
+from lumenlake.llm import exact, itq, language, licenses, lines, mixing, pieces, runs, search, simhash, tokens, toxicity, warc
+from lumenlake.llm.common import BLANKS, new_folder, remainder, text_or_empty
+
+TOKEN_LIMIT = 512
 
 REJECT = toxicity.REJECT
 
@@ -16,10 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,10 +100,53 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents; a tenth of them, by a hash of the id, repeat some of their words up to the end.
+
+    Rows without an id stay as they are.
+    """
+    words = F.filter(F.split(text_or_empty(), BLANKS), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n = F.size("s.words")
+    a = F.col("s.g") % n
+    p = F.expr("1 + (size(s.words) - s.g % size(s.words)) div (3 + s.g % 8)")
+    times = F.expr("(size(s.words) - s.g % size(s.words)) div (1 + (size(s.words) - s.g % size(s.words)) div (3 + s.g % 8)) + 1")
+    again = F.flatten(F.array_repeat(F.slice("s.words", a + 1, p), times.cast("int")))
+    planted = F.array_join(F.concat(F.slice("s.words", F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+    chosen = docs.withColumn("s", F.when(h % 10 == 0, F.struct(words.alias("words"), F.floor(h / 10).alias("g"))))
+    return chosen.withColumn("text", F.when(F.size("s.words") > 0, planted).otherwise(F.col("text"))).drop("s")
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = runs.find_runs(docs)
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    every = F.concat(F.array_join(listed, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("strongest.start").alias("start"),
+        F.col("strongest.length").alias("length"),
+        F.col("strongest.period").alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(every, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tokens.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return found.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
         op1_mixing, op2_language, op3_toxicity, op4_simhash, op5_exact, op6_lines, op7_pieces, op8_warc, op9_itq,
-        op10_licenses,
+        op10_licenses, op11_runs, op12_tokens, op13_search,
     )
 }

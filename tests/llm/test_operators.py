@@ -39,7 +39,7 @@ def _rows(frame, columns):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("benchmark", "documents", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     found = QUERIES[name](spark, SF)
     columns = sorted(found.columns)
