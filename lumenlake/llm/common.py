@@ -61,7 +61,7 @@ def lower_ascii(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))).cast("long")
+    return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
 def remainder(identifier: Column, parts: int) -> Column:
@@ -74,6 +74,11 @@ def seeded_hash(seed: str, identifier: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(identifier.cast("string"), F.lit(""))).cast("binary"))
 
 
+def text_key(text: Column) -> tuple[Column, Column]:
+    """128 bits that stand for a text, the same in every scan."""
+    return F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
     """Consecutive parts of about ``most`` bytes; a longer text is a part of its own."""
     sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])

@@ -1,15 +1,20 @@
 """Line deduplication against levelled sorted runs; DataFrame functions only.
 
 Lines are compared by a 128-bit hash of their key: blanks stripped at both
-ends, A-Z lower-cased.  The index holds the hashes seen so far, each with the
-document that owns it, as runs: tables bucketed and sorted by hash.  A new
-batch is reduced to its distinct hashes, merge-anti-joined with every run, and
-what is left becomes a run of its own.  Runs of a level are compacted into one
-run of the next level when ``fan_in`` of them have gathered.  All runs have the
-same buckets, so neither the joins nor lookups shuffle them again.
+ends, A-Z lower-cased.  One scan turns texts into (row, line number, hash),
+which is written by batch; texts are not read again until the end.  The index
+holds the hashes seen so far, each with the document that owns it, as runs:
+tables bucketed and sorted by hash.  A new batch is reduced to its distinct
+hashes, merge-anti-joined with every run, and what is left becomes a run of its
+own.  Runs of a level are compacted into one run of the next level when
+``fan_in`` of them have gathered, with one sorted file a bucket.  All runs have
+the same buckets, so neither the joins nor lookups shuffle them again.
 
 Batches come in ascending order of doc_id, so the first owner is the least
-document.  A document keeps the lines it owns and those with short keys.
+document.  Lines whose owner is another document are lost; their numbers are
+gathered per row, and only rows that lose any are cut and joined again.  Rows
+are known by doc_id and a 128-bit hash of the text, which every scan gives
+alike: rows that share both lose the same lines.
 
 Defined results: a null or empty text is one empty line; a null doc_id is one
 document that comes last; rows that repeat a doc_id are one document and keep
@@ -23,19 +28,32 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lumenlake.llm.common import BLANK_CHARS, lower_ascii, new_folder, text_or_empty
+from lumenlake.llm.common import BLANK_CHARS, new_folder, text_key, text_or_empty, written
 
 LEAST_LENGTH = 10
 BATCHES = 4
 FAN_IN = 3
+_MOST_BUCKETS = "spark.sql.sources.bucketing.maxBuckets"
 
 
-def line_key(line: Column) -> Column:
-    return F.btrim(lower_ascii(line), F.lit(BLANK_CHARS))
+def _stripped(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANK_CHARS))
 
 
 def _hashes(key: Column) -> tuple[Column, Column]:
-    return F.xxhash64(key), F.xxhash64(F.lit("second"), key)
+    """128 bits of a stripped line, the same for both cases of A-Z and for nothing else.
+
+    The bytes are read as one character each and lower-cased.  Beyond A-Z that
+    shifts the lead bytes of two-byte characters by 32; as the number of bytes
+    that follow a lead byte still tells its kind, no two keys fall together.
+    """
+    folded = F.lower(F.decode(key.cast("binary"), "ISO-8859-1"))
+    return F.xxhash64(folded), F.xxhash64(F.lit("second"), folded)
+
+
+def bucket_count(spark: SparkSession) -> int:
+    """One bucket per shuffle partition, as far as Spark allows."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(_MOST_BUCKETS)))
 
 
 class LineIndex:
@@ -43,7 +61,7 @@ class LineIndex:
 
     def __init__(self, spark: SparkSession, buckets: int | None = None, fan_in: int = FAN_IN):
         self.spark = spark
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or bucket_count(spark)
         self.fan_in = fan_in
         self.folder = new_folder(spark, "line-runs")
         self.levels: list[list[str]] = []
@@ -56,16 +74,20 @@ class LineIndex:
         )
         return name
 
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
     def runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
 
     def owners(self) -> DataFrame:
         """All hashes with their owners; no hash is in two runs."""
-        found = [self.spark.table(name) for name in self.runs()]
-        whole = found[0]
-        for run in found[1:]:
-            whole = whole.unionByName(run)
-        return whole
+        return self._united(self.runs())
+
+    def _united(self, names: list[str]) -> DataFrame:
+        """Runs as files without buckets: joins by sorted buckets do not go through here."""
+        shape = self.spark.table(names[0]).schema
+        return self.spark.read.schema(shape).parquet(*map(self.path, names))
 
     def add(self, lines: DataFrame) -> None:
         """Enter a batch of (h1, h2, doc_id)."""
@@ -81,59 +103,85 @@ class LineIndex:
         self.levels[level].append(name)
         if len(self.levels[level]) < self.fan_in:
             return
-        parts = self.levels[level]
-        whole = self.spark.table(parts[0])
-        for part in parts[1:]:
-            whole = whole.unionByName(self.spark.table(part))
-        merged = self._write_run(whole)
+        merged = self._write_run(self._united(self.levels[level]))
+        self._drop(self.levels[level])
         self.levels[level] = []
         self._enter(merged, level + 1)
 
+    def _drop(self, names: list[str]) -> None:
+        """Forget tables; their files stay in the shared folder for plans that still read them."""
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def close(self) -> None:
+        self._drop(self.runs())
+
 
-def long_lines(docs: DataFrame, least_length: int = LEAST_LENGTH) -> DataFrame:
-    """(h1, h2, doc_id) of every line whose key is long enough."""
-    lines = docs.select("doc_id", F.explode(F.split(text_or_empty(), "\n")).alias("line"))
-    keys = lines.select("doc_id", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= least_length)
-    h1, h2 = _hashes(F.col("key"))
-    return keys.select(h1.alias("h1"), h2.alias("h2"), "doc_id")
+def long_lines(docs: DataFrame, least_length: int = LEAST_LENGTH, batch: Column | None = None) -> DataFrame:
+    """(doc_id, t1, t2, place, h1, h2, batch) of every line whose key is long enough; t1, t2 stand for the text."""
+    batch = F.lit(0) if batch is None else batch
+    text = text_or_empty()
+    lines = docs.select("doc_id", batch.alias("batch"), *text_key(text), F.posexplode(F.split(text, "\n")).alias("place", "line"))
+    keys = lines.withColumn("line", _stripped(F.col("line"))).where(F.char_length("line") >= least_length)
+    h1, h2 = _hashes(F.col("line"))
+    return keys.select("doc_id", "t1", "t2", "place", h1.alias("h1"), h2.alias("h2"), "batch")
 
 
-def batches_by_id(docs: DataFrame, batches: int = BATCHES) -> list[DataFrame]:
-    """About equal parts of ``docs`` in ascending order of doc_id, null last."""
+def batch_edges(docs: DataFrame, batches: int = BATCHES) -> list[int]:
+    """Greatest doc_id of each batch but the last; batches are about equal."""
     shares = [i / batches for i in range(1, batches)]
     edges = docs.agg(F.percentile_approx("doc_id", shares).alias("e")).first()["e"] if shares else None
-    edges = sorted(set(edges or []))
-    if not edges:
-        return [docs]
-    doc_id = F.col("doc_id")
-    parts = [docs.where(doc_id <= edges[0])]
-    parts += [docs.where((doc_id > lo) & (doc_id <= hi)) for lo, hi in zip(edges, edges[1:], strict=False)]
-    return [*parts, docs.where((doc_id > edges[-1]) | doc_id.isNull())]
+    return sorted(set(edges or []))
+
+
+def _batch_of(edges: list[int]) -> Column:
+    """Number of the batch of a doc_id; null comes last."""
+    number = F.lit(len(edges))
+    for i, edge in reversed(list(enumerate(edges))):
+        number = F.when(F.col("doc_id") <= edge, i).otherwise(number)
+    return number
+
+
+def lost_lines(
+    docs: DataFrame, least_length: int = LEAST_LENGTH, batches: int = BATCHES, fan_in: int = FAN_IN
+) -> DataFrame:
+    """(doc_id, t1, t2, lost): numbers of the lines that another document owns, for rows that have any."""
+    spark = docs.sparkSession
+    edges = batch_edges(docs, batches)
+    path = new_folder(spark, "line-hashes")
+    hashed = long_lines(docs.select("doc_id", "text"), least_length, _batch_of(edges))
+    hashed.write.partitionBy("batch").parquet(path)
+    hashed = spark.read.schema(hashed.schema).parquet(path)
+    index = LineIndex(spark, fan_in=fan_in)
+    for number in range(len(edges) + 1):
+        index.add(hashed.where(F.col("batch") == number))
+    # Both sides are shuffled, so adaptive execution can split a hot line.
+    owned = hashed.join(index.owners(), ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("owner")))
+    lost = owned.groupBy("doc_id", "t1", "t2").agg(F.collect_set("place").alias("lost"))
+    lost = written(lost, "lost-lines")
+    index.close()
+    return lost
 
 
 def dedup_lines(
     docs: DataFrame, least_length: int = LEAST_LENGTH, batches: int = BATCHES, fan_in: int = FAN_IN
 ) -> DataFrame:
     """(row, n_lines, n_dropped, kept_text) for every row of ``docs``."""
-    index = LineIndex(docs.sparkSession, fan_in=fan_in)
-    for part in batches_by_id(docs.select("doc_id", "text"), batches):
-        index.add(long_lines(part, least_length))
-    owned = index.owners().groupBy("owner").agg(F.collect_list("h1").alias("owned"))
-    # About sqrt(n) slots, so that looking up n lines takes n sqrt(n) steps and not n * n.
-    n_slots = F.ceil(F.sqrt(F.size("owned"))).cast("int")
-    slot_of = lambda h: F.pmod(h, n_slots)
-    slots = F.transform(F.sequence(F.lit(0), n_slots - 1), lambda i: F.filter("owned", lambda h: slot_of(h) == i))
-    owned = owned.select("owner", slots.alias("slots"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), F.split(text_or_empty(), "\n").alias("lines"))
-    joined = rows.join(owned, F.col("_id").eqNullSafe(F.col("owner")), "left")
-
-    def stays(line: Column) -> Column:
-        key = line_key(line)
-        h1 = _hashes(key)[0]
-        slot = F.element_at("slots", (F.pmod(h1, F.size("slots")) + 1).cast("int"))
-        return (F.char_length(key) < least_length) | F.coalesce(F.array_contains(slot, h1), F.lit(False))
-
-    kept = joined.select("row", F.size("lines").cast("long").alias("n_lines"), F.filter("lines", stays).alias("kept"))
-    return kept.select(
-        "row", "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_dropped"), F.array_join("kept", "\n").alias("kept_text")
+    lost = lost_lines(docs, least_length, batches, fan_in)
+    lost = lost.select(F.col("doc_id").alias("_id"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "lost")
+    text = text_or_empty()
+    rows = docs.select(F.struct("*").alias("row"), text.alias("_text"), *text_key(text))
+    same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2"))
+    joined = rows.join(lost, same, "left")
+    n_lines = F.char_length("_text") - F.char_length(F.replace(F.col("_text"), F.lit("\n"), F.lit(""))) + 1
+    # Numbers of the lines that stay, by a set difference; one element stands for the cut text, which is made once.
+    cut = F.array(F.split("_text", "\n"))
+    places = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("lost"))
+    kept = F.transform(cut, lambda lines: F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n"))
+    counted = joined.select("row", "_text", "lost", n_lines.alias("n_lines"))
+    return counted.select(
+        "row",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("lost").isNull(), F.col("_text")).otherwise(F.get(kept, F.lit(0))).alias("kept_text"),
     )
