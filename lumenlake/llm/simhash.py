@@ -30,7 +30,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumenlake.llm.common import ship, written
+from lumenlake.llm.common import ship, text_key, written
 from lumenlake.llm.components import components
 
 SHINGLE = 3
@@ -142,9 +142,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, de
     return found
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, **settings) -> DataFrame:
-    """(doc_id, fp, component_id) for every row; component_id is the least doc_id reachable by links."""
-    rows = with_fingerprints(docs, shingle).select("row.doc_id", "fp")
+def _grouped(docs: DataFrame, shingle: int, max_bits: int, **settings) -> DataFrame:
+    """(doc_id, t1, t2, fp, component_id) for every row; t1 and t2 stand for the text."""
+    rows = with_fingerprints(docs, shingle).select("row.doc_id", *text_key(F.col("row.text").cast("string")), "fp")
     rows = written(rows, "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = components(links(nodes.select("fp"), max_bits, **settings))
@@ -154,7 +154,12 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     grouped = written(grouped, "fingerprint-nodes")
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     ids = grouped.join(least, "component").select("fp", "component_id")
-    return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(ids, "fp").select("doc_id", "t1", "t2", "fp", "component_id")
+
+
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, **settings) -> DataFrame:
+    """(doc_id, fp, component_id) for every row; component_id is the least doc_id reachable by links."""
+    return _grouped(docs, shingle, max_bits, **settings).select("doc_id", "fp", "component_id")
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, **settings) -> DataFrame:
@@ -162,19 +167,23 @@ def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = M
 
     Rows that are not the least go by id and fingerprint, so an id that was
     given to two texts loses only the one that repeats another.  Of rows that
-    share id and group one stays.
+    share id and group one stays.  Fingerprints are made once; the rows to
+    drop are found again by id and text.
     """
-    groups = written(near_groups(docs, shingle, max_bits, **settings), "near-groups")
+    groups = written(_grouped(docs, shingle, max_bits, **settings), "near-groups")
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = first.groupBy("component_id").agg(F.min("fp").alias("first_fp"))
     first = first.withColumnRenamed("component_id", "first_id")
     stays = groups["component_id"].eqNullSafe(first["first_id"]) & groups["doc_id"].eqNullSafe(first["first_id"])
     marked = groups.join(first, stays & (groups["fp"] == first["first_fp"]), "left")
     marked = marked.groupBy("doc_id", "fp").agg(F.count("first_fp").alias("n_kept"))
-    # Rows to drop, and rows that are there more than once, by id and fingerprint.
-    odd = written(marked.where("n_kept <> 1").select(F.col("doc_id").alias("o_id"), F.col("fp").alias("o_fp"), "n_kept"), "near-odd")
-    rows = with_fingerprints(docs, shingle)
-    same = F.col("row.doc_id").eqNullSafe(F.col("o_id")) & (F.col("fp") == F.col("o_fp"))
+    # Rows to drop, and rows that are there more than once, by id and fingerprint, then by id and text.
+    odd = marked.where("n_kept <> 1").select(F.col("doc_id").alias("o_id"), F.col("fp").alias("o_fp"), "n_kept")
+    texts = groups.join(odd, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("fp") == F.col("o_fp")))
+    texts = texts.groupBy("o_id", "o_fp", "n_kept", F.col("t1").alias("o_t1"), F.col("t2").alias("o_t2")).count().drop("count")
+    odd = written(texts, "near-odd")
+    rows = docs.select(F.struct("*").alias("row"), *text_key(F.col("text").cast("string")))
+    same = F.col("row.doc_id").eqNullSafe(F.col("o_id")) & (F.col("t1") == F.col("o_t1")) & (F.col("t2") == F.col("o_t2"))
     single = rows.join(odd, same, "left_anti").select("row.*")
     again = odd.where("n_kept > 1")
     if again.isEmpty():
