@@ -8,7 +8,7 @@ score is the mean over those.  A text scores the mean over its words, and the
 lowest mean wins; equal means go to the smaller language by code point.
 
 The model is fitted on a bounded sample of labelled rows: ``sample_rows`` whole
-texts per language, chosen by the hash of the id.  Words and n-grams are
+texts per language, chosen by the hash of id and text.  Words and n-grams are
 counted where the rows are and added up by Spark; those seen ``min_count``
 times or more go to the driver and are broadcast, so its size is bounded by
 the sample, whatever the input.  Every row is predicted, from its text alone.
@@ -118,17 +118,22 @@ class LanguageModel:
 
 
 def labelled_sample(docs: DataFrame, sample_rows: int, parts: int, held_out: int) -> DataFrame:
-    """About ``sample_rows`` rows of each language, outside the held-out part."""
+    """About ``sample_rows`` distinct texts of each language, outside the held-out part.
+
+    The place of a row comes from its id and text, so rows without an id or
+    with the same one are chosen apart; of equal rows one stays.
+    """
+    steps = 16**8
+    hashed = seeded_hash("language", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text")))
     rows = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), parts) != held_out)
-    ).select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
-    per_language = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    steps = 16**8
-    place = F.conv(F.substring(seeded_hash("language", F.col("doc_id")), 1, 8), 16, 10).cast("long")
+    ).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), hashed.alias("hash"))
+    per_language = rows.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).collect()
+    place = F.conv(F.substring("hash", 1, 8), 16, 10).cast("long")
     cut = F.lit(0)
-    for lang, n in per_language.items():
+    for lang, n in per_language:
         cut = F.when(F.col("lang") == lang, F.lit(math.ceil(steps * min(1.0, sample_rows / n)))).otherwise(cut)
-    return rows.where(place < cut).select("lang", "text")
+    return rows.where(place < cut).dropDuplicates(["lang", "hash"]).select("lang", "text")
 
 
 def fit(

@@ -6,16 +6,17 @@ and what it leaves is shared by the others, until no source is above.  The
 rounds run on one row per source and bring two numbers to the driver.
 
 Documents are then repeated as a whole: the whole part of target / size for
-every document of a source, and one more time for those whose seeded hash is
-below the source's cut.  The cut lies where the running total of sizes in
+every document of a source, and one more time for those whose seeded hash, of
+id and text, is below the source's cut.  The cut lies where the running total of sizes in
 hash order meets the fraction wanted, so taken words differ from the target
 by half of one document at most.  It is found in two steps: totals by the
 first hash digits, then the documents of the one chunk the cut falls into.
 
 Defined results: a null source is a source of its own; a null or empty text
-has size 0 and adds nothing; a null or negative weight counts as 0; rows with
-the same id share a hash and are taken together; an empty table stays empty;
-extra columns, whatever their names, travel untouched inside ``row``.
+has size 0 and adds nothing; a null or negative weight counts as 0; a null id
+counts as empty text in the hash; rows that share id and text are taken
+together, others with the same id are not; an empty table stays empty; extra
+columns, whatever their names, travel untouched inside ``row``.
 """
 
 from __future__ import annotations
@@ -74,7 +75,7 @@ def _sized(docs: DataFrame, seed: str) -> DataFrame:
     return docs.select(
         F.struct("*").alias("row"),
         "source",
-        seeded_hash(seed, F.col("doc_id")).alias("place"),
+        seeded_hash(seed, F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_or_empty())).alias("place"),
         word_count(text_or_empty()).alias("size"),
     )
 

@@ -11,7 +11,7 @@ _ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 MIXING = f"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
-         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS place
   FROM documents
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

@@ -6,7 +6,9 @@ the n-gram is in toxic texts than in others, from smoothed document counts.
 Logistic regression is fitted on these values, both classes weighing the same.
 
 The fit uses a bounded sample of labelled rows: at most about ``sample_rows``
-whole texts of each class, chosen by the hash of the id.  N-grams are counted
+whole texts of each class, chosen by the hash of the id; rows that share id
+and text count once, and where ids repeat with ever other texts the sample is
+cut again by a hash of both.  N-grams are counted
 as 64-bit hashes where the rows are; those in ``min_docs`` texts or more whose
 ratio is at least ``min_ratio`` are the features.  All documents are scored, whole.
 
@@ -100,7 +102,14 @@ def labelled_sample(
     # About 2 x sample_rows ids, whatever the input: a proven bound for the broadcast.
     chosen = known.where(place < cut).select(F.col("doc_id").alias("chosen_id"), "toxic")
     texts = docs.select("doc_id", text_or_empty().alias("text"))
-    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select("toxic", "text")
+    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select("toxic", "chosen_id", "text")
+    found = written(found.dropDuplicates(["chosen_id", "text"]), "toxicity-rows")
+    again = F.lit(steps)
+    for toxic, n in found.groupBy("toxic").agg(F.count("*").alias("n")).collect():
+        if n > 2 * sample_rows:  # ids that many texts share; with an id for each, the first cut leaves about half of that
+            again = F.when(F.col("toxic") == toxic, F.lit(math.ceil(steps * sample_rows / n))).otherwise(again)
+    place = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("chosen_id").cast("string"), "text")), 1, 8), 16, 10).cast("long")
+    return found.where(place < again).select("toxic", "text")
 
 
 def _hashed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -167,3 +167,38 @@ def test_pages(spark):
     empty = new_folder(spark, "no-pages")
     warc.write_archives(warc.records(pages.limit(0)), empty)
     assert warc.read_archives(spark, empty).count() == 0
+
+
+# --- ids that are missing or repeated in whole sources -------------------------
+
+
+@pytest.mark.parametrize("same_id", [None, 7])
+def test_mix_meets_its_targets_without_own_ids(spark, same_id):
+    """Sources b and c have one id for all rows: places come from the texts, too."""
+    rows = [(i, f"{s}{i} " * 100, "en", s) for s in "abc" for i in range(400)]
+    docs = _docs(spark, [(r[0] if r[3] == "a" else same_id, *r[1:]) for r in rows])
+    found = mixing.mix(docs).groupBy("row.source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"))
+    for r in found.collect():
+        assert abs(r.taken - r.target) <= 50, r
+
+
+def test_language_of_rows_without_ids_is_learned(spark):
+    rng = random.Random(4)
+    texts = {"en": "the of and with for that this from".split(), "de": "der die und mit für das dies von".split()}
+    rows = [(None if lang == "en" else i, " ".join(rng.choices(words, k=12)), lang, "s") for lang, words in texts.items() for i in range(600)]
+    rows += [(None, "one text the whole table repeats", "xx", "s")] * 500
+    docs = _docs(spark, rows)
+    sample = language.labelled_sample(docs, 100, 4, 2).groupBy("lang").count().collect()
+    sizes = dict(map(tuple, sample))
+    assert 60 <= sizes["en"] <= 140 and 60 <= sizes["de"] <= 140 and sizes["xx"] == 1
+    model = language.fit(docs, sample_rows=100)
+    probe = _docs(spark, [(2, "the and of", None, "s"), (3, "der und die", None, "s")])
+    assert {r.row.doc_id: r.lang_pred for r in language.predict(probe, model).collect()} == {2: "en", 3: "de"}
+
+
+def test_toxicity_sample_is_bounded_where_ids_repeat(spark):
+    rows = [(5, f"one id many texts {i}", "en", "s") for i in range(3000)] + [(6, "the same row", "en", "s")] * 3000
+    labels = spark.createDataFrame([(5, 0, 1), (6, 0, 0)], "doc_id long, quality int, toxic int")
+    sample = toxicity.labelled_sample(_docs(spark, rows), labels, 100, 3, 99).groupBy("toxic").count().collect()
+    sizes = dict(map(tuple, sample))
+    assert 60 <= sizes[1] <= 140 and sizes[0] == 1

@@ -236,6 +236,37 @@ def test_runs_are_compacted_and_disjoint(spark):
         index.add(spark.createDataFrame([(h, 0, i) for h in range(i * 2, i * 2 + 4)], "h1 long, h2 long, doc_id long"))
     assert [len(level) for level in index.levels] == [1, 0, 1]
     assert _rows(index.owners(), ["h1", "owner"]) == sorted([(h, max(0, (h - 2) // 2)) for h in range(12)], key=str)
+    for name in index.runs():  # a compacted run, too, has one sorted file a bucket
+        files = [r.f for r in spark.read.parquet(index.path(name)).select(F.input_file_name().alias("f")).distinct().collect()]
+        assert len({re.search(r"_(\d{5})\.", f).group(1) for f in files}) == len(files) <= 3
+        for f in files:
+            hashes = [(r.h1, r.h2) for r in spark.read.parquet(f).coalesce(1).collect()]
+            assert hashes == sorted(hashes)
+    index.close()
+    assert not [t.name for t in spark.catalog.listTables() if t.name in index.runs()]
+
+
+def test_lines_without_ids_and_beyond_the_bucket_limit(spark):
+    """A third of the rows without an id, repeated ids, and more partitions than buckets are allowed."""
+    rng = random.Random(5)
+    pool = ["Shared LINE one here", "shared line TWO here", "É a shared line", "é a shared line", "ã©a shared line"]
+    rows = [(i if i % 3 else None, "\n".join(rng.choices(pool, k=3) + [f"row {i} alone here"])) for i in range(60)]
+    rows += [(7, "shared line two here\nown of the other row 7"), (2, None), (1, "shared line one here")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100001")
+    assert lines.bucket_count(spark) == 100_000
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda line: "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" "))
+    owner = {}
+    for i, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        for line in (text or "").split("\n"):
+            owner.setdefault(key(line), i)
+    want = [
+        (i, "\n".join(x for x in (t or "").split("\n") if len(key(x)) < 10 or owner[key(x)] == i)) for i, t in rows
+    ]
+    found = lines.dedup_lines(docs, batches=3).collect()
+    assert sorted(((r.row.doc_id, r.kept_text) for r in found), key=str) == sorted(want, key=str)
 
 
 # --- pieces ------------------------------------------------------------------
@@ -248,8 +279,8 @@ def test_pieces_equal_the_library(spark):
     texts = ["", " ", "  ", "▁", "a", " a", "a ", "a  b", "<s></s>", "<0x0A>", "x" * 5000, "word " * 3000]
     texts += ["".join(rng.choices(alphabet, k=rng.randrange(1, 60))) for _ in range(400)]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "doc_id long, text string")
-    for size in (pieces.TABLE_SIZE, 5):
-        for r in pieces.encode(docs, tokenizer_path(), table_size=size).collect():
+    for size in (pieces.SLICE_BYTES, 300, 1):
+        for r in pieces.encode(docs, tokenizer_path(), slice_bytes=size).collect():
             ids = plain.encode(r.row.text or "", add_eos=True)
             assert r.ids == ids and r.decoded == plain.decode(ids), repr(r.row.text)
 
