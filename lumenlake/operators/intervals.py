@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lumenlake.operators.ordering import carry_forward, chunk_of, quantile_bounds, running_total
+from lumenlake.operators.ordering import carry_forward, range_chunks, running_total
 
 
 def newest_after(marks: DataFrame, mark_time: str, facts: DataFrame, fact_time: str, fact_id: str) -> DataFrame:
@@ -19,10 +19,8 @@ def newest_after(marks: DataFrame, mark_time: str, facts: DataFrame, fact_time:
     timeline = points.withColumn("_kind", F.lit(0)).withColumn("_fact", F.lit(None).cast("bigint")).unionByName(
         latest.withColumn("_kind", F.lit(1)).withColumn("_mark", F.lit(None).cast(points.schema["_mark"].dataType))
     )
-    timeline = timeline.withColumn("_us", _micros("_at"))
-    times = marks.select(_micros(mark_time).alias("_us")).unionAll(facts.select(_micros(fact_time)))
-    timeline = timeline.withColumn("_slice", chunk_of(F.col("_us"), quantile_bounds(times, "_us")))
-    owned = carry_forward(timeline, ["_slice"], ["_us", "_kind"], "_mark", "_owner")
+    timeline = range_chunks(timeline, ["_at", "_kind"])
+    owned = carry_forward(timeline, ["_chunk"], ["_at", "_kind"], "_mark", "_owner")
     return (
         owned.where("_kind = 1 and _owner is not null")
         .groupBy(F.col("_owner").alias(mark_time))
@@ -48,9 +46,8 @@ def count_overlaps(runs: DataFrame, start: str, end: str, by: list[str]) -> Data
     )
     instants = instants.groupBy(*by, "_at").agg(
         *(F.sum(c).alias(c) for c in ("_ended", "_started", "_empty"))
-    ).withColumn("_us", _micros("_at"))
-    times = runs.select(F.explode(F.array(_micros(start), _micros(end))).alias("_us"))
-    total = running_total(instants, "_us", "_ended", "_done", by, quantile_bounds(times, "_us"))
+    )
+    total = running_total(instants, "_at", "_ended", "_done", by)
     # Products of counts outgrow 64 bits at a few thousand million runs.
     exact = lambda name: F.col(name).cast("decimal(19,0)")
     pairs = lambda n: (n * (n - 1) / 2).cast("decimal(38,0)")
@@ -59,7 +56,3 @@ def count_overlaps(runs: DataFrame, start: str, end: str, by: list[str]) -> Data
     summed = total.groupBy(*by).agg(F.sum("_started").alias("n_runs"), F.sum(misses.cast("decimal(38,0)")).alias("_misses"))
     overlapping = (pairs(exact("n_runs")) - F.col("_misses")).cast("decimal(38,0)")
     return summed.select(*by, "n_runs", overlapping.alias("n_overlapping"))
-
-
-def _micros(column: str):
-    return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {column})")

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lumenlake.plans.workspace import written
+
 BLOCK = 1 << 18
-_BOUND_ACCURACY = 10_000
 
 
 def number_rows(rows: DataFrame, order: str, names: dict[str, Column | None], block: int = BLOCK) -> DataFrame:
@@ -34,48 +35,28 @@ def number_rows(rows: DataFrame, order: str, names: dict[str, Column | None], bl
     return inside.drop("_block", *(f"_{n}" for n in names))
 
 
-def quantile_bounds(rows: DataFrame, order: str, parts: int | None = None) -> list:
-    """Cut points that spread the values of a column evenly over ``parts`` chunks, one per shuffle partition.
+def range_chunks(rows: DataFrame, order: list[str]) -> DataFrame:
+    """The rows with ``_chunk``, written: what a range exchange put together, numbered in the order of the ranges.
 
-    One aggregate; the driver receives at most ``parts`` numbers.  Taken over
-    the rows before they are reduced to distinct values, the bounds still hold:
-    a chunk has no more distinct values than rows.
+    The exchange finds its ranges itself, as many as there are shuffle
+    partitions, and adaptive execution merges small ones; no bound reaches the
+    plan, whose size does not depend on them.  Equal values of ``order`` stay
+    together, so callers aggregate them to one row first.  Rows are read once:
+    what follows reads the written chunks.
     """
-    if parts is None:
-        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if parts < 2:
-        return []
-    shares = [i / parts for i in range(1, parts)]
-    found = rows.agg(F.percentile_approx(order, shares, _BOUND_ACCURACY)).first()[0]
-    return sorted(set(found or []))
-
-
-def chunk_of(value: Column, bounds: list) -> Column:
-    """Number of cut points at or below the value, by halving."""
-    if not bounds:
-        return F.lit(0)
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(ranged.withColumn("_chunk", F.spark_partition_id()), "value-ranges")
 
-    def halve(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(bounds[middle]), halve(low, middle)).otherwise(halve(middle + 1, high))
 
-    return halve(0, len(bounds))
-
-
-def running_total(
-    counts: DataFrame, order: str, amount: str, name: str, by: list[str] | None = None, bounds: list | None = None
-) -> DataFrame:
+def running_total(counts: DataFrame, order: str, amount: str, name: str, by: list[str] | None = None) -> DataFrame:
     """Sum of ``amount`` over all rows up to and including this one.
 
     ``counts`` has one row per value of ``order`` within ``by``: callers
     aggregate first, so equal values, however many, are a single row here.
+    Each chunk takes over the total of those before it.
     """
     by = by or []
-    if bounds is None:
-        bounds = quantile_bounds(counts, order)
-    chunked = counts.withColumn("_chunk", chunk_of(F.col(order), bounds))
+    chunked = range_chunks(counts, [*by, order])
     sums = chunked.groupBy(*by, "_chunk").agg(F.sum(amount).alias("_sum"))
     earlier = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*by, "_chunk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from lumenlake.contract import PUBLISHED_TERMS, Terms
 from lumenlake.functions.money import guarded_percent
 from lumenlake.operators import statistics
-from lumenlake.operators.ordering import carry_forward, chunk_of, quantile_bounds
+from lumenlake.operators.ordering import carry_forward, range_chunks
 from lumenlake.sources import logtext
 from lumenlake.sources.logtext import MILESTONES, Phrases
 
@@ -218,7 +218,7 @@ def outage_timeline(events: DataFrame, sequences: DataFrame) -> DataFrame:
     """Each sequence with the last shutdown before try one and the first ready after that shutdown.
 
     Both are as-of lookups in time order.  Instants are made distinct first
-    and cut into evenly filled chunks.
+    and dealt out in ranges.
     """
     shutdowns = _instants(events.where("kind = 'shutdown'"), "ts", 0)
     starts = _instants(sequences, "try1_at", 1)
@@ -242,8 +242,8 @@ def _last_before(events: DataFrame, marks: DataFrame, name: str, forward: bool)
     ).withColumn("_us", micros)
     # At one instant marks come first, so an event there is not before them.
     timeline = timeline.withColumn("_order", 1 - F.col("_kind"))
-    timeline = timeline.withColumn("_slice", chunk_of(F.col("_us"), quantile_bounds(timeline, "_us")))
-    found = carry_forward(timeline, ["_slice"], ["_us", "_order"], "_event", name)
+    timeline = range_chunks(timeline, ["_us", "_order"])
+    found = carry_forward(timeline, ["_chunk"], ["_us", "_order"], "_event", name)
     return found.where(f"_kind = 1 and {name} is not null").select("_at", name)
 
 

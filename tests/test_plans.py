@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenlake.operators.keys import first_wins
-from lumenlake.operators.ordering import quantile_bounds
+from lumenlake.operators.ordering import running_total
 from lumenlake.operators.skew import join_many
 from lumenlake.plans import gold, logs, silver
 from lumenlake.registry.queries import _QUERIES
@@ -68,14 +68,20 @@ def test_statistics_read_their_input_once(relations, name):
     assert files and all("/steps/value-" in f for f in files)
 
 
-def test_chunks_grow_with_the_shuffle_partitions(spark):
-    rows = spark.range(20000).selectExpr("id as v")
+def test_plans_do_not_grow_with_the_chunks(spark):
+    """No bound of a chunk is in the plan: 20 000 shuffle partitions give the plan of 40."""
+    rows = spark.range(30000).selectExpr("id * 7 % 30000 as v", "1 as n")
     before = spark.conf.get("spark.sql.shuffle.partitions")
+    sizes = {}
     try:
-        spark.conf.set("spark.sql.shuffle.partitions", "400")
-        assert len(quantile_bounds(rows, "v")) > 300
+        for parts in ("40", "20000"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            total = running_total(rows, "v", "n", "upto")
+            sizes[parts] = len(total._jdf.queryExecution().optimizedPlan().toString())
+            assert total.agg(F.count_if(F.col("upto") != F.col("v") + 1), F.count("*")).first()[:] == (0, 30000)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert abs(sizes["40"] - sizes["20000"]) < 200
 
 
 def test_hot_keys_are_spread(spark):
