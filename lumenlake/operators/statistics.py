@@ -52,7 +52,7 @@ def summarise(rows: DataFrame, by: list[str], value: str, ranges: list[str] | No
 
 
 def mann_whitney(rows: DataFrame, value: str, first: Column, by: list[str]) -> DataFrame:
-    """U of the sample marked by ``first`` against the rest, with its normal z.
+    """U of the sample marked by ``first`` against the rest, with its normal z, and whether values are tied.
 
     z has the tie correction and the continuity correction of one half.
     """
@@ -72,7 +72,7 @@ def mann_whitney(rows: DataFrame, value: str, first: Column, by: list[str]) -> D
     spread = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.col("_ties") / F.nullif(n * (n - 1), F.lit(0.0))))
     largest = F.greatest(u, n1 * n2 - u)
     z = (largest - n1 * n2 / 2 - 0.5) / F.nullif(spread, F.lit(0.0))
-    return sums.select(*by, "n_first", "n_second", u.alias("u"), z.alias("z"))
+    return sums.select(*by, "n_first", "n_second", u.alias("u"), z.alias("z"), (F.col("_ties") > 0).alias("tied"))
 
 
 def welch(rows: DataFrame, value: str, first: Column, by: list[str]) -> DataFrame:
@@ -123,6 +123,50 @@ def normal_two_sided(z: Column) -> Column:
     return F.when(z <= 0, F.lit(1.0)).otherwise(_two_sided(z, lambda x: F.exp(-x * x / 2)))
 
 
+# The exact tail is taken where one sample is this small and the table of arrangements at most that long.
+EXACT_SAMPLE, EXACT_TABLE = 8, 2000
+
+
+def _arrangements(n1: Column, n2: Column) -> Column:
+    """Number of arrangements of two samples by U from 0 to n1 n2, as an array.
+
+    The i-th step gives the i-th member of the first sample its place among
+    the second: the counts are multiplied by 1 - q^(n2 + i) and divided by
+    1 - q^i, where q^k shifts the array by k.
+    """
+    places = F.sequence(F.lit(0), n1 * n2)
+    at = lambda counts, k: F.when(k < 0, F.lit(0.0)).otherwise(F.get(counts, k))
+
+    def step(counts: Column, i: Column) -> Column:
+        shifted = F.transform(places, lambda k: F.get(counts, k) - at(counts, k - n2 - i))
+        return F.transform(F.array(shifted), lambda c: F.transform(
+            places, lambda k: F.aggregate(F.sequence(k % i, k, i), F.lit(0.0), lambda total, j: total + F.get(c, j))
+        ))[0]
+
+    one = F.transform(places, lambda k: F.when(k == 0, 1.0).otherwise(0.0))
+    return F.aggregate(F.sequence(F.lit(1), n1), one, step)
+
+
+def exact_two_sided(u: Column, n1: Column, n2: Column) -> Column:
+    """Share of all arrangements at least as far from the middle as U; null for samples beyond the exact bounds.
+
+    U is symmetric, so the smaller sample counts as the first.
+    """
+    few, many = F.least(n1, n2).cast("int"), F.greatest(n1, n2).cast("int")
+    usable = (few >= 1) & (few <= EXACT_SAMPLE) & (few * many <= EXACT_TABLE)
+    low = F.least(u, n1 * n2 - u).cast("int")
+    tails = F.transform(
+        F.array(_arrangements(few, many)),
+        lambda c: 2 * F.aggregate(F.slice(c, 1, low + 1), F.lit(0.0), lambda a, x: a + x) / F.aggregate(c, F.lit(0.0), lambda a, x: a + x),
+    )
+    return F.when(usable, F.least(tails[0], F.lit(1.0)))
+
+
+def mann_whitney_two_sided(u: Column, z: Column, n1: Column, n2: Column, tied: Column) -> Column:
+    """The exact tail for small samples without ties, the normal one otherwise."""
+    return F.coalesce(F.when(~tied, exact_two_sided(u, n1, n2)), normal_two_sided(z))
+
+
 def student_two_sided(t: Column, df: Column) -> Column:
     """Both tails of Student's distribution beyond t; null without degrees of freedom."""
     freedom = F.when(df > 0, df.cast("double"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lumenlake import contract
@@ -26,20 +28,26 @@ def type_columns(raw: DataFrame) -> DataFrame:
     expressions into small methods.  The long list uses ``concat_ws``, which
     skips nulls and is generated code.
     """
+    extra = tuple(c for c in raw.columns if c not in contract.NAMES)
+    return raw.select(*_projection(extra))
+
+
+@lru_cache(maxsize=16)
+def _projection(extra: tuple[str, ...]) -> list[Column]:
+    """The wide projection; building its 2000 expressions costs more than typing a small extract."""
     typed = [_typed(c).alias(c.name) for c in contract.COLUMNS]
-    extra = [F.col(c) for c in raw.columns if c not in contract.NAMES]
     missing = [F.when(_is_missing(c), c.header) for c in contract.REQUIRED]
     faults = [F.when(_is_inadmissible(c), c.header) for c in contract.COLUMNS if c.kind != "date"]
-    if "too_long" in raw.columns:
+    if "too_long" in extra:
         faults.append(F.when(F.col("too_long"), "*"))
-    if "open_quote" in raw.columns:
+    if "open_quote" in extra:
         faults.append(F.when(F.col("open_quote"), '"'))
-    return raw.select(
+    return [
         *typed,
-        *extra,
+        *map(F.col, extra),
         F.array_join(F.array_compact(F.array(*missing)), _QUOTED).alias("missing"),
         F.concat_ws(_QUOTED, *faults).alias("violations"),
-    )
+    ]
 
 
 def _typed(column: contract.Column) -> Column:

@@ -3,14 +3,16 @@
 Layout under the root, all Parquet::
 
     checked/load_id=N/is_valid=true|false   every row of load N, typed
-    splits/load_id=N                        rows before each file split of load N
+    splits/load_id=N                        rows of each file split of load N and before it
     control/                                load events, the last one counts
     trials/                                 trial events, the last one counts
     <table>/load_id=N                       rows load N added to a normalised table
     rejects/load_id=N                       payments and rebills of load N that were left out
     levy_base/                              the served base relation
 
-A load writes its rows once.  The raw snapshot, the history and the
+A load reads its extract once and writes its rows once, each with its split
+and its place in it; row numbers follow from the small table of splits, which
+is counted from the stored rows.  The raw snapshot, the history and the
 quarantine are partitions of that one copy, and they show a load only after
 its control event says so: a failed or interrupted load leaves nothing to
 undo, and repeating a load replaces its own partitions.
@@ -23,6 +25,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -44,9 +47,13 @@ TRIAL = {
 }
 CHECKED = {
     **{c.name: c.spark_type for c in contract.COLUMNS},
-    "file_name": "string", "too_long": "boolean", "open_quote": "boolean", "row_number": "bigint", "missing": "string", "violations": "string",
+    "file_name": "string", "too_long": "boolean", "open_quote": "boolean",
+    "_file": "string", "_start": "bigint", "_at": "bigint", "missing": "string", "violations": "string",
     "reason": "string", "loaded_at": "timestamp_ntz", "is_valid": "boolean",
 }
+SPLITS = {
+    "_file": "string", "_start": "bigint", "_first": "bigint", "n_rows": "bigint", "n_quarantined": "bigint", "_offset": "bigint",
+}
 ABSENT_FILE = "(ausente)"
 
 # Natural keys by which a normalised table takes only rows it lacks.
@@ -96,8 +103,13 @@ class Lake:
     # --- control and trial events -------------------------------------------
 
     def _append(self, name: str, schema: dict[str, str], row: dict) -> None:
-        values = [tuple(row.get(name) for name in schema)]
-        self.spark.createDataFrame(values, _ddl(schema)).coalesce(1).write.mode("append").parquet(self._path(name))
+        self._one_row(row, schema).coalesce(1).write.mode("append").parquet(self._path(name))
+
+    def _one_row(self, row: dict, schema: dict[str, str]) -> DataFrame:
+        """A local relation: reading it takes no job."""
+        kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "timestamp_ntz": pa.timestamp("us")}
+        columns = {name: pa.array([row.get(name)], kinds[kind]) for name, kind in schema.items()}
+        return self.spark.createDataFrame(pa.table(columns), _ddl(schema))
 
     def _latest(self, name: str, schema: dict[str, str], key: str) -> DataFrame:
         """The last event of each key; events without a key all stay."""
@@ -191,15 +203,14 @@ class Lake:
         self._append("control", CONTROL, {**event, **running, "event_at": started})
 
         try:
-            headers = extract.header_rows(self.spark, path)
-            if not headers:
+            headers = extract.read_headers(self.spark, path)
+            if not headers.distinct:
                 raise ValueError("no columns to read")
-            if self_healing:
-                report = extract.header_report(extract.header_lines(self.spark, path, headers))
+            if self_healing and not all(map(extract.has_contract, headers.distinct)):
+                flags["bad_header"] = True
+                report = extract.header_report(extract.header_lines(headers.table))
                 faults = report.where("not valid").orderBy("file").collect()
-                if faults:
-                    flags["bad_header"] = True
-                    return finish(_header_faults(faults, len(headers)))
+                return finish(_header_faults(faults, headers.table.count()))
         except (AnalysisException, ValueError) as unreadable:
             flags["bad_header"] = self_healing
             return finish(contract.HEADER_UNREADABLE.format(str(unreadable).split("\n")[0]))
@@ -210,27 +221,30 @@ class Lake:
         return finish(fault, counts["n_rows"], counts["n_quarantined"])
 
     def _store(
-        self, path: str, load_id: int, headers: list[tuple[str, str]], started: datetime, self_healing: bool, multiline: bool
+        self, path: str, load_id: int, headers: extract.Headers, started: datetime, self_healing: bool, multiline: bool
     ):
         """Write the checked rows; returns their counts and, without healing, the first fault."""
         target = f"{self._path('checked')}/load_id={load_id}"
         with extract.pinned_splits(self.spark):
-            scan = extract.scan_extract(self.spark, path, headers, multiline)
-            offsets = f"{self._path('splits')}/load_id={load_id}"
-            extract.split_offsets(scan).write.mode("overwrite").parquet(offsets)
-            offsets = self.spark.read.parquet(offsets)
-            checked = bronze.check(extract.with_row_numbers(scan, offsets))
+            checked = bronze.check(extract.scan_extract(self.spark, path, headers, multiline))
             checked = checked.withColumn("loaded_at", F.lit(started).cast("timestamp_ntz"))
             checked.write.mode("overwrite").partitionBy("is_valid").parquet(target)
-        written = self.spark.read.schema(_ddl(CHECKED)).parquet(target)
-        counts = bronze.totals(written).first()
+        stored = self.spark.read.schema(_ddl(CHECKED)).parquet(target)
+        valid = F.col("is_valid")
+        counts = (F.count_if(valid).alias("n_rows"), F.count_if(~valid).alias("n_quarantined"))
+        splits = f"{self._path('splits')}/load_id={load_id}"
+        extract.split_offsets(stored, *counts).coalesce(1).write.mode("overwrite").parquet(splits)
+        splits = self.spark.read.schema(_ddl(SPLITS)).parquet(splits)
+        total = lambda name: F.coalesce(F.sum(name), F.lit(0)).alias(name)
+        counts = splits.agg(total("n_rows"), total("n_quarantined")).first()
         fault = None
         if counts["n_quarantined"] and not self_healing:
-            fault = bronze.first_fault(written, "row_number").first()["reason"]
+            bad = extract.with_row_numbers(stored.where(~valid), splits.drop("n_rows", "n_quarantined"))
+            fault = bronze.first_fault(bad, "row_number").first()["reason"]
         return counts, fault
 
     def _outcome(self, n_rows: int, n_quarantined: int, flags: dict[str, bool], self_healing: bool) -> dict:
-        summary = self.spark.createDataFrame([(n_rows, n_quarantined)], "n_rows bigint, n_quarantined bigint")
+        summary = self._one_row({"n_rows": n_rows, "n_quarantined": n_quarantined}, {"n_rows": "bigint", "n_quarantined": "bigint"})
         conditions = [F.lit(flags[f]) for f in ("recovered", "fallback", "bad_header")]
         return bronze.outcome(summary, *conditions, self_healing, self.terms).first().asDict()
 
@@ -241,9 +255,11 @@ class Lake:
         ids = self.loads().where(released & F.col("load_id").isNotNull()).select("load_id")
         try:
             rows = self.spark.read.schema(_ddl({**CHECKED, "load_id": "bigint"})).parquet(self._path("checked"))
+            splits = self.spark.read.schema(_ddl({**SPLITS, "load_id": "bigint"})).parquet(self._path("splits"))
         except AnalysisException:
             raise LoadFailed("no load has finished") from None
-        return rows.where(F.col("is_valid") == valid).join(ids, "load_id", "left_semi")
+        rows = rows.where(F.col("is_valid") == valid).join(ids, "load_id", "left_semi")
+        return extract.with_row_numbers(rows, splits.drop("n_rows", "n_quarantined"), by=("load_id",))
 
     def history(self) -> DataFrame:
         """Valid rows of all released loads."""

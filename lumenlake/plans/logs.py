@@ -144,6 +144,19 @@ def mann_whitney(timings: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFram
     return statistics.mann_whitney(_quiet_long(timings, terms), "ms", treated, ["metric"])
 
 
+def mann_whitney_by_iteration(timings: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFrame:
+    """U of treatment against control per metric and iteration with exact, normal and chosen p: small samples."""
+    quiet = timings.where((F.col("fault") == terms.no_fault) & F.col("grp").isin(terms.control, terms.treatment))
+    rows = _long(quiet, ["grp", "iteration"], TESTED, "metric")
+    found = statistics.mann_whitney(rows, "ms", F.col("grp") == terms.treatment, ["metric", "iteration"])
+    found = found.where((F.col("n_first") > 0) & (F.col("n_second") > 0))
+    sizes = [F.col("n_first"), F.col("n_second")]
+    exact = F.when(~F.col("tied"), statistics.exact_two_sided(F.col("u"), *sizes))
+    normal = statistics.normal_two_sided(F.col("z"))
+    found = found.withColumns({"p_exact": exact, "p_normal": normal})
+    return found.withColumn("p", F.coalesce("p_exact", "p_normal"))
+
+
 def mann_whitney_by_step(landmarks: DataFrame, trials: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFrame:
     """U and z of treatment against control per step of a load, without faults."""
     return statistics.mann_whitney(_steps(landmarks, trials, terms), "ms", F.col("grp") == terms.treatment, ["step"])
@@ -151,7 +164,8 @@ def mann_whitney_by_step(landmarks: DataFrame, trials: DataFrame, terms: Terms =
 
 def overhead_tests(timings: DataFrame, terms: Terms = PUBLISHED_TERMS) -> DataFrame:
     """Both tests with their two-sided p-values, one row per tested metric."""
-    u = mann_whitney(timings, terms).select("metric", "u", statistics.normal_two_sided(F.col("z")).alias("p_u"))
+    columns = [F.col(c) for c in ("u", "z", "n_first", "n_second", "tied")]
+    u = mann_whitney(timings, terms).select("metric", "u", statistics.mann_whitney_two_sided(*columns).alias("p_u"))
     p_t = statistics.student_two_sided(F.col("t"), F.col("df")).alias("p_t")
     return u.join(welch_t(timings, terms).select("metric", "t", "df", p_t), "metric")
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumenlake import contract
 from lumenlake.functions import parsing
+from lumenlake.functions.permutation import permuted_digits
 from lumenlake.operators.ordering import number_rows
 from lumenlake.plans.workspace import Workspace
 from lumenlake.sources import extract
@@ -187,6 +188,22 @@ def identifiers(rows: DataFrame, per_row: bool = True, workspace: Workspace | No
     ).select(*[c for c in rows.columns if c != "_follows"])
 
 
+KEYED_COLUMNS = ["installation", "contract_account", "bill_number", "house_number"]
+
+
+def keyed_identifiers(rows: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
+    """Identifiers replaced by their keyed image of the same length, column by column.
+
+    No table and no join: equal numbers stay equal within and across loads
+    with the same key, and different ones stay apart.  Text such as S/N stays.
+    """
+    images = {}
+    for name in columns or KEYED_COLUMNS:
+        number = F.col(name).rlike("^[0-9]+$")
+        images[name] = F.when(number, permuted_digits(F.when(number, F.col(name)), f"{key}:{name}")).otherwise(F.col(name))
+    return rows.withColumns(images)
+
+
 def mask(rows: DataFrame, workspace: Workspace, per_row: bool = True) -> DataFrame:
     """The whole extract masked; ``line_no`` must be a unique integer row number.
 

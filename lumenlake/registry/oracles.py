@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from lumenlake import contract
 from lumenlake.plans import masking, silver
-from lumenlake.registry.queries import INSERT_SPLIT_MONTH, RENAMED
+from lumenlake.functions.permutation import ROUNDS
+from lumenlake.registry.queries import INSERT_SPLIT_MONTH, MASK_KEY
 from lumenlake.registry.relations import DATES, DECIMALS
 from lumenlake.sources import derived
 
@@ -239,15 +240,37 @@ def _list(names: list[str]) -> str:
 
 
 def _header_rows() -> str:
-    declared, gone = contract.HEADERS, [h for h in contract.HEADERS if h not in RENAMED]
-    new = [h for h in RENAMED if h not in declared]
-    valid = contract.HEADER_VALID.format(len(declared))
-    broken = contract.HEADER_INVALID.format(len(new), len(gone), _list(new), _list(gone)).replace("'", "''")
-    return (
-        f"select 'declared' as contract, true as valid, '' as missing, '' as extra, '{valid}' as message"
-        f" where exists (select 1 from orders) union all select 'renamed', false, '{','.join(new)}',"
-        f" '{','.join(gone)}', '{broken}' where exists (select 1 from orders)"
-    )
+    """Both set differences by lists, per month."""
+    wanted = "[" + ", ".join(f"'{h}'" for h in contract.HEADERS) + "]"
+    shown = lambda names: f"'[' || coalesce(list_aggregate([chr(39) || x || chr(39) for x in {names}], 'string_agg', ', '), '') || ']'"
+    a, b, c, d, e = contract.HEADER_INVALID.split("{}")
+    broken = f"'{a}' || len(missing) || '{b}' || len(extra) || '{c}' || {shown('missing')} || '{d}' || {shown('extra')} || '{e}'"
+    return _with([f"raw as materialized ({derived.bills_raw_sql(names=['billing_month'])})", f"""files as (
+  select billing_month as file, count(*) as n_rows, string_split({derived.MONTH_HEADER}, ';') as found from raw group by billing_month)""", f"""compared as (
+  select file, n_rows, [h for h in {wanted} if not list_contains(found, h)] as missing,
+    [h for h in found if not list_contains({wanted}, h)] as extra from files)"""], f"""
+select file, len(missing) = 0 and len(extra) = 0 as valid, array_to_string(missing, ',') as missing,
+  array_to_string(extra, ',') as extra,
+  case when len(missing) = 0 and len(extra) = 0 then '{contract.HEADER_VALID.format(len(contract.HEADERS))}' else {broken} end as message,
+  n_rows
+from compared""")
+
+
+def _keyed(columns: list[str]) -> str:
+    """A Feistel network of eight rounds written out, one subquery a round."""
+    ctes, joined = [f"raw as materialized ({derived.bills_raw_sql(names=['line_no', *columns])})"], []
+    for i, c in enumerate(columns):
+        rounds = f"""(select cast(line_no as bigint) as line_no, {c} as original, cast(case when regexp_full_match({c}, '[0-9]+') then {c} end as bigint) as v,
+    cast(pow(10, length({c}) // 2) as bigint) as lo, cast(pow(10, length({c}) - length({c}) // 2) as bigint) as hi from raw)"""
+        rounds = f"(select line_no, original, v // lo as x, v % lo as y, hi as xs, lo as ys from {rounds})"
+        for n in range(1, ROUNDS + 1):
+            f = f"cast('0x' || substr(md5('{MASK_KEY}:{c}:{n}:' || y), 1, 12) as bigint)"
+            rounds = f"(select line_no, original, y as x, (x + {f}) % xs as y, ys as xs, xs as ys from {rounds})"
+        ctes.append(f"m{i} as (select line_no, coalesce(lpad(cast(x * ys + y as varchar), cast(length(original) as int), '0'), original) as {c} from {rounds})")
+        joined.append(f"m{i}")
+    return _with(ctes, f"select line_no, {', '.join(columns)} from " + " join ".join(
+        name if i == 0 else f"{name} using (line_no)" for i, name in enumerate(joined)
+    ))
 
 
 def _violations() -> str:
@@ -408,6 +431,28 @@ from (select {key}, n_first, n_second, n_first::double as n1, n_second::double a
         cast(count(*) over (partition by {key}, ms) as double) as same from {rows}) group by {key}))"""
 
 
+def _small_samples() -> str:
+    """The exact tail by listing every arrangement of up to 16 places as a number in binary."""
+    tested = " union all ".join(
+        f"select '{n}' as metric, iteration, grp, {n} as ms from timings where fault = 'NONE' and {n} is not null"
+        for n in _METRICS if n != "schema_ms"
+    )
+    arranged = """arranged as materialized (
+  select n, n1, cast(sum_r as bigint) - n1 * (n1 + 1) // 2 as u0, count(*) as ways
+  from (select m, cast(bit_count(m) as bigint) as n1, list_sum([i for i in range(1, 17) if (m >> (i - 1)) & 1 = 1]) as sum_r
+    from range(0, 65536) t(m)) join range(4, 17) s(n) on m < (1 << n) group by n, n1, sum_r)"""
+    sums = f"sums as materialized ({_rank_sums('metric, iteration', 'small', 15)})"
+    tied = "ties as (select metric, iteration, count(*) <> count(distinct ms) as tied from small group by metric, iteration)"
+    exact = """exact as (
+  select metric, iteration, 2.0 * sum(ways) filter (u0 <= least(u, n_first * n_second - u)) / sum(ways) as p
+  from sums join arranged on n = n_first + n_second and n1 = n_first group by metric, iteration, u)"""
+    return _with([*_LOG_CTES, _TIMINGS, f"small as ({tested})", sums, tied, arranged, exact], f"""
+select metric, iteration, n_first, n_second, round(u, 6) as u, tied, round(case when not tied then least(p, 1.0) end, 6) as p_exact,
+  round(normal, 6) as p_normal, round(coalesce(case when not tied then least(p, 1.0) end, normal), 6) as p
+from (select *, {_normal_share('z')} as normal from sums) join ties using (metric, iteration) left join exact using (metric, iteration)
+where n_first between 2 and 8 and n_second between 2 and 8""")
+
+
 def _welch(digits: int) -> str:
     return f"""
 select metric, round((m1 - m2) / nullif(sqrt(v1 + v2), 0), {digits}) as t,
@@ -446,6 +491,8 @@ from trials t left join (select w.injected_at, max_by(l.load_id, (l.started_at,
         "scan_bills": _with([_RAW], f"select {_names(every)} from raw"),
         "scan_mixed_headers": _with([_RAW], f"select {_names(every)} from raw"),
         "header_contract_report": _header_rows(),
+        "scan_quoted_breaks": derived.bills_raw_sql(changed=derived.QUOTED_TEXT),
+        "mask_keyed": _keyed(masking.KEYED_COLUMNS),
         "parse_dates": _with(_CHECKED_CTES, f"select line_no, {_shown(DATES)} from typed"),
         "parse_decimals": _with(_CHECKED_CTES, f"select line_no, {_shown(DECIMALS)} from typed"),
         "parse_ints": _with(_CHECKED_CTES, "select bill_number, line_no, cycle_days from typed"),
@@ -574,6 +621,9 @@ select * replace (cast(month as varchar) as month, measured_kwh::double as measu
         "levy_collected_by_subclass": _per_month(_SUBCLASS, _COLLECTED),
         "levy_collected_by_municipality": _per_month("municipality", _COLLECTED),
         "levy_billed_by_month": _per_month("", "cast(sum(levy_billed) as double) as levy_billed"),
+        "levy_customers_sketched": _with(_BASE_CTES, """
+select consumption_class, count(distinct (customer_name, customer_type)) as n_customers, true as sketch_is_near
+from base group by consumption_class"""),
         "levy_ticket_by_class": _per_month(_CLASS, _TICKET),
         "levy_ticket_by_municipality": _per_month("municipality", _TICKET),
         "district_ranking": _per_month(
@@ -653,6 +703,7 @@ where c.fault = 'NONE' and c.grp = 'CONTROL' and c.metric <> 'schema_ms'"""),
 select step, grp, count(*) as n, round(avg(ms), 4) as mean_ms, round(stddev_samp(ms), 4) as stdev_ms
 from quiet group by step, grp"""),
         "mann_whitney": _with([*_TIMING_CTES, _TESTED], _rank_sums("metric", "tested")),
+        "mann_whitney_small": _small_samples(),
         "mann_whitney_by_step": _with([*_LOG_CTES, _QUIET_STEPS], _rank_sums("step", "quiet")),
         "welch_t": _with([*_TIMING_CTES, _TESTED], _welch(4)),
         "overhead_tests": _with([*_TIMING_CTES, _TESTED], f"""

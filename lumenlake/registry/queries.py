@@ -13,13 +13,15 @@ from lumenlake.operators.keys import insert_if_absent
 from lumenlake.plans import bronze, gold, logs, masking, reliability, silver
 from lumenlake.registry.relations import DATES, DECIMALS, Relations
 from lumenlake.sources import extract, logtext
-from lumenlake.sources.derived import BROKEN_TEXT, UNFINISHED_TEXT
+from lumenlake.plans.workspace import written
+from lumenlake.sources.derived import BROKEN_TEXT, MONTH_HEADER, QUOTED_TEXT, UNFINISHED_TEXT
 
 Query = Callable[[Relations], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
-# The header contract with two columns renamed, to see a mismatch both ways.
-RENAMED = [h.replace("VALOR_FATURA", "VALOR_FAT") for h in contract.HEADERS]
+QUOTED_SPLIT = 1 << 20
+MASK_KEY = "mask-2026"
+SKETCH_ERROR = 0.05
 INSERT_SPLIT_MONTH = "199601"
 
 
@@ -53,18 +55,43 @@ def scan_mixed_headers(r: Relations) -> DataFrame:
     return extract.scan_extract(r.spark, r.workspace.files("mixed_extract", write) + "/*").select(*contract.NAMES)
 
 
+@_query
+def scan_quoted_breaks(r: Relations) -> DataFrame:
+    """Line breaks inside quoted fields, in files that are cut into many splits."""
+    path = r.workspace.files("quoted_extract", lambda path: extract.write_extract(r.raw(changed=QUOTED_TEXT), path))
+
+    def scan() -> DataFrame:
+        with extract.split_size(r.spark, QUOTED_SPLIT), extract.pinned_splits(r.spark):
+            return written(extract.scan_extract(r.spark, path, multiline=True).select(*contract.NAMES), "quoted-scan")
+
+    return r.workspace.table("quoted_rows", scan)
+
+
 @_query
 def header_contract_report(r: Relations) -> DataFrame:
-    lines = extract.header_lines(r.spark, r.extract_path())
-    declared = extract.header_report(lines).withColumn("contract", F.lit("declared"))
-    renamed = extract.header_report(lines, RENAMED).withColumn("contract", F.lit("renamed"))
-    return declared.unionByName(renamed).select(
-        "contract",
+    """One file a month, whose header has a column renamed, too few or too many by the month."""
+    names = [c for c in contract.NAMES if c != "billing_month"]
+    rows = r.raw(["billing_month", *names[:3]])
+
+    def write(path: str) -> None:
+        headers = rows.select("billing_month").distinct().select("billing_month", F.lit(0).alias("kind"), F.expr(MONTH_HEADER).alias("line"))
+        lines = headers.unionByName(rows.select("billing_month", F.lit(1).alias("kind"), F.concat_ws(";", *names[:3]).alias("line")))
+        placed = lines.repartition("billing_month").sortWithinPartitions("billing_month", "kind")
+        placed.select("billing_month", "line").write.mode("overwrite").partitionBy("billing_month").text(path)
+
+    path = r.workspace.files("monthly_headers", write)
+    month = F.regexp_extract("path", "billing_month=(\\d+)", 1)
+    headers = extract.read_headers(r.spark, path).table.select(month.alias("file"), "header")
+    sizes = rows.groupBy(F.col("billing_month").alias("file")).agg(F.count("*").alias("n_rows"))
+    report = extract.header_report(headers).join(sizes, "file")
+    return report.select(
+        "file",
         "valid",
         F.array_join("missing", ",").alias("missing"),
         F.array_join("extra", ",").alias("extra"),
         "message",
-    ).distinct()
+        "n_rows",
+    )
 
 
 @_query
@@ -277,6 +304,19 @@ def preview_table(r: Relations) -> DataFrame:
 # --- served layer ------------------------------------------------------------
 
 
+@_query
+def levy_customers_sketched(r: Relations) -> DataFrame:
+    """Distinct customers per class over all months: exact, and whether the merged monthly sketches come near."""
+    base = r.base()
+    sketches = r.workspace.table("customer_sketches", lambda: gold.customer_sketches(base, ["consumption_class"]))
+    merged = gold.merged_customers(sketches, ["consumption_class"])
+    exact = base.groupBy("consumption_class").agg(F.count_distinct("customer_name", "customer_type").alias("n_customers"))
+    near = F.abs(F.col("n_customers_estimate") - F.col("n_customers")) <= SKETCH_ERROR * F.col("n_customers")
+    return exact.join(merged, exact["consumption_class"].eqNullSafe(merged["consumption_class"])).select(
+        exact["consumption_class"], "n_customers", near.alias("sketch_is_near")
+    )
+
+
 @_query
 def levy_base(r: Relations) -> DataFrame:
     return r.base().drop("bill_id")
@@ -391,12 +431,19 @@ def overhead_by_step(r: Relations) -> DataFrame:
 
 @_query
 def mann_whitney(r: Relations) -> DataFrame:
-    return _rounded(logs.mann_whitney(r.timings(), ENGLISH_TERMS), 4, "u", "z")
+    return _rounded(logs.mann_whitney(r.timings(), ENGLISH_TERMS).drop("tied"), 4, "u", "z")
+
+
+@_query
+def mann_whitney_small(r: Relations) -> DataFrame:
+    """Samples of one iteration: the exact tail beside the normal one."""
+    rows = logs.mann_whitney_by_iteration(r.timings(), ENGLISH_TERMS).where("n_first between 2 and 8 and n_second between 2 and 8")
+    return _rounded(rows.drop("z"), 6, "u", "p_exact", "p_normal", "p")
 
 
 @_query
 def mann_whitney_by_step(r: Relations) -> DataFrame:
-    return _rounded(logs.mann_whitney_by_step(r.landmarks(), r.trials(), ENGLISH_TERMS), 4, "u", "z")
+    return _rounded(logs.mann_whitney_by_step(r.landmarks(), r.trials(), ENGLISH_TERMS).drop("tied"), 4, "u", "z")
 
 
 @_query
@@ -475,6 +522,12 @@ def mask_identifiers(r: Relations) -> DataFrame:
     return masking.identifiers(r.numbered(names)).drop("billing_month")
 
 
+@_query
+def mask_keyed(r: Relations) -> DataFrame:
+    """Identifiers under a keyed permutation of their digits."""
+    return masking.keyed_identifiers(r.numbered(masking.KEYED_COLUMNS), MASK_KEY)
+
+
 @_query
 def mask_extract(r: Relations) -> DataFrame:
     """Every masked column of the extract."""

@@ -144,6 +144,20 @@ BROKEN_TEXT = {
     "line_no": "case when o.o_orderkey%113=0 then cast(o.o_orderkey as string)||'x' else cast(o.o_orderkey+1 as string) end",
 }
 
+# Line breaks, separators and quotes inside the first, a middle and the last field.
+QUOTED_TEXT = {
+    contract.NAMES[0]: f"{BILL_TEXT[contract.NAMES[0]]}||case when o.o_orderkey%5=0 then chr(10)||'next' else '' end",
+    "customer_name": "c.c_name||case when o.o_orderkey%7=0 then ' \"of\"; '||chr(10)||chr(10)||'two' else '' end",
+    contract.NAMES[-1]: f"{BILL_TEXT.get(contract.NAMES[-1], chr(39) * 2)}||case when o.o_orderkey%11=0 then chr(10)||'end' else '' end",
+}
+
+# Header lines by billing month: as declared, one column renamed, the last one left out, one more.
+_HEADER = ";".join(contract.HEADERS)
+MONTH_HEADER = (
+    "case cast(billing_month as int) % 4 when 0 then '{0}' when 1 then replace('{0}', 'VALOR_FATURA', 'VALOR_FAT')"
+    " when 2 then substr('{0}', 1, {1}) else '{0};NOVA' end"
+).format(_HEADER, len(_HEADER) - len(contract.HEADERS[-1]) - 1)
+
 # Payments whose amount and rebills whose date got lost.
 UNFINISHED_TEXT = {
     "paid_amount": f"case when o.o_orderkey%37=0 then '' else {BILL_TEXT['paid_amount']} end",

@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
-from functools import reduce
+from dataclasses import dataclass
+from functools import lru_cache, reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from lumenlake import contract
+from lumenlake.plans.workspace import written
+from lumenlake.sources.quoted import first_lines, quoted_records
 
 SEPARATOR = ";"
 BOM = "\ufeff"
 _CORRUPT = "_corrupt"
 _SPLITS = "spark.sql.files.minPartitionNum"
-_ONE_SPLIT_PER_FILE = {"spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.files.minPartitionNum": "1"}
-_GROUP = 64
+# Opening a file counts as much as a whole task may read, so no two files share one.
+_ONE_FILE_PER_TASK = {"spark.sql.files.maxPartitionBytes": str(1 << 40), "spark.sql.files.openCostInBytes": str(1 << 40)}
 
 
 def split_header(line: str) -> list[str]:
@@ -33,28 +38,40 @@ def _settings(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def header_rows(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """(path, first line) of every file under a path, in path order.
+@dataclass(frozen=True)
+class Headers:
+    """(path, header) of every file, and the distinct headers."""
+
+    table: DataFrame
+    distinct: list[str]
+
+
+def read_headers(spark: SparkSession, path: str) -> Headers:
+    """The first line of every file under a path, written.
 
-    Files are taken in groups, however many there are, and each is limited to
-    one line of one split, so no scan reads on.  The driver gets one line per
-    file of the listing it holds anyway.
+    One scan with a task per file that ends with its first batch of lines, so
+    neither the files nor their number pass through the driver.
     """
-    listed = sorted(row["path"] for row in spark.read.format("binaryFile").load(path).select("path").collect())
-    found = []
-    with _settings(spark, _ONE_SPLIT_PER_FILE):
-        for at in range(0, len(listed), _GROUP):
-            firsts = [
-                spark.read.text(file).limit(1).select(F.lit(file).alias("path"), "value") for file in listed[at : at + _GROUP]
-            ]
-            found += [tuple(row) for row in reduce(DataFrame.unionAll, firsts).collect()]
-    return found
+    with _settings(spark, _ONE_FILE_PER_TASK):
+        lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
+        lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
+        table = written(lines.mapInArrow(first_lines, "path string, header string"), "headers")
+    return Headers(table, [row["header"] for row in table.select("header").distinct().collect()])
+
+
+def header_rows(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(path, first line) of every file under a path, in path order."""
+    return sorted((unquote(row["path"]), row["header"]) for row in read_headers(spark, path).table.collect())
+
 
+def header_lines(rows: DataFrame) -> DataFrame:
+    """(file, header) with the base name of each file of a header table."""
+    return rows.select(F.element_at(F.split("path", "/"), -1).alias("file"), "header")
 
-def header_lines(spark: SparkSession, path: str, rows: list[tuple[str, str]] | None = None) -> DataFrame:
-    """First line of every file under a path: (file, header)."""
-    rows = header_rows(spark, path) if rows is None else rows
-    return spark.createDataFrame([(file.rsplit("/", 1)[-1], header) for file, header in rows], "file string, header string")
+
+def has_contract(line: str) -> bool:
+    """Whether a header line names the declared columns, in any order, and no others."""
+    return set(split_header(line)) == set(contract.HEADERS)
 
 
 def header_report(headers: DataFrame, expected: list[str] | None = None) -> DataFrame:
@@ -97,59 +114,75 @@ def pinned_splits(spark: SparkSession):
             spark.conf.unset(_SPLITS)
 
 
+def split_size(spark: SparkSession, size: int):
+    """Splits of at most ``size`` bytes inside the block."""
+    return _settings(spark, {"spark.sql.files.maxPartitionBytes": str(size)})
+
+
 def scan_extract(
-    spark: SparkSession, path: str, headers: list[tuple[str, str]] | None = None, multiline: bool = False
+    spark: SparkSession, path: str, headers: Headers | None = None, multiline: bool = False
 ) -> DataFrame:
     """All declared columns as text, blanks kept as '', columns matched by name in each file.
 
     Adds ``file_name``; ``too_long`` marks records with more fields than the
     header, while records with fewer are padded with blanks.  A declared
     column the header lacks comes back null.  Files with the same header are
-    scanned together; ``headers`` are those of header_rows, if known.
+    scanned together; ``headers`` are those of read_headers, if known.
 
-    With ``multiline`` a quoted field may hold line breaks, at the price of
-    one task per file, as a file cannot be cut then.  Without it a record ends
-    with its line, and ``open_quote`` marks the pieces of one that does not.
+    With ``multiline`` a quoted field may hold line breaks: two scans, the
+    first of which counts quotes, so run it inside ``pinned_splits``.  Without
+    it a record ends with its line, and ``open_quote`` marks the pieces of one
+    that does not.
     """
-    headers = header_rows(spark, path) if headers is None else headers
-    if not headers:
+    headers = read_headers(spark, path) if headers is None else headers
+    if not headers.distinct:
         raise ValueError("no columns to read")
+    if len({tuple(split_header(line)) for line in headers.distinct}) == 1:
+        return _scan(spark, path, split_header(headers.distinct[0]), multiline)
+    # Only where headers differ does the driver deal the files out.
     files: dict[tuple[str, ...], list[str]] = {}
-    for file, line in headers:
-        files.setdefault(tuple(split_header(line)), []).append(file)
-    if len(files) == 1:
-        return _scan(spark, path, list(*files), multiline)
-    return reduce(DataFrame.unionAll, [_scan(spark, paths, list(header), multiline) for header, paths in files.items()])
+    for row in headers.table.collect():
+        files.setdefault(tuple(split_header(row["header"])), []).append(unquote(row["path"]))
+    return reduce(DataFrame.unionAll, [_scan(spark, sorted(paths), list(header), multiline) for header, paths in files.items()])
 
 
 def _scan(spark: SparkSession, path: str | list[str], header: list[str], multiline: bool) -> DataFrame:
     fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(header))]
     schema = T.StructType(fields + [T.StructField(_CORRUPT, T.StringType())])
-    rows = (
-        spark.read.schema(schema)
-        .option("sep", SEPARATOR)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .option("multiLine", multiline)
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .csv(path)
-    )
+    options = {"sep": SEPARATOR, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    if multiline:
+        records = quoted_records(spark, path)
+        parsed = F.from_csv("record", ", ".join(f"{field.name} string" for field in schema), options)
+        rows = records.select(
+            parsed.alias("_r"), F.col("file").alias("_file"), F.col("split").alias("_start"), F.col("place").alias("_at")
+        ).select("_r.*", "_file", "_start", "_at")
+    else:
+        rows = spark.read.schema(schema).options(**options).option("header", True).option("enforceSchema", True).csv(path)
+        rows = rows.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_at"),
+        )
+    return rows.select(*_columns(tuple(header)))
+
+
+@lru_cache(maxsize=64)
+def _columns(header: tuple[str, ...]) -> list[Column]:
+    """The declared columns by their place in a header, and what is known of the record."""
     position = {name: i for i, name in reversed(list(enumerate(header)))}
     columns = []
     for column in contract.COLUMNS:
         at = position.get(column.header)
         value = F.lit(None).cast("string") if at is None else F.coalesce(F.col(f"c{at}"), F.lit(""))
         columns.append(value.alias(column.name))
-    return rows.select(
+    return [
         *columns,
-        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file_name"),
+        F.element_at(F.split("_file", "/"), -1).alias("file_name"),
         _too_many_fields(len(header)).alias("too_long"),
         (F.length(F.regexp_replace(F.coalesce(_CORRUPT, F.lit("")), '[^"]', "")) % 2 == 1).alias("open_quote"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_at"),
-    )
+        *map(F.col, ("_file", "_start", "_at")),
+    ]
 
 
 def _too_many_fields(n: int) -> Column:
@@ -158,26 +191,29 @@ def _too_many_fields(n: int) -> Column:
     return F.coalesce(separators >= n, F.lit(False))
 
 
-def split_offsets(rows: DataFrame) -> DataFrame:
-    """Rows that precede each file split, and the split's first row id: one row per split."""
-    splits = rows.groupBy("_file", "_start").agg(F.count("*").alias("_size"), F.min("_at").alias("_first"))
+def split_offsets(rows: DataFrame, *counts: Column) -> DataFrame:
+    """Rows that precede each file split, and the split's first row id: one row per split.
+
+    Rows know their split and their place in it, so this reads three columns
+    of what was stored, not the files; ``counts`` are further aggregates.
+    """
+    splits = rows.groupBy("_file", "_start").agg(F.count("*").alias("_size"), F.min("_at").alias("_first"), *counts)
     earlier = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    return splits.select(
-        "_file", "_start", "_first", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
-    )
+    offset = F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
+    return splits.select(*(c for c in splits.columns if c != "_size"), offset)
 
 
-def with_row_numbers(rows: DataFrame, offsets: DataFrame, name: str = "row_number") -> DataFrame:
+def with_row_numbers(rows: DataFrame, offsets: DataFrame, name: str = "row_number", by: tuple[str, ...] = ()) -> DataFrame:
     """1-based data row number over the files in path order.
 
     A row's number is its split's offset plus its place in the split, so rows
-    meet one small table and are not shuffled when that is broadcast.  Run
-    both scans inside ``pinned_splits`` so that they cut the files alike; a
-    split without an offset stops the job.
+    meet one small table and are not shuffled when that is broadcast.  ``by``
+    are further columns that tell splits apart.  Places are dense where no
+    record was left out; a split without an offset stops the job.
     """
-    lost = F.raise_error(F.lit("the two scans cut the files differently"))
+    lost = F.raise_error(F.lit("a split of the stored rows is not counted"))
     offset = F.when(F.col("_offset").isNull(), lost.cast("bigint")).otherwise(F.col("_offset"))
-    numbered = rows.join(offsets, ["_file", "_start"], "left").withColumn(
+    numbered = rows.join(offsets, [*by, "_file", "_start"], "left").withColumn(
         name, offset + F.col("_at") - F.col("_first") + 1
     )
     return numbered.drop("_file", "_start", "_at", "_first", "_offset")
@@ -191,6 +227,8 @@ def write_extract(
     for i, column in enumerate(contract.COLUMNS[::-1] if backwards else contract.COLUMNS):
         header = (headers or {}).get(column.header, column.header)
         renamed.append(F.col(column.name).alias(BOM + header if i == 0 else header))
-    rows.select(*renamed).write.mode("overwrite").option("sep", SEPARATOR).option("header", True).option(
-        "emptyValue", ""
-    ).csv(path)
+    options = {
+        "sep": SEPARATOR, "header": True, "emptyValue": "", "escape": '"',
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+    rows.select(*renamed).write.mode("overwrite").options(**options).csv(path)

@@ -52,23 +52,75 @@ def test_scan_keeps_blanks_and_ignores_column_order(spark, tmp_path, lines):
     assert sorted(tuple(r) for r in found) == sorted(tuple(r) for r in lines)
 
 
-def test_row_numbers_over_many_splits(spark, tmp_path, lines):
-    path = write(tmp_path / "a.csv", lines * 4)
+@pytest.fixture
+def small_splits(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    try:
-        with extract.pinned_splits(spark):
-            scan = extract.scan_extract(spark, path)
-            assert scan.rdd.getNumPartitions() > 4
-            offsets = F.broadcast(extract.split_offsets(scan))
-            numbered = extract.with_row_numbers(scan, offsets).select("row_number", "bill_number")
-            assert "Exchange hashpartitioning(_file" not in numbered._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
-            found = numbered.collect()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_row_numbers_over_many_splits(spark, tmp_path, lines, small_splits):
+    path = write(tmp_path / "a.csv", lines * 4)
+    with extract.pinned_splits(spark):
+        scan = extract.scan_extract(spark, path)
+        assert scan.rdd.getNumPartitions() > 4
+        offsets = F.broadcast(extract.split_offsets(scan))
+        numbered = extract.with_row_numbers(scan, offsets).select("row_number", "bill_number")
+        assert "Exchange hashpartitioning(_file" not in numbered._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+        found = numbered.collect()
     at = contract.NAMES.index("bill_number")
     assert sorted(tuple(r) for r in found) == [(i + 1, r[at]) for i, r in enumerate(lines * 4)]
 
 
+def _quoted(value):
+    return '"' + value.replace('"', '""') + '"'
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_quoted_records_over_many_splits(spark, tmp_path, lines, small_splits, seed):
+    """Line breaks, separators and quotes in first, middle and last fields, records longer than a split, blank lines."""
+    draw = random.Random(seed)
+    odd = ["two\nlines", 'a "quoted" word\n', "\n\n;\n", "x;y", "long " * 6000 + "\nend", "", "plain", "\r\n"]
+    rows = [[draw.choice(odd) if i in (0, 30, 58) and draw.random() < 0.5 else v for i, v in enumerate(r)] for r in lines[:200]]
+    body = [";".join(_quoted(v) if set(v) & set('";\r\n') else v for v in r) for r in rows]
+    ends = ["\r\n", "\n", "\n\n"]
+    text = "\ufeff" + ";".join(contract.HEADERS) + "\n" + "".join(r + draw.choice(ends) for r in body)
+    (tmp_path / "a.csv").write_bytes(text.encode())
+    with extract.pinned_splits(spark):
+        scan = extract.scan_extract(spark, str(tmp_path / "a.csv"), multiline=True)
+        kept = scan.write.mode("overwrite").parquet(str(tmp_path / "kept"))
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    assert kept.select("_start").distinct().count() > 4
+    found = extract.with_row_numbers(kept, extract.split_offsets(kept)).orderBy("row_number").collect()
+    assert [r["row_number"] for r in found] == list(range(1, len(rows) + 1))
+    assert [[r[c] for c in contract.NAMES] for r in found] == rows
+    assert not any(r["too_long"] or r["open_quote"] for r in found)
+
+
+def test_unfinished_quotes_and_empty_files(spark, tmp_path, lines):
+    head = ";".join(contract.HEADERS) + "\n"
+    (tmp_path / "a.csv").write_text(head + ";".join(lines[0]) + '\n"never ends\n' + ";".join(lines[1]))
+    (tmp_path / "b.csv").write_text(head)
+    with extract.pinned_splits(spark):
+        found = extract.scan_extract(spark, str(tmp_path), multiline=True).orderBy("_file", "_at").collect()
+    assert [(r["open_quote"], r["_at"]) for r in found] == [(False, 0), (True, 1)]
+
+
+def test_a_load_reads_its_extract_once(spark, tmp_path, lines):
+    """The stored rows know split and place; counting them reads no more of the files."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.load(write(tmp_path / "a.csv", lines), 1)
+    files = lake.history().inputFiles()
+    assert files and not any("a.csv" in f for f in files)
+    assert [r["row_number"] for r in lake.history().orderBy("row_number").collect()] == list(range(1, len(lines) + 1))
+    group = "one-load"
+    spark.sparkContext.setJobGroup(group, "jobs of a load")
+    lake.load(str(tmp_path / "a.csv"), 2)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs <= 12
+
+
 def test_null_data_goes_to_quarantine(spark, tmp_path, lines):
     lake = Lake(spark, str(tmp_path / "lake"))
     event = lake.load(write(tmp_path / "Amostra.csv", blanked(lines)), 7)
@@ -208,7 +260,7 @@ def test_masking_contract():
 def test_a_failure_after_the_header_check_ends_the_load(spark, tmp_path, lines, monkeypatch):
     path = write(tmp_path / "a.csv", lines)
     lake = Lake(spark, str(tmp_path / "lake"))
-    monkeypatch.setattr("lumenlake.plans.bronze.totals", lambda *_: 1 / 0)
+    monkeypatch.setattr("lumenlake.sources.extract.split_offsets", lambda *_: 1 / 0)
     with pytest.raises(LoadFailed, match="ZeroDivisionError"):
         lake.load(path, 1)
     row = lake.loads().first()

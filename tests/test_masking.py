@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lumenlake.functions.permutation import permuted_digits
 from lumenlake.plans import masking
 from lumenlake.sources import derived
 
@@ -119,3 +120,27 @@ def test_masked_extract_is_written_in_its_own_form(spark, workspace, tmp_path):
     after = extract.scan_extract(spark, str(tmp_path / "masked"))
     assert after.count() == 40 and set(contract.NAMES) <= set(after.columns)
     assert after.where("street like 'RUA FICTICIA %'").count() == 40
+
+
+@pytest.mark.parametrize("digits", [1, 2, 3, 4])
+def test_keyed_images_are_a_permutation(spark, digits):
+    rows = spark.range(10**digits).select(F.lpad(F.col("id").cast("string"), digits, "0").alias("t"))
+    found = [tuple(r) for r in rows.select("t", permuted_digits(F.col("t"), "k").alias("a"), permuted_digits(F.col("t"), "other").alias("b")).collect()]
+    for place in (1, 2):
+        assert {r[place] for r in found} == {r[0] for r in found}
+    assert digits < 3 or sum(r[0] == r[1] for r in found) < 10 < 10**digits - sum(r[1] == r[2] for r in found)
+
+
+def test_keyed_images_agree_over_loads_and_refuse_other_text(spark):
+    texts = ["000000000000000001", "7", None, "", " ", "123456789012345678"]
+    image = lambda rows: {r.t: r.i for r in rows.select("t", permuted_digits(F.col("t"), "k").alias("i")).collect()}
+    one = image(spark.createDataFrame([(t,) for t in texts], "t string"))
+    two = image(spark.createDataFrame([(t,) for t in texts[::-1] + ["99"]], "t string"))
+    assert all(two[t] == one[t] for t in texts)
+    assert [one[t] for t in (None, "", " ")] == [None, "", " "]
+    assert all(len(one[t]) == len(t) and one[t].isdigit() for t in texts if t and t.strip())
+    for bad in ("S/N", "1" * 19):
+        with pytest.raises(Exception, match="keyed image"):
+            image(spark.createDataFrame([(bad,)], "t string"))
+    rows = spark.createDataFrame([(1, "12", "S/N")], "line_no long, installation string, house_number string")
+    assert masking.keyed_identifiers(rows, "k", ["installation", "house_number"]).first().house_number == "S/N"

@@ -120,3 +120,22 @@ def test_overlaps_of_more_runs_than_64_bits_can_pair(spark, monkeypatch):
     found = intervals.count_overlaps(rows, "s", "e", ["g"]).first()
     n = 4_000_000_000
     assert (found["n_runs"], int(found["n_overlapping"])) == (n, n * (n - 1) // 2)
+
+
+@pytest.mark.parametrize("sizes", [(1, 1), (2, 3), (3, 2), (5, 5), (8, 8), (4, 9), (8, 40)])
+def test_exact_tail_counts_arrangements(spark, sizes):
+    """Against a table filled by the recursion on the largest value; both sides, and beyond the bounds null."""
+    n1, n2 = sizes
+    ways = {}
+    for a in range(n1 + 1):
+        for b in range(n2 + 1):
+            for u in range(a * b + 1):
+                ways[a, b, u] = 1 if a == 0 or b == 0 else ways.get((a - 1, b, u - b), 0) + ways.get((a, b - 1, u), 0)
+    total = sum(ways[n1, n2, u] for u in range(n1 * n2 + 1))
+    wanted = sorted({0, 1, n1 * n2 // 3, n1 * n2 // 2, n1 * n2})
+    rows = spark.createDataFrame([(float(u), n1, n2) for u in wanted], "u double, a int, b int")
+    for r in rows.select("u", statistics.exact_two_sided(F.col("u"), F.col("a"), F.col("b")).alias("p")).collect():
+        low = min(int(r["u"]), n1 * n2 - int(r["u"]))
+        assert r["p"] == pytest.approx(min(1.0, 2 * sum(ways[n1, n2, u] for u in range(low + 1)) / total))
+    large = spark.createDataFrame([(3.0, 9, 9), (3.0, 8, 400)], "u double, a int, b int")
+    assert [r[0] for r in large.select(statistics.exact_two_sided(F.col("u"), F.col("a"), F.col("b"))).collect()] == [None, None]
