@@ -23,6 +23,8 @@ BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 SLICE_BYTES = 1 << 21
+BATCH_BYTES = 1 << 23
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -32,7 +34,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+    """Send this package to the Python workers, once per application, and bound what they get at a time.
+
+    A batch of ten thousand rows has no size of its own; where the session says
+    nothing else, batches end at ``BATCH_BYTES``.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     context, package = spark.sparkContext, Path(lumenlake.__file__).parent
     if context.applicationId in _shipped or not package.is_dir():  # within an archive it was shipped by the user
         return

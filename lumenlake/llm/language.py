@@ -30,15 +30,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from lumenlake.llm.common import remainder, seeded_hash, ship
+from lumenlake.llm.common import remainder, seeded_hash, ship, slices, text_or_empty
 
 SAMPLE_ROWS = 1500
 MIN_COUNT = 3
 LONGEST = 4
 UNKNOWN = "und"
+SLICE = 1 << 22
 _RUN = re.compile(r"[^\W\d_]+")
+_BETWEEN = r"[^\p{L}\p{Nl}\p{No}]+"  # the same runs, as what lies between them
 _COUNTED = "lang string, size int, gram string, n long"
 
 
@@ -89,32 +93,43 @@ class LanguageModel:
                 return self.scores[size][found].mean(axis=0)
         return None
 
-    def predict(self, text: str | None, seen: dict[str, np.ndarray | None]) -> tuple[str, float]:
-        """``seen`` keeps the scores of words between texts."""
-        total, n_words = np.zeros(len(self.languages)), 0
-        known, rows, counts = self.rows[0], [], []
-        for word, n in words_of(text or "").items():
-            row = known.get(word)
-            if row is not None:
-                rows.append(row)
-                counts.append(n)
-                continue
+    def table(self, words: list[str], seen: dict[str, np.ndarray | None]) -> np.ndarray:
+        """Scores of distinct words, a row each; nan where no n-gram is known.  ``seen`` keeps those of unknown words."""
+        known = self.rows[0]
+        found = np.full((len(words), len(self.languages)), np.nan)
+        rows = np.fromiter((known.get(word, -1) for word in words), dtype=np.int64, count=len(words))
+        found[rows >= 0] = self.scores[0][rows[rows >= 0]]
+        for i in np.flatnonzero(rows < 0).tolist():
+            word = words[i]
             if word not in seen:
                 seen[word] = self.word_scores(word)
-            scores = seen[word]
-            if scores is not None:
-                total += n * scores
-                n_words += n
-        if rows:
-            total += np.array(counts) @ self.scores[0][rows]
-            n_words += sum(counts)
-        if not self.languages or (not n_words and not any(map(str.isalpha, text or ""))):
-            return UNKNOWN, 0.0
-        if not n_words:  # letters the model has never seen: all languages alike
-            return self.languages[0], 1 / len(self.languages)
-        mean = total / n_words
-        best = int(mean.argmin())
-        return self.languages[best], float(1 / np.exp(mean[best] - mean).sum())
+            if seen[word] is not None:
+                found[i] = seen[word]
+        return found
+
+    def predict(self, texts: list[str], seen: dict[str, np.ndarray | None]) -> tuple[list[str], np.ndarray]:
+        """Languages and scores of some texts: each distinct word is scored once, texts sum the rows of their words."""
+        n = len(texts)
+        if not self.languages:
+            return [UNKNOWN] * n, np.zeros(n)
+        split = pc.split_pattern_regex(pa.array([t.lower() for t in texts], pa.large_string()), _BETWEEN)
+        flat = split.flatten().dictionary_encode()
+        ends = split.offsets.to_numpy().astype(np.int64)
+        text = np.repeat(np.arange(n), np.diff(ends))
+        words = flat.dictionary.to_pylist()
+        words = [w if w.isalpha() else "".join(filter(str.isalpha, w)) for w in words]
+        filled = np.fromiter(map(bool, words), dtype=bool, count=len(words))
+        scores = self.table(words, seen)
+        places = flat.indices.to_numpy()
+        has_letters = np.bincount(text, filled[places], minlength=n) > 0
+        counted = filled[places] & ~np.isnan(scores[places, 0])
+        places, text = places[counted], text[counted]
+        n_words = np.bincount(text, minlength=n)
+        totals = np.stack([np.bincount(text, scores[places, i], minlength=n) for i in range(len(self.languages))], axis=1)
+        mean = totals / np.maximum(n_words, 1)[:, None]
+        best = mean.argmin(axis=1)  # all alike, so the first, where the letters were never seen
+        share = 1 / np.exp(mean.min(axis=1)[:, None] - mean).sum(axis=1)
+        return [self.languages[b] if some else UNKNOWN for b, some in zip(best, has_letters)], np.where(has_letters, share, 0.0)
 
 
 def labelled_sample(docs: DataFrame, sample_rows: int, parts: int, held_out: int) -> DataFrame:
@@ -185,16 +200,19 @@ def predict(docs: DataFrame, model: LanguageModel, seen_words: int = 50_000) ->
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model, seen = shared.value, {}
-        for texts in batches:
-            found = []
-            for text in texts:
-                found.append(model.predict(text, seen))
+        for batch in batches:
+            languages, scores = [], []
+            for part in slices(batch, SLICE):
+                found, score = model.predict(part.to_pylist(), seen)
+                languages += found
+                scores.append(score)
                 if len(seen) > seen_words:
                     seen.clear()
-            yield pd.DataFrame(found, columns=["lang_pred", "score"])
+            scores = np.concatenate([np.zeros(0), *scores])
+            yield pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(scores)], names=["lang_pred", "score"])
 
-    found = docs.select(F.struct("*").alias("row"), predicted(F.col("text").cast("string")).alias("found"))
+    found = docs.select(F.struct("*").alias("row"), predicted(text_or_empty()).alias("found"))
     return found.select("row", "found.lang_pred", "found.score")

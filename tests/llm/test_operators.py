@@ -1,6 +1,7 @@
 """Operators against brute force, exact round trips and held-out accuracy."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -110,10 +111,89 @@ def test_language_backs_off(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = language.fit(docs, min_count=1)
     assert model.languages == ["de", "en"]
-    assert model.predict("THE river!", {})[0] == "en" and model.predict("Haus", {})[0] == "de"
-    assert model.word_scores("thehou") is not None and model.predict("thehou", {})[0] == "en"  # by n-grams
-    assert model.predict("字", {}) == ("de", 0.5)  # nothing known: all alike
-    assert model.predict("12 !?", {}) == ("und", 0.0)
+    found, scores = model.predict(["THE river!", "Haus", "thehou", "字", "12 !?"], {})
+    assert found == ["en", "de", "en", "de", "und"]
+    assert model.word_scores("thehou") is not None  # by n-grams
+    assert scores[3:].tolist() == [0.5, 0.0]  # nothing known: all alike
+
+
+def test_language_equals_a_plain_model(spark):
+    """The same sample counted, backed off and scored by loops over single words."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sample = [tuple(r) for r in language.labelled_sample(docs, 60, 4, 2).collect()]
+    letters = lambda text: [w for w in ("".join(c for c in run if c.isalpha()) for run in re.findall(r"[^\W\d_]+", text.lower())) if w]
+    cut = lambda w, n: [m[i : i + n] for m in [f" {w} " if n > 1 else w] for i in range(len(m) - n + 1)]
+    counts = [{} for _ in range(5)]
+    for lang, text in sample:
+        for w in letters(text):
+            for size in range(5):
+                for gram in [w] if size == 0 else cut(w, size):
+                    by_lang = counts[size].setdefault(gram, {})
+                    by_lang[lang] = by_lang.get(lang, 0) + 1
+    known = [{g: c for g, c in part.items() if sum(c.values()) >= 3} for part in counts]
+    langs = sorted({lang for part in known for c in part.values() for lang in c})
+    totals = [{lang: max(1, sum(c.get(lang, 0) for c in part.values())) for lang in langs} for part in known]
+
+    def score(size, gram, lang):
+        n = known[size][gram].get(lang, 0)
+        return -math.log(n / totals[size][lang]) if n else math.log(max(totals[size].values())) + 1
+
+    def of_word(w, lang):
+        if w in known[0]:
+            return score(0, w, lang)
+        for size in range(4, 0, -1):
+            if found := [score(size, g, lang) for g in cut(w, size) if g in known[size]]:
+                return sum(found) / len(found)
+        return None
+
+    model = language.fit(docs, sample_rows=60)
+    assert model.languages == langs
+    texts = [r.text for r in docs.limit(120).collect()] + ["zzqx", "a1b² ⅷc", "Ünïcode İstanbul", "", "12"]
+    found, scores = model.predict(texts, {})
+    for text, lang, share in zip(texts, found, scores, strict=True):
+        words = letters(text)
+        if not words:
+            assert (lang, share) == ("und", 0.0)
+            continue
+        means = []
+        for x in langs:
+            values = [v for v in (of_word(w, x) for w in words) if v is not None]
+            means.append(sum(values) / len(values) if values else 0.0)
+        assert lang == langs[means.index(min(means))] or min(abs(m - min(means)) for m in sorted(means)[1:2]) < 1e-4
+        assert share == pytest.approx(1 / sum(math.exp(min(means) - m) for m in means), abs=1e-4)
+
+
+def test_toxicity_equals_a_plain_sum(spark):
+    """Features and ratios from sets of n-grams, scores as sums over them."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    sample = [(r.toxic, r.text) for r in toxicity.labelled_sample(docs, labels, 25, 3, 1).collect()]
+    model = toxicity.fit(docs, labels, sample_rows=25)
+    grams = lambda text: {f" {text.lower()} "[i : i + n] for n in toxicity.SIZES for i in range(len(text.lower()) + 3 - n)}
+    held = [grams(text) for _, text in sample]
+    y = np.array([t for t, _ in sample], dtype=float)
+    n_bad, n_good = y.sum(), (1 - y).sum()
+    seen = {}
+    for toxic, found in zip(y, held):
+        for g in found:
+            pair = seen.setdefault(g, [0, 0])
+            pair[int(toxic)] += 1
+    ratios = {g: math.log((b + 1) / (n_bad + 2)) - math.log((a + 1) / (n_good + 2)) for g, (a, b) in seen.items() if a + b >= toxicity.MIN_DOCS}
+    ratios = {g: r for g, r in ratios.items() if abs(r) >= toxicity.MIN_RATIO}
+    assert len(ratios) == len(model.hashes)
+    # The loss that the fit lowers, both classes weighing the same, against that of a model that knows nothing.
+    fitted = np.clip([model.score(text) for _, text in sample], 1e-12, 1 - 1e-12)
+    loss = -(y * np.log(fitted) / n_bad + (1 - y) * np.log(1 - fitted) / n_good).sum() / 2
+    assert loss < 0.5 * math.log(2)
+    # With the fitted values, scores are the plain sum over the set of n-grams of a text.
+    values = dict(zip(model.hashes.tolist(), model.values.tolist()))
+    for text in [r.text for r in docs.limit(100).collect()] + ["", "ab", "İé 字"]:
+        marked, total = f" {text.lower()} ", model.intercept
+        found = {marked[i : i + n]: h for n, hashes in zip(toxicity.SIZES, toxicity.gram_hashes(text)) for i, h in enumerate(hashes.tolist())}
+        assert found.keys() == {g for g in grams(text)} and len(set(found.values())) == len(found)
+        total += sum(values.get(h, 0.0) for h in found.values())
+        assert {g for g, h in found.items() if h in values} == found.keys() & ratios.keys()
+        assert model.score(text) == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
 
 
 def test_language_held_out(spark):
