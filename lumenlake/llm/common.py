@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -23,7 +24,7 @@ BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 SLICE_BYTES = 1 << 21
-BATCH_BYTES = 1 << 23
+BATCH_BYTES = 1 << 22
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -82,6 +83,14 @@ def seeded_hash(seed: str, identifier: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(identifier.cast("string"), F.lit(""))).cast("binary"))
 
 
+def give_back() -> None:
+    """Return freed memory of a Python worker to the system: workers stay, and the next stage needs it elsewhere."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_key(text: Column) -> tuple[Column, Column]:
     """128 bits that stand for a text, the same in every scan."""
     return F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")

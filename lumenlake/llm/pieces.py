@@ -29,10 +29,10 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from lumenlake.llm.common import ship, slices, text_or_empty
+from lumenlake.llm.common import give_back, ship, slices, text_or_empty
 
 MARK = "▁"
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 _PROBE = f" a  b\t ﬁ　\n c{MARK}d "
 
@@ -104,6 +104,8 @@ def encode(docs: DataFrame, model_path: str, slice_bytes: int = SLICE_BYTES) ->
         for batch in batches:
             parts = [encode_slice(processor, part) for part in slices(batch, slice_bytes)]
             yield pa.concat_arrays(parts) if parts else encode_slice(processor, batch)
+            del parts
+            give_back()
 
     found = docs.select(F.struct("*").alias("row"), coded(text_or_empty()).alias("coded"))
     return found.select("row", "coded.ids", "coded.decoded")

@@ -23,14 +23,15 @@ repeated rows share everything.  Texts are read whole.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumenlake.llm.common import ship, text_key, written
+from lumenlake.llm.common import give_back, ship, text_key, written
 from lumenlake.llm.components import components
 
 SHINGLE = 3
@@ -60,10 +61,12 @@ def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(row, fp): the fingerprint as a signed long."""
     ship(docs.sparkSession)
 
-    @F.pandas_udf("long")
-    def signed(texts: pd.Series) -> pd.Series:
-        found = [fingerprint(t, shingle) for t in texts]
-        return pd.Series(np.array(found, dtype=np.uint64).view(np.int64))
+    @F.arrow_udf("long")
+    def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), dtype=np.uint64, count=len(texts))
+            yield pa.array(found.view(np.int64))
+            give_back()
 
     return docs.select(F.struct("*").alias("row"), signed(F.col("text").cast("string")).alias("fp"))
 

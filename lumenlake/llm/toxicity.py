@@ -26,10 +26,10 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lumenlake.llm.common import remainder, seeded_hash, ship, text_or_empty, written
+from lumenlake.llm.common import give_back, remainder, seeded_hash, ship, text_or_empty, written
 
 SAMPLE_ROWS = 2500
 SIZES = (3, 4, 5, 6)
@@ -112,17 +112,21 @@ def labelled_sample(
     return found.where(place < again).select("toxic", "text")
 
 
-def _hashed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch: in how many texts of each class an n-gram occurs."""
     for batch in batches:
-        for toxic, part in batch.groupby("toxic"):
-            per_text = [np.unique(h) for text in part["text"] for h in gram_hashes(text)]
+        classes = batch.column("toxic").to_numpy()
+        for toxic in (0, 1):
+            texts = batch.column("text").filter(pa.array(classes == toxic))
+            per_text = [np.unique(h) for text in texts for h in gram_hashes(text.as_py())]
             if per_text:
                 hashes, n = np.unique(np.concatenate(per_text), return_counts=True)
-                yield pd.DataFrame({"hash": hashes.view(np.int64), "toxic": int(toxic), "n": n})
+                columns = [pa.array(hashes.view(np.int64)), pa.array(np.full(len(n), toxic, dtype=np.int32)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, names=["hash", "toxic", "n"])
+        give_back()
 
 
-def _ratios(counts: DataFrame, totals: dict[int, int], min_docs: int, min_ratio: float) -> pd.DataFrame:
+def _ratios(counts: DataFrame, totals: dict[int, int], min_docs: int, min_ratio: float) -> pa.Table:
     """(hash, ratio) of the n-grams worth a feature."""
     by_hash = counts.groupBy("hash").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
@@ -130,7 +134,7 @@ def _ratios(counts: DataFrame, totals: dict[int, int], min_docs: int, min_ratio:
     )
     ratio = F.log((F.col("bad") + 1) / float(totals[1] + 2)) - F.log((F.col("good") + 1) / float(totals[0] + 2))
     kept = by_hash.where(F.col("bad") + F.col("good") >= min_docs).select("hash", ratio.alias("ratio"))
-    return kept.where(F.abs("ratio") >= min_ratio).toPandas()
+    return kept.where(F.abs("ratio") >= min_ratio).toArrow()
 
 
 def _regress(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, penalty: float, rounds: int):
@@ -172,20 +176,22 @@ def fit(
     if not totals[0] or not totals[1]:
         share = totals[1] / max(1, sum(totals.values()))
         return ToxicityModel(none.astype(np.uint64), none, math.log((share + 1e-9) / (1 - share + 1e-9)))
-    counts = sample.mapInPandas(_hashed, "hash long, toxic int, n long")
+    counts = sample.mapInArrow(_hashed, "hash long, toxic int, n long")
     chosen = _ratios(counts, totals, min_docs, min_ratio)
     order = np.argsort(hashes := chosen["hash"].to_numpy().view(np.uint64))
     bare = ToxicityModel(hashes[order], np.zeros(len(hashes)), 0.0)
     ratios = chosen["ratio"].to_numpy()[order]
     shared = sample.sparkSession.sparkContext.broadcast(bare)
 
-    def placed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"toxic": batch["toxic"], "at": [shared.value.features(t) for t in batch["text"]]})
+            at = pa.array([shared.value.features(t.as_py()) for t in batch.column("text")], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), at], names=["toxic", "at"])
+            give_back()
 
-    found = sample.mapInPandas(placed, "toxic int, at array<long>").toPandas()
-    rows = [np.asarray(at, dtype=np.int64) for at in found["at"]]
-    weights, intercept = _regress(rows, found["toxic"].to_numpy(dtype=float), ratios, penalty, ROUNDS)
+    found = sample.mapInArrow(placed, "toxic int, at array<long>").toArrow()
+    rows = [np.asarray(at.as_py(), dtype=np.int64) for at in found["at"]]
+    weights, intercept = _regress(rows, found["toxic"].to_numpy().astype(float), ratios, penalty, ROUNDS)
     return ToxicityModel(bare.hashes, weights * ratios, float(intercept))
 
 
@@ -194,9 +200,11 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t) for t in texts], dtype="float64")
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([shared.value.score(t.as_py()) for t in texts], pa.float64())
+            give_back()
 
     return docs.select(F.struct("*").alias("row"), scored(text_or_empty()).alias("score"))
 
