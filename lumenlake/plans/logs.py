@@ -48,26 +48,47 @@ def log_landmarks(events: DataFrame) -> DataFrame:
     file splits and across them.  When a load id is created again, its later
     creation replaces the earlier one.
     """
+    return merged_landmarks(load_parts(events))
+
+
+def load_parts(events: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """One row per creation of a load: the first line of each milestone that these events hold.
+
+    First in log order, which is not always the smallest time.  ``opening`` is
+    the creation that earlier parts of the log left open; it has its own row.
+    """
     rows = events.where(F.col("kind").isin(MILESTONES)).withColumn(
         "_birth", F.when(F.col("kind") == "created", F.struct("load_id", "file", "split", "at"))
     )
-    owned = carry_forward(rows, _CHUNK, ["at"], "_birth", "_owner").where("_owner is not null")
-    per_birth = owned.groupBy("_owner").agg(
-        *(_earliest(kind, "ts").alias(kind) for kind in MILESTONES),
-        _earliest("finished", "number").alias("rows_logged"),
+    owned = carry_forward(_opened_by(opening, rows, "_birth"), _CHUNK, ["at"], "_birth", "_owner")
+    seen = F.struct("file", "split", "at", "ts", "number")
+    return owned.where("_owner is not null").groupBy("_owner").agg(
+        *(F.min(F.when(F.col("kind") == kind, seen)).alias(kind) for kind in MILESTONES)
     )
+
+
+def _opened_by(opening: DataFrame | None, rows: DataFrame, name: str) -> DataFrame:
+    """The rows behind one that carries the opening and stands before every file."""
+    if opening is None:
+        return rows
+    first = opening.select(
+        F.lit("").alias("file"), F.lit(0).cast("bigint").alias("split"), F.lit(0).cast("bigint").alias("at"),
+        F.col("_opening").alias(name),
+    )
+    return rows.unionByName(first, allowMissingColumns=True)
+
+
+def merged_landmarks(parts: DataFrame) -> DataFrame:
+    """Landmarks per load from the parts of one or more stretches of the log."""
+    per_birth = parts.groupBy("_owner").agg(*(F.min(kind).alias(kind) for kind in MILESTONES))
     births = F.struct("_owner.file", "_owner.split", "_owner.at")
+    times = [F.col(f"{kind}.ts").alias(kind) for kind in MILESTONES]
     last = per_birth.groupBy(F.col("_owner.load_id").alias("load_id")).agg(
-        F.max_by(F.struct(*MILESTONES, "rows_logged"), births).alias("_last")
+        F.max_by(F.struct(*times, F.col("finished.number").alias("rows_logged")), births).alias("_last")
     )
     return last.select("load_id", "_last.*")
 
 
-def _earliest(kind: str, column: str) -> Column:
-    """First seen in log order, which is not always the smallest time."""
-    return F.min_by(column, F.when(F.col("kind") == kind, F.struct("file", "split", "at")))
-
-
 def _between(start: str, end: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, {start}, {end}) / 1000")
 
@@ -213,19 +234,35 @@ def retry_sequences(events: DataFrame) -> DataFrame:
 
     A sequence opens at attempt one and its lines carry that opening forward.
     """
-    opening = (F.col("kind") == "attempt") & (F.col("number") == 1)
+    return merged_sequences(retry_parts(events))
+
+
+def retry_parts(events: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """One row per opening of a sequence: its times as far as these events hold them.
+
+    ``opening`` is the one that earlier parts of the log left open.
+    """
+    first = (F.col("kind") == "attempt") & (F.col("number") == 1)
     rows = events.where("kind in ('attempt', 'connected')").withColumn(
-        "_opened", F.when(opening, F.struct("file", "split", "at"))
+        "_opened", F.when(first, F.struct("file", "split", "at"))
     )
-    owned = carry_forward(rows, _CHUNK, ["at"], "_opened", "_owner").where("_owner is not null")
+    owned = carry_forward(_opened_by(opening, rows, "_opened"), _CHUNK, ["at"], "_opened", "_owner")
     attempt = lambda n: F.max(F.when((F.col("kind") == "attempt") & (F.col("number") == n), F.col("ts")))
     connected = F.col("kind") == "connected"
-    sequences = owned.groupBy("_owner").agg(
+    return owned.where("_owner is not null").groupBy("_owner").agg(
         *(attempt(n).alias(f"try{n}_at") for n in (1, 2, 3)),
         F.min(F.when(connected, F.col("ts"))).alias("connected_at"),
         F.min(F.when(connected, F.col("number"))).alias("recovery_ms"),
     )
-    return sequences.where("connected_at is not null and try3_at is not null").drop("_owner")
+
+
+def merged_sequences(parts: DataFrame) -> DataFrame:
+    """Connected sequences from the parts of one or more stretches of the log."""
+    whole = parts.groupBy("_owner").agg(
+        *(F.max(c).alias(c) for c in ("try1_at", "try2_at", "try3_at")),
+        *(F.min(c).alias(c) for c in ("connected_at", "recovery_ms")),
+    )
+    return whole.where("connected_at is not null and try3_at is not null").drop("_owner")
 
 
 def outage_timeline(events: DataFrame, sequences: DataFrame) -> DataFrame:

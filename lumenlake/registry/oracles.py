@@ -687,6 +687,7 @@ left join (select a.scenario, count(*) as n from runs a join runs b on a.scenari
   and a.started_at < b.ended_at and b.started_at < a.ended_at group by a.scenario) o on o.scenario = s.scenario"""),
         "log_lines": _with([_STEPS], "select ts, origin, message from steps"),
         "log_landmarks": _with(_LOG_CTES, "select * from landmarks"),
+        "grown_log_landmarks": _with(_LOG_CTES, "select * from landmarks"),
         "load_timings": _with(_TIMING_CTES, "select * from timings"),
         "timing_summary": _with(
             _TIMING_CTES, "select * replace (round(mean, 4) as mean, round(stdev, 4) as stdev) from summary"
@@ -724,6 +725,7 @@ from (select *, row_number() over (partition by grp, step order by iteration, tr
             [_STEPS, _RETRIES], "select try1_at, try2_at, try3_at, connected_at, recovery_ms from retries"
         ),
         "outage_timeline": _with(_OUTAGE_CTES, "select * exclude (load_id) from sequences"),
+        "grown_log_outages": _with(_OUTAGE_CTES, "select * exclude (load_id) from sequences"),
         "outage_statistics": _with(_OUTAGE_CTES, """
 select interval, count(*) as n, round(avg(s), 4) as mean_s, round(stddev_samp(s), 4) as stdev_s,
   round(min(s), 4) as min_s, round(max(s), 4) as max_s

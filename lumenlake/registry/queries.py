@@ -478,6 +478,18 @@ def retry_sequences(r: Relations) -> DataFrame:
     return r.retry_sequences()
 
 
+@_query
+def grown_log_landmarks(r: Relations) -> DataFrame:
+    """The log came in three stretches, each of which was parsed alone."""
+    return r.grown_log().landmarks()
+
+
+@_query
+def grown_log_outages(r: Relations) -> DataFrame:
+    store = r.grown_log()
+    return logs.outage_timeline(store.events(), store.retry_sequences())
+
+
 @_query
 def outage_timeline(r: Relations) -> DataFrame:
     return r.outages()

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lumenlake import contract
 from lumenlake.contract import ENGLISH_TERMS
 from lumenlake.plans import bronze, gold, logs, silver
+from lumenlake.plans.logstore import LogStore
 from lumenlake.plans.workspace import Workspace
 from lumenlake.sources import derived, extract, logtext
 
@@ -31,6 +32,9 @@ _SILVER = {
 }
 
 
+LOG_FILE_LINES = 100_000
+
+
 class Relations:
     """Lazy sources; what several queries read is written once to the workspace."""
 
@@ -99,6 +103,24 @@ class Relations:
             "log_events", lambda: logs.log_events(self.spark, self.log_path(), logtext.DERIVED_PHRASES)
         )
 
+    def grown_log(self) -> LogStore:
+        """The same log in three stretches of time, each parsed when it has come to the others."""
+
+        def write(path: str) -> None:
+            lines = derived.log_lines(self.spark, self.sf_dir)
+            end = lines.agg(F.max("ms")).first()[0] or 0
+            part = F.expr(f"least(2, 3 * ms div {end + 1})")
+            placed = lines.withColumn("part", part).orderBy("part", "ms", "line_seq").select("part", "line")
+            placed.write.mode("overwrite").partitionBy("part").option("maxRecordsPerFile", LOG_FILE_LINES).text(path)
+
+        def parse(root: str) -> None:
+            store = LogStore(self.spark, root, logtext.DERIVED_PHRASES)
+            for stretch in ("part=0", "part={0,1}", "part=*"):
+                store.ingest(f"{path}/{stretch}")
+
+        path = self.workspace.files("log_stretches", write)
+        return LogStore(self.spark, self.workspace.files("log_store", parse), logtext.DERIVED_PHRASES)
+
     def landmarks(self) -> DataFrame:
         return self.workspace.table("log_landmarks", lambda: logs.log_landmarks(self.log_events()))
 

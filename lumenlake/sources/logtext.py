@@ -71,10 +71,13 @@ DERIVED_PHRASES = Phrases(
 MILESTONES = ["created", "schema", "reading", "clearing", "cleared", "history", "copied", "finished"]
 
 
-def scan_log(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file, split and place, which together are the log order."""
+def scan_log(spark: SparkSession, path: str | list[str], name: str = "file_name") -> DataFrame:
+    """Lines with their file, split and place, which together are the log order.
+
+    ``name`` is what orders the files: their names, or with ``file_path`` their paths.
+    """
     return spark.read.text(path).select(
-        F.col("_metadata.file_name").alias("file"),
+        F.col(f"_metadata.{name}").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("at"),
         F.col("value").alias("line"),
