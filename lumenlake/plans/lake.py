@@ -8,7 +8,9 @@ Layout under the root, all Parquet::
     trials/                                 trial events, the last one counts
     <table>/load_id=N                       rows load N added to a normalised table
     rejects/load_id=N                       payments and rebills of load N that were left out
+    normalised/                             events of normalised loads
     levy_base/                              the served base relation
+    partials/                               what each load adds to the views, see plans.partials
 
 A load reads its extract once and writes its rows once, each with its split
 and its place in it; row numbers follow from the small table of splits, which
@@ -33,6 +35,7 @@ from lumenlake import contract
 from lumenlake.contract import PUBLISHED_TERMS, Terms
 from lumenlake.operators.keys import insert_if_absent
 from lumenlake.plans import bronze, gold, reports, silver
+from lumenlake.plans.partials import Partials, touched_bills
 from lumenlake.sources import extract, locate
 
 CONTROL = {
@@ -54,6 +57,9 @@ CHECKED = {
 SPLITS = {
     "_file": "string", "_start": "bigint", "_first": "bigint", "n_rows": "bigint", "n_quarantined": "bigint", "_offset": "bigint",
 }
+NORMALISED = {"load_id": "bigint", "event_at": "timestamp_ntz"}
+# Billing months are free text in an extract; only such texts are months, at most 120 000.
+MONTH = "^[0-9]{4}(0[1-9]|1[0-2])$"
 ABSENT_FILE = "(ausente)"
 
 # Natural keys by which a normalised table takes only rows it lacks.
@@ -342,6 +348,7 @@ class Lake:
             *(insert(name, billed, months=months) for name in ("payments", "taxes", "reading_cycles", "rebills", "levies")),
             lambda: rejects.write.mode("overwrite").parquet(f"{self._path('rejects')}/load_id={load_id}"),
         )
+        self._append("normalised", NORMALISED, {"load_id": load_id, "event_at": _now()})
 
     def rejects(self) -> DataFrame:
         """Rows whose payment or rebill was left out, with the reason, of all normalised loads."""
@@ -382,6 +389,28 @@ class Lake:
     def served(self) -> DataFrame:
         return self.spark.read.parquet(self._path("levy_base"))
 
+    def partials(self) -> Partials:
+        return Partials(self.spark, self._path("partials"))
+
+    def serve_partials(self) -> list[str]:
+        """Add what the loads normalised since the last call change, and register the views over the partials.
+
+        Reads the rows of those loads and, in the months of the bills they
+        touch, of these bills; places are looked up.  ``serve`` writes the
+        base rows themselves, which these views do not need.
+        """
+        last = self._latest("normalised", NORMALISED, "load_id").collect()  # one row per load
+        partials = self.partials()
+        partials.add(self._changed_tables, {row["load_id"]: row["event_at"] for row in last})
+        return partials.register_views()
+
+    def _changed_tables(self, fresh: list[int], earlier: list[int]) -> dict[str, DataFrame]:
+        by_bill = {n: self.spark.read.parquet(self._path(n)) for n in ("bills", "levies", "payments")}
+        if earlier:
+            near = _in_months(_months(by_bill["bills"].join(touched_bills(by_bill, fresh), "bill_id", "left_semi")))
+            by_bill = {n: rows.where(near) for n, rows in by_bill.items()}
+        return {**by_bill, "installations": self.table("installations"), "addresses": self.table("addresses")}
+
     def run(
         self, directory: str, primary: str, load_id: int, self_healing: bool = True, multiline: bool = False
     ) -> list[str]:
@@ -419,12 +448,16 @@ def _together(*steps: Callable[[], None]) -> None:
 
 
 def _months(rows: DataFrame) -> list:
-    """Calendar months, so few whatever the rows."""
-    return [row[0] for row in rows.select("billing_month").distinct().collect() if row[0] is not None]
+    """Calendar months, so few whatever the rows; one blank stands for all texts that are no month."""
+    month = F.col("billing_month")
+    known = F.when(month.rlike(MONTH), month).when(month.isNotNull(), "")
+    return [row[0] for row in rows.select(known).distinct().collect() if row[0] is not None]
 
 
 def _in_months(months: list) -> Column:
-    return F.col("billing_month").isin(months) | F.col("billing_month").isNull()
+    month = F.col("billing_month")
+    found = month.isin([m for m in months if m]) | month.isNull()
+    return found | ~month.rlike(MONTH) if "" in months else found
 
 
 def _header_faults(faults: list, n_files: int) -> str:

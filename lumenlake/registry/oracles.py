@@ -10,7 +10,7 @@ from __future__ import annotations
 from lumenlake import contract
 from lumenlake.plans import masking, silver
 from lumenlake.functions.permutation import ROUNDS
-from lumenlake.registry.queries import INSERT_SPLIT_MONTH, MASK_KEY
+from lumenlake.registry.queries import BY_PARTIALS, INSERT_SPLIT_MONTH, MASK_KEY
 from lumenlake.registry.relations import DATES, DECIMALS
 from lumenlake.sources import derived
 
@@ -487,7 +487,7 @@ from trials t left join (select w.injected_at, max_by(l.load_id, (l.started_at,
   from loads l asof join (select distinct injected_at from trials) w on l.started_at >= w.injected_at
   group by w.injected_at) n on n.injected_at = t.injected_at"""
     elapsed = _ms("started_at", "ended_at")
-    return {
+    found = {
         "scan_bills": _with([_RAW], f"select {_names(every)} from raw"),
         "scan_mixed_headers": _with([_RAW], f"select {_names(every)} from raw"),
         "header_contract_report": _header_rows(),
@@ -772,3 +772,4 @@ join ({_MASKED_IDS}) i on i.line_no = cast(r.line_no as bigint)"""),
             for c in ("street", "complement", "district", "house_number")
         )),
     }
+    return found | {f"{name}_by_partials": found[name] for name in BY_PARTIALS}

@@ -329,6 +329,20 @@ def _view(name: str) -> None:
 for _name in gold.VIEWS:
     _view(_name)
 
+# Views over partials of three loads; each has the oracle of the view.
+BY_PARTIALS = [
+    "consumption_by_subclass", "bill_average_by_district", "levy_collected_by_municipality", "levy_ticket_by_class",
+    "levy_loss_by_district", "district_ranking",
+]
+
+
+def _partial_view(name: str) -> None:
+    _QUERIES[f"{name}_by_partials"] = lambda r: r.partials().view(name)
+
+
+for _name in BY_PARTIALS:
+    _partial_view(_name)
+
 
 # --- reliability -------------------------------------------------------------
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumenlake import contract
 from lumenlake.contract import ENGLISH_TERMS
 from lumenlake.plans import bronze, gold, logs, silver
 from lumenlake.plans.logstore import LogStore
+from lumenlake.plans.partials import Partials
 from lumenlake.plans.workspace import Workspace
 from lumenlake.sources import derived, extract, logtext
 
@@ -69,6 +72,26 @@ class Relations:
         tables = ("bills", "installations", "addresses", "levies", "payments")
         return self.workspace.table("levy_base", lambda: gold.levy_base(*(self.silver(t) for t in tables)))
 
+    def partials(self) -> Partials:
+        """The base as three loads by a hash of the bill, facts with their bill or after it, added one by one."""
+        third = lambda *columns: F.pmod(F.crc32(F.concat_ws(":", *columns).cast("binary")), F.lit(3))
+        loads = {
+            "bills": third("bill_id"),
+            "levies": F.greatest(third("bill_id"), third("bill_id", "levy")),
+            "payments": F.greatest(third("bill_id"), third("bill_id", "paid_on")),
+        }
+
+        def add(root: str) -> None:
+            partials = Partials(self.spark, root)
+            tables = {n: self.silver(n) for n in ("installations", "addresses")}
+            tables |= {n: self.silver(n).withColumn("load_id", load) for n, load in loads.items()}
+            versions = {}
+            for load_id in range(3):
+                versions[load_id] = datetime(2026, 1, 1 + load_id)
+                partials.add(lambda fresh, earlier: tables, versions)
+
+        return Partials(self.spark, self.workspace.files("partials", add))
+
     # --- trials and logs ----------------------------------------------------
 
     def trials(self) -> DataFrame:
