@@ -6,23 +6,38 @@ lengths, so that a reader can step over it without inflating it.  A file
 counts once the driver has named it in the manifest of the write, so what
 failed or repeated tasks leave behind is never read.
 
-Reading: the driver lists the archives and packs them into partitions by
-size.  Filters on the record type and on header columns are pushed down.  A
+Reading: the driver lists the archives, those of the manifests or, in a folder
+without one, every ``*.warc.gz`` and ``*.warc`` below it, and packs them into
+partitions by size.  Filters on the record type and on header columns are pushed down.  A
 task inflates the head of a record only; if the filters reject it, or the
 option ``payload`` is ``none``, its payload is never inflated.  With the
 option ``verify`` the payload's SHA-256 is computed and must be the recorded one.
 
+Archives of other writers have members without lengths, one gzip stream for
+many records, or no compression, and record types of all kinds.  Their records
+are found by Content-Length in a stream that is inflated piece by piece; what
+the filters reject passes through and is not kept.  Their payload is what
+follows the HTTP head of a response, freed of chunked transfer coding, or the
+block of any other record that has no HTTP message; ``payload_bytes`` is its
+length as stored, and of a revisit the length its HTTP head names, if any.
+``verify`` knows SHA-256 and SHA-1 in hex or base 32, over the payload as stored
+or without chunks; records with another digest or none are not checked.
+
 A revisit has no payload of its own: its block is the HTTP head, its headers
 name the digest and the record it refers to, and Content-Length in the HTTP
 head keeps the length of the full payload.
 
 Defined results: a null page_id is written without an id and read as null; a
 null url becomes an empty target; line breaks in a url are percent-encoded;
-a null payload of a response is empty; an empty folder reads as no rows.
+a null payload of a response is empty; an empty folder reads as no rows; a
+header that a record lacks is null, as are page_id and refers_to where the ids
+are not those of this writer; an archive that ends inside a record, or that
+holds anything but records, fails the read.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import json
 import struct
@@ -43,7 +58,7 @@ from lumenlake.llm.common import ship
 
 SCHEMA = (
     "page_id long, target_uri string, record_type string, refers_to long, "
-    "payload_digest string, payload_bytes long, payload binary"
+    "payload_digest string, payload_bytes long, payload binary, record_id string, record_date string"
 )
 PARTITION_BYTES = 64 << 20
 BATCH_BYTES = 8 << 20
@@ -54,6 +69,9 @@ _GZIP_HEAD = struct.Struct("<4sIBBH")  # magic with FEXTRA, time, flags, system,
 _MAGIC = b"\x1f\x8b\x08\x04"
 _EXTRA = struct.Struct("<2sHII")  # subfield id, its length, compressed and plain lengths of the member
 _HEAD_CHUNK = 4096
+_CHUNK = 1 << 14  # inflates to 16 MB at most
+_HEAD_LIMIT = 1 << 24
+ENDINGS = (".warc.gz", ".warc")
 
 
 # --- the record format -------------------------------------------------------
@@ -80,12 +98,33 @@ def encode_record(page_id, uri, kind: str, refers_to, digest: str, length: int,
 
 
 def _headers(block: bytes) -> dict[str, str]:
-    lines = block.decode("utf-8").split("\r\n")[1:]
+    """Names in lower case; the first line and folded lines are left out, bytes that are not UTF-8 replaced."""
+    lines = [line for line in block.decode("utf-8", "replace").split("\r\n")[1:] if line[:1] not in (" ", "\t")]
     return {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
 
 
 def _page(value: str | None) -> int | None:
-    return int(value[1:-1].removeprefix(_ID)) if value else None
+    found = (value or "").strip("<>")
+    number = found.removeprefix(_ID)
+    return int(number) if found.startswith(_ID) and number.lstrip("-").isdecimal() else None
+
+
+def _length(value: str | None) -> int | None:
+    return int(value) if value and value.isdecimal() else None
+
+
+def _fields(warc: dict[str, str], payload_bytes: int | None) -> dict:
+    record_id, digest = warc.get("warc-record-id"), warc.get("warc-payload-digest")
+    return {
+        "page_id": _page(record_id),
+        "target_uri": warc.get("warc-target-uri"),
+        "record_type": warc.get("warc-type"),
+        "refers_to": _page(warc.get("warc-refers-to")),
+        "payload_digest": digest and digest.removeprefix("sha256:"),
+        "payload_bytes": payload_bytes,
+        "record_id": record_id and record_id.strip("<>"),
+        "record_date": warc.get("warc-date"),
+    }
 
 
 class Member:
@@ -97,14 +136,7 @@ class Member:
         self._plain, self._crc, self._at = b"", 0, 0
         warc = _headers(self._until_blank())
         http = _headers(self._until_blank())
-        self.fields = {
-            "page_id": _page(warc.get("warc-record-id")),
-            "target_uri": warc["warc-target-uri"],
-            "record_type": warc["warc-type"],
-            "refers_to": _page(warc.get("warc-refers-to")),
-            "payload_digest": warc["warc-payload-digest"].removeprefix("sha256:"),
-            "payload_bytes": int(http["content-length"]),
-        }
+        self.fields = _fields(warc, _length(http.get("content-length")))
 
     def _more(self) -> bool:
         if not self._left:
@@ -134,20 +166,180 @@ class Member:
         return b"".join([*parts, self._inflate.flush()])[:-4]
 
 
-def read_members(stream) -> Iterator[Member]:
-    """Records of an archive in order; what a caller leaves unread is stepped over."""
-    at = 0
+class _Plain:
+    """The plain bytes of an archive from where its stream stands, inflated piece by piece."""
+
+    def __init__(self, stream, packed: bool):
+        self._stream, self._inflate = stream, zlib.decompressobj(31) if packed else None
+        self.buffer = bytearray()
+
+    def more(self) -> bool:
+        """Lengthen the buffer; false at the end of the archive."""
+        if self._inflate is None:
+            data = self._stream.read(_CHUNK)
+            self.buffer += data
+            return bool(data)
+        while True:
+            raw = self._inflate.unused_data
+            if self._inflate.eof:
+                # The next member; zeros pad the end of some archives.
+                raw = raw.lstrip(b"\0")
+            raw = raw or self._stream.read(_CHUNK)
+            if not raw:
+                if not self._inflate.eof and self._begun:
+                    raise EOFError("the archive ends inside a record")
+                return False
+            if self._inflate.eof:
+                self._inflate, self._begun = zlib.decompressobj(31), False
+                raw = raw.lstrip(b"\0")
+                if not raw:
+                    continue
+            self._begun = True
+            plain = self._inflate.decompress(raw)
+            if plain:
+                self.buffer += plain
+                return True
+
+    _begun = False
+
+    def upto(self, size: int) -> None:
+        while len(self.buffer) < size:
+            if not self.more():
+                raise EOFError("the archive ends inside a record")
+
+    def take(self, size: int) -> bytes:
+        self.upto(size)
+        data = bytes(self.buffer[:size])
+        del self.buffer[:size]
+        return data
+
+    def skip(self, size: int) -> None:
+        while size:
+            if not self.buffer and not self.more():
+                raise EOFError("the archive ends inside a record")
+            step = min(size, len(self.buffer))
+            del self.buffer[:step]
+            size -= step
+
+    def next_record(self) -> bool:
+        """Step over line ends to the next record; false at the end."""
+        while True:
+            gone = len(self.buffer) - len(self.buffer.lstrip(b"\r\n"))
+            del self.buffer[:gone]
+            if self.buffer:
+                break
+            if not self.more():
+                return False
+        self.upto(5)
+        if self.buffer[:5] != b"WARC/":
+            raise ValueError("no record where one should begin")
+        return True
+
+    def head(self, within: int | None = None) -> bytes | None:
+        """The bytes before the next blank line; none if ``within`` bytes hold none."""
+        limit = _HEAD_LIMIT if within is None else min(within, _HEAD_LIMIT)
+        looked = 0
+        while (end := self.buffer.find(b"\r\n\r\n", looked, limit)) < 0:
+            looked = max(0, len(self.buffer) - 3)
+            if len(self.buffer) >= limit:
+                if within is None:
+                    raise ValueError("a record without the end of its head")
+                return None
+            if not self.more():
+                raise EOFError("the archive ends inside a record")
+        return self.take(end + 4)[:-4]
+
+
+class Streamed:
+    """A record of an archive whose members have no lengths; what is not asked for passes by."""
+
+    def __init__(self, plain: _Plain):
+        self._plain = plain
+        warc = _headers(plain.head())
+        length = _length(warc.get("content-length"))
+        if length is None:
+            raise ValueError("a record without Content-Length")
+        self._left, self._chunked, size = length, False, length
+        if warc.get("content-type", "").lower().startswith("application/http") and warc.get("warc-type") in ("response", "revisit"):
+            head = plain.head(length)
+            http = _headers(head) if head is not None else {}
+            self._left -= len(head) + 4 if head is not None else 0
+            self._chunked = "chunked" in http.get("transfer-encoding", "").lower()
+            size = self._left
+            if warc["warc-type"] == "revisit":
+                size = _length(http.get("content-length"))
+        self.fields = _fields(warc, size)
+
+    def payload(self) -> bytes:
+        stored, self._left = self._plain.take(self._left), 0
+        self.stored = stored
+        return _without_chunks(stored) if self._chunked else stored
+
+    def skip(self) -> None:
+        self._plain.skip(self._left)
+        self._left = 0
+
+
+def _without_chunks(body: bytes) -> bytes:
+    """The payload of a chunked body; a body that is not one, as some writers leave the head unchanged, stays."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not size or len(size) > 15 or size.strip(b"0123456789abcdefABCDEF"):
+            return body
+        n = int(size, 16)
+        if n == 0:
+            return b"".join(parts)
+        at = end + 2 + n
+        if body[at : at + 2] != b"\r\n":
+            return body
+        parts.append(body[end + 2 : at])
+        at += 2
+
+
+def read_members(stream) -> Iterator[Member | Streamed]:
+    """Records of an archive in order; what a caller leaves unread is stepped over.
+
+    From the first member without its length on, the rest is read as one stream.
+    """
+    at, size = 0, _GZIP_HEAD.size + _EXTRA.size
     while True:
         stream.seek(at)
-        head = stream.read(_GZIP_HEAD.size + _EXTRA.size)
+        head = stream.read(size)
         if not head:
             return
-        magic, *_, extra = _GZIP_HEAD.unpack_from(head)
+        if len(head) < size or not head.startswith(_MAGIC):
+            break
+        extra = _GZIP_HEAD.unpack_from(head)[-1]
         name, _, total, _ = _EXTRA.unpack_from(head, _GZIP_HEAD.size)
-        if magic != _MAGIC or name != b"sl" or extra != _EXTRA.size:
-            raise ValueError("a member without its length: not an archive of this writer")
+        if name != b"sl" or extra != _EXTRA.size:
+            break
         yield Member(stream.read, total - len(head) - 8)
         at += total
+    stream.seek(at)
+    plain = _Plain(stream, head.startswith(_MAGIC[:2]))
+    while plain.next_record():
+        record = Streamed(plain)
+        yield record
+        record.skip()
+
+
+def _agrees(digest: str, payload: bytes) -> bool | None:
+    """Whether a payload has the recorded digest; none for digests of other kinds."""
+    kind, _, value = digest.rpartition(":")
+    made = {"": hashlib.sha256, "sha256": hashlib.sha256, "sha-256": hashlib.sha256, "sha1": hashlib.sha1, "sha-1": hashlib.sha1}
+    if kind.lower() not in made:
+        return None
+    found = made[kind.lower()](payload)
+    return value.lower() == found.hexdigest() or value.upper().rstrip("=") == base64.b32encode(found.digest()).decode().rstrip("=")
+
+
+def _verify(member: Member | Streamed, payload: bytes) -> bool:
+    digest, size = member.fields["payload_digest"], member.fields["payload_bytes"]
+    if isinstance(member, Member):
+        return len(payload) == size and _agrees(digest or "", payload) is True
+    return not digest or _agrees(digest, payload) is not False or _agrees(digest, member.stored) is True
 
 
 # --- filters -----------------------------------------------------------------
@@ -202,20 +394,24 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         store, root = pafs.FileSystem.from_uri(self.path)
-        listed = {f.base_name: f for f in store.get_file_info(pafs.FileSelector(root, allow_not_found=True))}
-        named = set()
-        for name in listed:
-            if name.startswith(MANIFEST):
-                with store.open_input_stream(f"{root}/{name}") as stream:
-                    named.update(json.loads(stream.read()))
-        files = sorted(((listed[n].size, n) for n in named), reverse=True)
+        below = store.get_file_info(pafs.FileSelector(root, allow_not_found=True, recursive=True))
+        listed = {f.path: f.size for f in below if f.is_file}
+        manifests = [p for p in listed if p.rsplit("/", 1)[1].startswith(MANIFEST) and p.rsplit("/", 1)[0] == root.rstrip("/")]
+        if manifests:
+            named = set()
+            for path in manifests:
+                with store.open_input_stream(path) as stream:
+                    named.update(f"{root.rstrip('/')}/{name}" for name in json.loads(stream.read()))
+        else:
+            named = {path for path in listed if path.lower().endswith(ENDINGS)}
+        files = sorted(((listed[path], path) for path in named), reverse=True)
         packs: list[Files] = []
         room = 0
-        for size, name in files:
+        for size, path in files:
             if not packs or size > room:
                 packs.append(Files([]))
                 room = self.partition_bytes
-            packs[-1].paths.append(f"{root}/{name}")
+            packs[-1].paths.append(path)
             room -= size
         return packs or [Files([])]
 
@@ -230,13 +426,10 @@ class WarcReader(DataSourceReader):
                     if not _accepts(self.filters, member.fields):
                         continue
                     member.fields["payload"] = None
-                    if self.with_payload and member.fields["record_type"] == "response":
+                    if self.with_payload and member.fields["record_type"] != "revisit":
                         payload = member.payload()
-                        if self.verify and (
-                            len(payload) != member.fields["payload_bytes"]
-                            or hashlib.sha256(payload).hexdigest() != member.fields["payload_digest"]
-                        ):
-                            raise ValueError(f"{path}: page {member.fields['page_id']} differs from its digest")
+                        if self.verify and not _verify(member, payload):
+                            raise ValueError(f"{path}: record {member.fields['record_id']} differs from its digest")
                         member.fields["payload"] = payload
                         held += len(payload)
                     held += 200
@@ -252,6 +445,7 @@ class WarcReader(DataSourceReader):
 _ARROW = [
     ("page_id", pa.int64()), ("target_uri", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
     ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary()),
+    ("record_id", pa.string()), ("record_date", pa.string()),
 ]
 
 
