@@ -1,7 +1,7 @@
 """Exact order statistics and two-sample tests.
 
-Rows are reduced once to counts per value, which are written; moments, ranks
-and medians come from those.  The tails of the distributions are integrated
+For ranks, rows are reduced once to counts per value, which are written.
+Medians are narrowed: only values near the middle are ordered.  The tails of the distributions are integrated
 in columns of the few rows that are left.
 """
 
@@ -22,33 +22,58 @@ def _value_counts(rows: DataFrame, by: list[str], value: str, *more: Column) ->
     return written(counts, "value-counts")
 
 
+# A sketch places a value within 1 / SKETCH of the rows; the bracket is this many times as wide on each side.
+SKETCH, SLACK = 10_000, 5
+
+
 def summarise(rows: DataFrame, by: list[str], value: str, ranges: list[str] | None = None) -> DataFrame:
     """n, mean, sample deviation, min, max and exact median of the non-null values.
 
-    The median is the mean of the middle values, found from running counts per
-    distinct value.  ``ranges`` are further columns whose extremes are wanted.
+    The measured columns are written, then read twice, however many values
+    differ.  The first pass takes the moments and, from mergeable sketches, a
+    bracket around the middle of each group; the second exchanges the values
+    inside the brackets, a thousandth of all, and counts what lies below.
+    ``ranges`` are further columns whose extremes are wanted.
     """
     ends = [(f"{name}_{c}", f, c) for c in ranges or [] for name, f in (("min", F.min), ("max", F.max))]
-    counts = _value_counts(rows, by, value, *(f(c).alias(alias) for alias, f, c in ends))
-    number, n = F.col(value).cast("double"), F.col("_n")
-    totals = counts.groupBy(*by).agg(
-        F.sum("_n").alias("n"),
-        (F.sum(number * n) / F.sum("_n")).alias("mean"),
+    kept = [*by, value, *(c for c in ranges or [] if c not in (*by, value))]
+    measured = written(rows.where(F.col(value).isNotNull()).select(*kept), "value-rows")
+    number, side = F.col(value).cast("double"), SLACK / SKETCH
+    totals = measured.groupBy(*by).agg(
+        F.count("*").alias("n"),
+        F.avg(number).alias("mean"),
+        F.stddev_samp(number).alias("stdev"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-        *(f(alias).alias(alias) for alias, f, _ in ends),
+        *(f(c).alias(alias) for alias, f, c in ends),
+        F.percentile_approx(value, [0.5 - side, 0.5 + side], SKETCH).alias("_bracket"),
     )
-    ranked = running_total(counts.select(*by, value, "_n"), value, "_n", "_upto", by).join(totals, by)
-    low, high = F.expr("(n + 1) div 2"), F.expr("n div 2 + 1")
-    below = F.col("_upto") - n
-    middle = lambda place: F.min(F.when((below < place) & (place <= F.col("_upto")), F.col(value)))
-    away = number - F.col("mean")
-    found = ranked.groupBy(*totals.columns).agg(
-        F.sum(n * away * away).alias("_away"), ((middle(low) + middle(high)) / 2).alias("median")
-    )
-    stdev = F.when(F.col("n") > 1, F.sqrt(F.col("_away") / F.nullif(F.col("n") - 1, F.lit(0))))
+    totals = written(totals, "value-totals")
+    brackets = totals.select(*by, "n", F.col("_bracket")[0].alias("_low"), F.col("_bracket")[1].alias("_high"))
+    medians = written(medians_within(measured, by, value, brackets), "value-medians")
+    missed = brackets.join(medians, by, "left_anti")
+    if not missed.isEmpty():  # a sketch beyond its promise: these groups are ordered whole
+        whole = totals.join(missed.select(*by), by, "left_semi").select(*by, "n", F.col("min").alias("_low"), F.col("max").alias("_high"))
+        medians = medians.unionByName(written(medians_within(measured, by, value, whole), "value-medians"))
     extremes = [alias for alias, _, _ in ends]
-    return found.select(*by, "n", "mean", stdev.alias("stdev"), "min", "max", *extremes, "median")
+    return totals.join(medians, by).select(*by, "n", "mean", "stdev", "min", "max", *extremes, "median")
+
+
+def medians_within(rows: DataFrame, by: list[str], value: str, brackets: DataFrame) -> DataFrame:
+    """(*by, median): the mean of the middle values of each group whose bracket holds them both.
+
+    ``brackets`` are (*by, n, _low, _high), few rows.  What lies below a
+    bracket is one null row per group, which stands first in the order.
+    """
+    near = rows.select(*by, value).join(brackets, by).where(F.col(value) <= F.col("_high"))
+    inside = F.when(F.col(value) >= F.col("_low"), F.col(value))
+    counts = near.groupBy(*by, inside.alias("_v")).agg(F.count("*").alias("_n"))
+    ranked = running_total(counts, "_v", "_n", "_upto", by).join(brackets.select(*by, "n"), by)
+    below = F.col("_upto") - F.col("_n")
+    middle = lambda place: F.min(F.when((below < place) & (place <= F.col("_upto")), F.col("_v")))
+    low, high = F.expr("(n + 1) div 2"), F.expr("n div 2 + 1")
+    found = ranked.groupBy(*by).agg(((middle(low) + middle(high)) / 2).alias("median"))
+    return found.where("median is not null")
 
 
 def mann_whitney(rows: DataFrame, value: str, first: Column, by: list[str]) -> DataFrame:

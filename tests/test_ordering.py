@@ -112,6 +112,41 @@ def test_median_matches_python(spark, many_chunks):
         assert r["stdev"] == (pytest.approx(plain.stdev(mine)) if len(mine) > 1 else None)
 
 
+@pytest.mark.parametrize("bracket", ["as sketched", "too high", "too low"])
+def test_medians_by_narrowing(spark, many_chunks, bracket, monkeypatch):
+    """Groups of 1 to 40 000 rows, a hot value, far outliers; also where a sketch misses the middle."""
+    import statistics as plain
+
+    if bracket != "as sketched":
+        share = 0.99 if bracket == "too high" else 0.001
+        real = statistics.F.percentile_approx
+        monkeypatch.setattr(statistics.F, "percentile_approx", lambda c, _, a: real(c, [share, share], a))
+    draw = random.Random(9)
+    groups = {
+        "one": [5], "two": [4, 9], "even": [3, 1, 2, 10], "hot": [7] * 900 + [draw.randint(0, 99) for _ in range(1000)],
+        "wide": [int(10 ** draw.uniform(0, 15)) * draw.choice([1, -1]) for _ in range(40_000)], "same": [2] * 50,
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values] + [("one", None), ("none", None)]
+    draw.shuffle(rows)
+    found = {r["g"]: r for r in statistics.summarise(spark.createDataFrame(rows, "g string, v bigint").repartition(8), ["g"], "v").collect()}
+    assert set(found) == set(groups)
+    for g, values in groups.items():
+        r = found[g]
+        assert (r["n"], r["median"], r["min"], r["max"]) == (len(values), plain.median(values), min(values), max(values))
+
+
+def test_narrowing_exchanges_few_values(spark):
+    rows = spark.range(200_000).selectExpr("id % 2 as g", "id * 7919 % 200003 as v")
+    made = []
+    real = statistics.running_total
+    try:
+        statistics.running_total = lambda counts, *more: made.append(counts.count()) or real(counts, *more)
+        found = statistics.summarise(rows, ["g"], "v").collect()
+    finally:
+        statistics.running_total = real
+    assert len(found) == 2 and sum(made) < 600
+
+
 def test_overlaps_of_more_runs_than_64_bits_can_pair(spark, monkeypatch):
     """Four thousand million runs, all at once: counts are put in, not rows."""
     rows = spark.sql("select 'a' as g, timestamp_ntz'2024-01-01 00:00:00' as s, timestamp_ntz'2024-01-01 01:00:00' as e")
