@@ -243,19 +243,25 @@ def null_in_required_fact(raw: DataFrame) -> DataFrame:
     return raw.select("line_no", "bill_number", fault.alias("fault")).where("fault is not null")
 
 
-def unmatched_rows(raw: DataFrame, installed: DataFrame) -> DataFrame:
-    """Valid rows that reach no bill, with the first lookup that lost them."""
+def unmatched_rows(raw: DataFrame, installed: DataFrame, every: bool = False) -> DataFrame:
+    """Valid rows that reach no bill, with the first lookup that lost them, or with all, joined by commas.
+
+    A subclass is looked up in its class, so it is not named where the class is unknown.
+    """
     domain = F.broadcast(subclass_domain(raw.sparkSession).withColumn("_pair", F.lit(True)))
     classes = list(contract.SUBCLASSES)
     rows = raw.join(installed.select("installation"), "installation", "left_anti").join(
         domain, ["consumption_class", "consumption_subclass"], "left"
     )
-    lost_by = (
-        F.when(~F.coalesce(F.col("consumption_class").isin(classes), F.lit(False)), "consumption_class")
-        .when(F.col("_pair").isNull(), "consumption_subclass")
-        .when(F.col("commercial_status").isNull(), "commercial_status")
-        .when(~_present("municipality", *ADDRESS_KEY), "address")
-        .when(~_present("tariff_category", *PROFILE_TEXT), "regulatory_profile")
-        .otherwise("installation")
-    )
+    known = F.coalesce(F.col("consumption_class").isin(classes), F.lit(False))
+    lookups = {
+        "consumption_class": ~known,
+        "consumption_subclass": known & F.col("_pair").isNull(),
+        "commercial_status": F.col("commercial_status").isNull(),
+        "address": ~_present("municipality", *ADDRESS_KEY),
+        "regulatory_profile": ~_present("tariff_category", *PROFILE_TEXT),
+        "installation": F.col("installation").isNull(),
+    }
+    failed = [F.when(lost, name) for name, lost in lookups.items()]
+    lost_by = F.coalesce(F.nullif(F.concat_ws(",", *failed), F.lit("")) if every else F.coalesce(*failed), F.lit("installation"))
     return rows.select("line_no", "bill_number", lost_by.alias("lost_by"))

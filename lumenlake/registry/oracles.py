@@ -495,6 +495,13 @@ from trials t left join (select w.injected_at, max_by(l.load_id, (l.started_at,
         "mask_keyed": _keyed(masking.KEYED_COLUMNS),
         "parse_dates": _with(_CHECKED_CTES, f"select line_no, {_shown(DATES)} from typed"),
         "parse_decimals": _with(_CHECKED_CTES, f"select line_no, {_shown(DECIMALS)} from typed"),
+        "special_numbers": f"""
+select cast(line_no as bigint) as line_no, case when lower(trim(bill_amount, ' +-')) not in ('nan', 'inf', 'infinity', '1e400')
+  then cast(replace(replace(bill_amount, '.', ''), ',', '.') as double) end as bill_amount
+from ({derived.bills_raw_sql(names=["line_no", "bill_amount"], changed=derived.SPECIAL_TEXT)})""",
+        "history_lineage": _with(_VALID_CTES, """
+select case when cast(billing_month as int) % 2 = 1 then 1 else 2 end::bigint as load_id, line_no, bill_number,
+  true as file_named, true as timed from valid"""),
         "parse_ints": _with(_CHECKED_CTES, "select bill_number, line_no, cycle_days from typed"),
         "bills_typed": _with(_CHECKED_CTES, f"select {_shown(every)} from typed"),
         "valid_rows": _with(
@@ -605,6 +612,14 @@ select line_no, bill_number, lost_by from (select line_no, bill_number,
     when line_no % 13 = 0 then 'commercial_status' when line_no % 17 = 0 or line_no % 19 = 0 then 'address'
     when line_no % 23 = 0 or line_no % 31 = 0 then 'regulatory_profile' when line_no % 29 = 0 then 'installation'
   end as lost_by from valid v) where lost_by is not null"""),
+        "unmatched_lookups_with_gaps": _with([*_VALID_CTES, _PAIRS], """
+select line_no, bill_number, lost_by from (select line_no, bill_number, concat_ws(',',
+  case when line_no % 11 = 0 then 'consumption_class'
+    when not exists (select 1 from pairs p where p.consumption_class = v.consumption_class
+      and p.consumption_subclass = v.consumption_subclass) then 'consumption_subclass' end,
+  case when line_no % 13 = 0 then 'commercial_status' end, case when line_no % 17 = 0 or line_no % 19 = 0 then 'address' end,
+  case when line_no % 23 = 0 or line_no % 31 = 0 then 'regulatory_profile' end,
+  case when line_no % 29 = 0 then 'installation' end) as lost_by from valid v) where lost_by <> ''"""),
         "levy_base": _with(_BASE_CTES, """
 select * replace (cast(month as varchar) as month, measured_kwh::double as measured_kwh,
   billed_kwh::double as billed_kwh, bill_amount::double as bill_amount, levy_billed::double as levy_billed,

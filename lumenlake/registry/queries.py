@@ -14,7 +14,7 @@ from lumenlake.plans import bronze, gold, logs, masking, reliability, silver
 from lumenlake.registry.relations import DATES, DECIMALS, Relations
 from lumenlake.sources import extract, logtext
 from lumenlake.plans.workspace import written
-from lumenlake.sources.derived import BROKEN_TEXT, MONTH_HEADER, QUOTED_TEXT, UNFINISHED_TEXT
+from lumenlake.sources.derived import BROKEN_TEXT, MONTH_HEADER, QUOTED_TEXT, SPECIAL_TEXT, UNFINISHED_TEXT
 
 Query = Callable[[Relations], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -107,6 +107,22 @@ def parse_decimals(r: Relations) -> DataFrame:
     return rows.select("line_no", *(parsing.parse_decimal(F.col(c), declared[c]).alias(c) for c in DECIMALS))
 
 
+@_query
+def special_numbers(r: Relations) -> DataFrame:
+    """Not-a-number, infinities and numbers beyond all bounds are null."""
+    rows = r.raw(["line_no", "bill_amount"], changed=SPECIAL_TEXT)
+    amount = parsing.parse_decimal(F.col("bill_amount"), "decimal(18,2)")
+    return rows.select(parsing.parse_int(F.col("line_no"), "bigint").alias("line_no"), amount.cast("double").alias("bill_amount"))
+
+
+@_query
+def history_lineage(r: Relations) -> DataFrame:
+    """The history of two loads, one of them repeated: each row once, with its load, file and time."""
+    rows = r.lake().history()
+    named = F.col("file_name").rlike("^part-[^/]+\\.csv$")
+    return rows.select("load_id", "line_no", "bill_number", named.alias("file_named"), F.col("loaded_at").isNotNull().alias("timed"))
+
+
 @_query
 def parse_ints(r: Relations) -> DataFrame:
     rows = r.raw(["bill_number", "line_no", "cycle_days"])
@@ -274,18 +290,29 @@ def unmatched_rows(r: Relations) -> DataFrame:
     return silver.unmatched_rows(r.valid(), r.silver("installations"))
 
 
-@_query
-def unmatched_rows_with_gaps(r: Relations) -> DataFrame:
+def _with_gaps(r: Relations) -> DataFrame:
     """Every row with an installation of its own, some without a value that a lookup needs."""
     rows = r.valid()
     gap = lambda c, n: F.when(F.col("line_no") % n != 0, F.col(c))
     known = F.when(F.col("line_no") % 11 != 0, F.col("consumption_class")).otherwise("Unlisted")
     own = F.when(F.col("line_no") % 29 != 0, F.concat_ws("-", "installation", "line_no"))
     gaps = {"commercial_status": 13, "municipality": 17, "street": 19, "tariff_category": 23, "phase": 31}
-    rows = rows.withColumns({c: gap(c, n) for c, n in gaps.items()} | {"consumption_class": known, "installation": own})
+    return rows.withColumns({c: gap(c, n) for c, n in gaps.items()} | {"consumption_class": known, "installation": own})
+
+
+@_query
+def unmatched_rows_with_gaps(r: Relations) -> DataFrame:
+    rows = _with_gaps(r)
     return silver.unmatched_rows(rows, silver.installations(rows))
 
 
+@_query
+def unmatched_lookups_with_gaps(r: Relations) -> DataFrame:
+    """The same rows with every lookup that fails."""
+    rows = _with_gaps(r)
+    return silver.unmatched_rows(rows, silver.installations(rows), every=True)
+
+
 @_query
 def null_in_required_fact(r: Relations) -> DataFrame:
     """Payments and rebills that the normalised tables leave out, from rows with lost amounts and dates."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lumenlake import contract
 from lumenlake.contract import ENGLISH_TERMS
 from lumenlake.plans import bronze, gold, logs, silver
+from lumenlake.plans.lake import Lake
 from lumenlake.plans.logstore import LogStore
 from lumenlake.plans.partials import Partials
 from lumenlake.plans.workspace import Workspace
@@ -59,6 +60,23 @@ class Relations:
     def extract_path(self) -> str:
         return self.workspace.files("extract", lambda path: extract.write_extract(self.raw(), path))
 
+    def lake(self) -> Lake:
+        """Odd and even billing months as loads 1 and 2, the first of which is loaded once more in the end."""
+        rows = self.raw()
+        odd = F.col("billing_month").cast("int") % 2 == 1
+
+        def write(path: str) -> None:
+            for load_id, part in ((1, rows.where(odd)), (2, rows.where(~odd))):
+                extract.write_extract(part, f"{path}/{load_id}")
+
+        path = self.workspace.files("two_extracts", write)
+
+        def load(root: str) -> None:
+            for load_id in (1, 2, 1):
+                Lake(self.spark, root).load(f"{path}/{load_id}", load_id)
+
+        return Lake(self.spark, self.workspace.files("lake", load))
+
     def checked(self) -> DataFrame:
         return self.workspace.table("checked", lambda: bronze.check(self.raw()))
 

@@ -144,6 +144,12 @@ BROKEN_TEXT = {
     "line_no": "case when o.o_orderkey%113=0 then cast(o.o_orderkey as string)||'x' else cast(o.o_orderkey+1 as string) end",
 }
 
+# Texts that a floating-point reader would take for numbers.
+SPECIAL_TEXT = {
+    "bill_amount": "case o.o_orderkey%7 when 0 then 'NaN' when 1 then ' Infinity' when 2 then '-inf' when 3 then '+Infinity '"
+    f" when 4 then '1e400' else {_comma('o.o_totalprice', 2)} end",
+}
+
 # Line breaks, separators and quotes inside the first, a middle and the last field.
 QUOTED_TEXT = {
     contract.NAMES[0]: f"{BILL_TEXT[contract.NAMES[0]]}||case when o.o_orderkey%5=0 then chr(10)||'next' else '' end",
