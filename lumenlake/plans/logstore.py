@@ -27,6 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lumenlake.plans import logs
+from lumenlake.plans.workspace import CODEC
 from lumenlake.sources import logtext
 from lumenlake.sources.logtext import Phrases
 
@@ -73,7 +74,7 @@ class LogStore:
 
     def _write(self, name: str, batch: int, rows: DataFrame) -> DataFrame:
         target = f"{self.root}/{name}/batch={batch}"
-        rows.write.mode("overwrite").parquet(target)
+        rows.write.mode("overwrite").option("compression", CODEC).parquet(target)
         return self.spark.read.schema(rows.schema).parquet(target)
 
     def _opening(self, name: str, batch: int) -> DataFrame | None:

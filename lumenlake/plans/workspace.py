@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# Shared tables carry hashes and numbers, which Spark's default codec hardly shortens.
+CODEC = "zstd"
 _lock = threading.RLock()
 _written: dict[tuple[str, str], DataFrame] = {}
 _local_roots: dict[str, str] = {}
@@ -33,7 +35,7 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written to a folder of their own and read back, for plans that use them more than once."""
     spark = rows.sparkSession
     path = f"{shared_folder(spark)}/lumenlake/{spark.sparkContext.applicationId}/steps/{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    rows.write.option("compression", CODEC).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -58,7 +60,7 @@ class Workspace:
         with _lock:
             if key not in _written:
                 rows = build()
-                rows.write.mode("overwrite").parquet(self.path(name))
+                rows.write.mode("overwrite").option("compression", CODEC).parquet(self.path(name))
                 _written[key] = self.spark.read.schema(rows.schema).parquet(self.path(name))
             return _written[key]
 

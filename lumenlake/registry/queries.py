@@ -613,6 +613,6 @@ def plain(rows: DataFrame) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Query):
-        return lambda spark, sf_dir: plain(build(Relations(spark, sf_dir)))
+        return lambda spark, sf_dir: plain(build(Relations.sized(spark, sf_dir)))
 
     return {name: bind(build) for name, build in _QUERIES.items()}

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lumenlake import contract
+from lumenlake import contract, session
 from lumenlake.contract import ENGLISH_TERMS
 from lumenlake.plans import bronze, gold, logs, silver
 from lumenlake.plans.lake import Lake
@@ -36,7 +36,8 @@ _SILVER = {
 }
 
 
-LOG_FILE_LINES = 100_000
+# Log files are compressed; a file is one split, so its length is bounded by lines.
+LOG_FILES = {"maxRecordsPerFile": 100_000, "compression": "gzip"}
 
 
 class Relations:
@@ -47,6 +48,11 @@ class Relations:
         self.sf_dir = sf_dir
         self.workspace = Workspace(spark, sf_dir)
 
+    @classmethod
+    def sized(cls, spark: SparkSession, sf_dir: str) -> Relations:
+        """Relations in a session whose shuffles fit the source tables."""
+        return cls(session.sized(spark, derived.source_rows(spark, sf_dir)), sf_dir)
+
     # --- billing ------------------------------------------------------------
 
     def raw(self, names: list[str] | None = None, changed: dict[str, str] | None = None) -> DataFrame:
@@ -134,8 +140,8 @@ class Relations:
         """The log as text files whose names and lines are in time order."""
 
         def write(path: str) -> None:
-            lines = derived.log_lines(self.spark, self.sf_dir).orderBy("ms", "line_seq").select("line")
-            lines.write.mode("overwrite").text(path)
+            lines = derived.log_lines(self.spark, self.sf_dir).orderBy("ms", "line_seq").select(derived.log_line())
+            lines.write.mode("overwrite").options(**LOG_FILES).text(path)
 
         return self.workspace.files("log", write)
 
@@ -151,8 +157,8 @@ class Relations:
             lines = derived.log_lines(self.spark, self.sf_dir)
             end = lines.agg(F.max("ms")).first()[0] or 0
             part = F.expr(f"least(2, 3 * ms div {end + 1})")
-            placed = lines.withColumn("part", part).orderBy("part", "ms", "line_seq").select("part", "line")
-            placed.write.mode("overwrite").partitionBy("part").option("maxRecordsPerFile", LOG_FILE_LINES).text(path)
+            placed = lines.withColumn("part", part).orderBy("part", "ms", "line_seq").select("part", derived.log_line())
+            placed.write.mode("overwrite").partitionBy("part").options(**LOG_FILES).text(path)
 
         def parse(root: str) -> None:
             store = LogStore(self.spark, root, logtext.DERIVED_PHRASES)

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import SparkSession
 
 TARGET_BYTES = 128 << 20
+# Rows of the source tables per piece of a shuffle, and bytes that one task takes of a shuffle and of files.
+PIECE_ROWS, PIECE_BYTES, SPLIT_BYTES = 50_000, 8 << 20, 16 << 20
 
 
 def settings(input_bytes: int, cores: int) -> dict[str, str]:
@@ -32,3 +34,22 @@ def builder(input_bytes: int, cores: int, name: str = "lumenlake") -> SparkSessi
     for key, value in settings(input_bytes, cores).items():
         made = made.config(key, value)
     return made
+
+
+def sized(spark: SparkSession, rows: int) -> SparkSession:
+    """A session of the same application and settings whose shuffles are cut to so many source rows.
+
+    With a fixed number of pieces each task takes more as the input grows.
+    Here their number grows, and adaptive execution merges those that stay
+    below ``PIECE_BYTES``, so a task's memory does not depend on the input;
+    nor does that of a partial aggregate, which follows the split it reads.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / PIECE_ROWS))
+    own.conf.set("spark.sql.shuffle.partitions", str(pieces))
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(PIECE_BYTES))
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
+    return own

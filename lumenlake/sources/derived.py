@@ -6,7 +6,7 @@ correctness check start from the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lumenlake import contract
 
@@ -285,6 +285,17 @@ def _paths(sf_dir: str) -> str:
     return "parquet.`" + sf_dir.rstrip("/") + "/{}.parquet`"
 
 
+_source_rows: dict[tuple[str, str], int] = {}
+
+
+def source_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the larger of orders and events, from the footers of their files, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _source_rows:
+        _source_rows[key] = max(spark.table(_paths(sf_dir).format(t)).count() for t in ("orders", "events"))
+    return _source_rows[key]
+
+
 def bills_raw(
     spark: SparkSession, sf_dir: str, names: list[str] | None = None, changed: dict[str, str] | None = None
 ) -> DataFrame:
@@ -306,10 +317,14 @@ def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log text with its order columns; the line itself is all that operators read."""
-    steps = spark.sql(log_steps_sql(_paths(sf_dir), True))
+    """What is written to the log with its order columns, see ``log_line``."""
+    return spark.sql(log_steps_sql(_paths(sf_dir), True)).select("ms", "line_seq", "origin", "message")
+
+
+def log_line() -> Column:
+    """The line itself, which is all that operators read; it is made where lines are in order, not moved."""
     stamp = "date_format(timestampadd(MILLISECOND, ms, timestamp_ntz'2026-09-01 00:00:00'), 'yyyy-MM-dd HH:mm:ss,SSS')"
-    return steps.selectExpr("ms", "line_seq", f"{stamp} || ' - ' || origin || ' - INFO - ' || message as line")
+    return F.expr(f"{stamp} || ' - ' || origin || ' - INFO - ' || message").alias("line")
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
