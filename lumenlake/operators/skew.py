@@ -5,6 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 HOT_ROWS = 100_000
+BUCKETS = 1 << 14
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(key) of the keys with more than ``hot_rows`` rows.
+
+    Buckets of hashed keys are counted first: that moves one number per bucket
+    and task, not the keys.  Only keys of buckets that hold so many rows are
+    counted themselves.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("_bucket")
+    full = rows.groupBy(bucket).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
+    full = [row["_bucket"] for row in full.select("_bucket").collect()]  # at most one per hot_rows rows
+    near = rows.where(bucket.isin(full)) if len(full) < BUCKETS else rows
+    return near.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(key)
 
 
 def join_many(unique: DataFrame, many: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -16,7 +31,7 @@ def join_many(unique: DataFrame, many: DataFrame, key: str, hot_rows: int = HOT_
     the few rows of the unique side if they are small in bytes, and splits the
     hot partitions otherwise.  All other keys are joined by shuffle.
     """
-    hot = many.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(key)
+    hot = hot_keys(many, key, hot_rows)
     if hot.isEmpty():
         return unique.join(many, key, "left")
     spread = many.join(unique.join(hot, key, "left_semi"), key)

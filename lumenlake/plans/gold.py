@@ -25,12 +25,19 @@ def levy_base(
     them.  Adaptive execution splits a hot installation.
     """
     paid = payments.groupBy("bill_id").agg(F.sum("paid_amount").alias("_paid"))
-    places = installations.select("installation", "consumption_class", "consumption_subclass", *ADDRESS_KEY).join(
+    rows = join_many(bills.join(paid, "bill_id", "left"), levies.select("bill_id", "levy"), "bill_id")
+    return priced(rows.join(places(installations, addresses), "installation"))
+
+
+def places(installations: DataFrame, addresses: DataFrame) -> DataFrame:
+    """(installation, consumption_class, consumption_subclass, district, municipality)."""
+    return installations.select("installation", "consumption_class", "consumption_subclass", *ADDRESS_KEY).join(
         addresses.select(*ADDRESS_KEY, "district", "municipality"), ADDRESS_KEY, "left"
     ).drop(*ADDRESS_KEY)
-    rows = join_many(bills.join(paid, "bill_id", "left"), levies.select("bill_id", "levy"), "bill_id").join(
-        places, "installation"
-    )
+
+
+def priced(rows: DataFrame, *more: str) -> DataFrame:
+    """The columns of the base from bills with their place, ``levy`` and total ``_paid``; ``more`` pass through."""
     levy, total = F.coalesce("levy", F.lit(0)).cast(MONEY), F.coalesce("_paid", F.lit(0))
     return rows.select(
         "bill_id",
@@ -51,6 +58,7 @@ def levy_base(
         levy.alias("levy_billed"),
         total.cast(MONEY).alias("paid_total"),
         prorate(levy, total, F.col("bill_amount")).alias("levy_collected"),
+        *more,
     )
 
 

@@ -29,6 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lumenlake.functions.money import MONEY, mean_money
+from lumenlake.operators.skew import join_many
 from lumenlake.plans import gold
 from lumenlake.plans.workspace import written
 
@@ -49,18 +50,51 @@ def changes(tables: dict[str, DataFrame], fresh: list[int], earlier: list[int])
 
     ``tables`` are bills, installations, addresses, levies and payments; the
     three with bills carry ``load_id``.  Without earlier loads every bill is new.
-    """
-
-    def base(loads: list[int]) -> DataFrame:
-        def of(name: str) -> DataFrame:
-            rows = tables[name].where(F.col("load_id").isin(loads)).drop("load_id")
-            return rows.join(ids, "bill_id", "left_semi") if earlier else rows
 
-        return gold.levy_base(of("bills"), tables["installations"], tables["addresses"], of("levies"), of("payments"))
-
-    ids = touched_bills(tables, fresh)
-    now = base([*earlier, *fresh]).withColumn("_sign", F.lit(1))
-    return now.unionByName(base(earlier).withColumn("_sign", F.lit(-1))) if earlier else now
+    What a bill is now and what it was come from one pass: a flag tells the
+    rows of earlier loads, and each bill knows both totals of its payments.
+    A levy counts in what was when it is of an earlier load; a bill that had
+    no levy then, but has one now, was a row of its own.
+    """
+    loaded = lambda name: tables[name].where(F.col("load_id").isin([*earlier, *fresh])).withColumn(
+        "_old", F.col("load_id").isin(earlier)
+    )
+    if not earlier:
+        of = lambda name: loaded(name).drop("load_id", "_old")
+        now = gold.levy_base(of("bills"), tables["installations"], tables["addresses"], of("levies"), of("payments"))
+        return now.withColumn("_sign", F.lit(1))
+    levies = loaded("levies").select("bill_id", "levy", "_old")
+    rows = join_many(_touched(loaded), levies.select(F.col("bill_id").alias("_link"), "levy", F.col("_old").alias("_old_levy")), "_link")
+    # Of each row: what it is now, what it was, or both.
+    version = lambda paid, sign: F.struct(F.col(paid).alias("_paid"), F.lit(sign).alias("_sign"))
+    was = F.col("_old") & (F.col("_bare") | F.when(F.col("_old_levies") > 0, F.coalesce("_old_levy", F.lit(False))).otherwise(F.col("_levies") == 0))
+    versions = F.array_compact(F.array(F.when(~F.col("_bare"), version("_now", 1)), F.when(was, version("_before", -1))))
+    rows = rows.withColumn("_version", F.explode(versions)).select("*", "_version.*")
+    return gold.priced(rows.join(gold.places(tables["installations"], tables["addresses"]), "installation"), "_sign")
+
+
+def _touched(loaded: Callable[[str], DataFrame]) -> DataFrame:
+    """Touched bills with their totals now and before, the numbers of their levies, and the key that finds these.
+
+    A bill that had no levy, but has one now, comes twice: the second is
+    marked ``_bare`` and its key finds none.
+    """
+    none = F.lit(None)
+    paid = loaded("payments").select("bill_id", "_old", none.cast("int").alias("_levy"), "paid_amount")
+    levied = loaded("levies").select("bill_id", "_old", F.lit(1).alias("_levy"), none.alias("paid_amount"))
+    found = paid.unionByName(levied).groupBy("bill_id").agg(
+        F.sum("paid_amount").alias("_now"),
+        F.sum(F.when(F.col("_old"), F.col("paid_amount"))).alias("_before"),
+        F.count("_levy").alias("_levies"),
+        F.count(F.when(F.col("_old"), F.col("_levy"))).alias("_old_levies"),
+        F.max(~F.col("_old")).alias("_fresh"),
+    )
+    bills = loaded("bills").where("bill_id is not null").drop("load_id").join(found, "bill_id", "left")
+    bills = bills.where("not _old or _fresh").fillna(0, ["_levies", "_old_levies"])
+    had_none = F.col("_old") & (F.col("_old_levies") == 0) & (F.col("_levies") > 0)
+    bare = F.explode(F.when(had_none, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
+    link = F.when(F.col("_bare"), F.concat("bill_id", F.lit("-"))).otherwise(F.col("bill_id"))
+    return bills.withColumn("_bare", bare).withColumn("_link", link)
 
 
 def cube(changed: DataFrame) -> DataFrame:
