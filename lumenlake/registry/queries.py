@@ -13,7 +13,6 @@ from lumenlake.operators.keys import insert_if_absent
 from lumenlake.plans import bronze, gold, logs, masking, reliability, silver
 from lumenlake.registry.relations import DATES, DECIMALS, Relations
 from lumenlake.sources import extract, logtext
-from lumenlake.plans.workspace import written
 from lumenlake.sources.derived import BROKEN_TEXT, MONTH_HEADER, QUOTED_TEXT, SPECIAL_TEXT, UNFINISHED_TEXT
 
 Query = Callable[[Relations], DataFrame]
@@ -60,11 +59,9 @@ def scan_quoted_breaks(r: Relations) -> DataFrame:
     """Line breaks inside quoted fields, in files that are cut into many splits."""
     path = r.workspace.files("quoted_extract", lambda path: extract.write_extract(r.raw(changed=QUOTED_TEXT), path))
 
-    def scan() -> DataFrame:
-        with extract.split_size(r.spark, QUOTED_SPLIT), extract.pinned_splits(r.spark):
-            return written(extract.scan_extract(r.spark, path, multiline=True).select(*contract.NAMES), "quoted-scan")
-
-    return r.workspace.table("quoted_rows", scan)
+    with extract.split_size(r.spark, QUOTED_SPLIT), extract.pinned_splits(r.spark):
+        scan = lambda: extract.scan_extract(r.spark, path, multiline=True).select(*contract.NAMES)
+        return r.workspace.table("quoted_rows", scan)
 
 
 @_query
