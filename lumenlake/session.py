@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 TARGET_BYTES = 128 << 20
 # Rows of the source tables per piece of a shuffle, and bytes that one task takes of a shuffle and of files.
 PIECE_ROWS, PIECE_BYTES, SPLIT_BYTES = 50_000, 8 << 20, 16 << 20
+# The longest method that the JVM compiles; wide rows whose code is longer would be interpreted.
+METHOD_BYTES = 8000
 
 
 def settings(input_bytes: int, cores: int) -> dict[str, str]:
@@ -24,6 +26,7 @@ def settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.codegen.hugeMethodLimit": str(METHOD_BYTES),
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
     }
@@ -52,4 +55,5 @@ def sized(spark: SparkSession, rows: int) -> SparkSession:
     own.conf.set("spark.sql.shuffle.partitions", str(pieces))
     own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(PIECE_BYTES))
     own.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
+    own.conf.set("spark.sql.codegen.hugeMethodLimit", str(METHOD_BYTES))
     return own
