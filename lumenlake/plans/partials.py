@@ -64,7 +64,7 @@ def changes(tables: dict[str, DataFrame], fresh: list[int], earlier: list[int])
         now = gold.levy_base(of("bills"), tables["installations"], tables["addresses"], of("levies"), of("payments"))
         return now.withColumn("_sign", F.lit(1))
     levies = loaded("levies").select("bill_id", "levy", "_old")
-    rows = join_many(_touched(loaded), levies.select(F.col("bill_id").alias("_link"), "levy", F.col("_old").alias("_old_levy")), "_link")
+    rows = join_many(_touched(loaded), levies.withColumnRenamed("_old", "_old_levy"), "bill_id", where=~F.col("_bare"))
     # Of each row: what it is now, what it was, or both.
     version = lambda paid, sign: F.struct(F.col(paid).alias("_paid"), F.lit(sign).alias("_sign"))
     was = F.col("_old") & (F.col("_bare") | F.when(F.col("_old_levies") > 0, F.coalesce("_old_levy", F.lit(False))).otherwise(F.col("_levies") == 0))
@@ -74,10 +74,11 @@ def changes(tables: dict[str, DataFrame], fresh: list[int], earlier: list[int])
 
 
 def _touched(loaded: Callable[[str], DataFrame]) -> DataFrame:
-    """Touched bills with their totals now and before, the numbers of their levies, and the key that finds these.
+    """Touched bills with their totals now and before, and the numbers of their levies.
 
     A bill that had no levy, but has one now, comes twice: the second is
-    marked ``_bare`` and its key finds none.
+    marked ``_bare`` and is to find none.  Both stay where the totals were
+    joined, so the levies meet them without another shuffle of the bills.
     """
     none = F.lit(None)
     paid = loaded("payments").select("bill_id", "_old", none.cast("int").alias("_levy"), "paid_amount")
@@ -93,8 +94,7 @@ def _touched(loaded: Callable[[str], DataFrame]) -> DataFrame:
     bills = bills.where("not _old or _fresh").fillna(0, ["_levies", "_old_levies"])
     had_none = F.col("_old") & (F.col("_old_levies") == 0) & (F.col("_levies") > 0)
     bare = F.explode(F.when(had_none, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
-    link = F.when(F.col("_bare"), F.concat("bill_id", F.lit("-"))).otherwise(F.col("bill_id"))
-    return bills.withColumn("_bare", bare).withColumn("_link", link)
+    return bills.withColumn("_bare", bare)
 
 
 def cube(changed: DataFrame) -> DataFrame:
