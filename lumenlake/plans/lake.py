@@ -234,7 +234,8 @@ class Lake:
         with extract.pinned_splits(self.spark):
             checked = bronze.check(extract.scan_extract(self.spark, path, headers, multiline))
             checked = checked.withColumn("loaded_at", F.lit(started).cast("timestamp_ntz"))
-            checked.write.mode("overwrite").partitionBy("is_valid").parquet(target)
+            with extract.open_together(self.spark, 2):
+                checked.write.mode("overwrite").partitionBy("is_valid").parquet(target)
         stored = self.spark.read.schema(_ddl(CHECKED)).parquet(target)
         valid = F.col("is_valid")
         counts = (F.count_if(valid).alias("n_rows"), F.count_if(~valid).alias("n_quarantined"))

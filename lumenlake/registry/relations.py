@@ -68,18 +68,18 @@ class Relations:
 
     def lake(self) -> Lake:
         """Odd and even billing months as loads 1 and 2, the first of which is loaded once more in the end."""
-        rows = self.raw()
         odd = F.col("billing_month").cast("int") % 2 == 1
+        rows = self.raw().withColumn("load", F.when(odd, 1).when(~odd, 2)).where("load is not null")
 
         def write(path: str) -> None:
-            for load_id, part in ((1, rows.where(odd)), (2, rows.where(~odd))):
-                extract.write_extract(part, f"{path}/{load_id}")
+            with extract.open_together(self.spark, 2):
+                extract.write_extract(rows, path, by=["load"])
 
         path = self.workspace.files("two_extracts", write)
 
         def load(root: str) -> None:
             for load_id in (1, 2, 1):
-                Lake(self.spark, root).load(f"{path}/{load_id}", load_id)
+                Lake(self.spark, root).load(f"{path}/load={load_id}", load_id)
 
         return Lake(self.spark, self.workspace.files("lake", load))
 

@@ -119,6 +119,11 @@ def split_size(spark: SparkSession, size: int):
     return _settings(spark, {"spark.sql.files.maxPartitionBytes": str(size)})
 
 
+def open_together(spark: SparkSession, files: int):
+    """A task writes up to so many partitions at once inside the block, so its wide rows are not sorted by them."""
+    return _settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(files)})
+
+
 def scan_extract(
     spark: SparkSession, path: str, headers: Headers | None = None, multiline: bool = False
 ) -> DataFrame:
@@ -220,9 +225,9 @@ def with_row_numbers(rows: DataFrame, offsets: DataFrame, name: str = "row_numbe
 
 
 def write_extract(
-    rows: DataFrame, path: str, headers: dict[str, str] | None = None, backwards: bool = False
+    rows: DataFrame, path: str, headers: dict[str, str] | None = None, backwards: bool = False, by: list[str] | None = None
 ) -> None:
-    """Write text columns as ';'-separated files with a header and a byte-order mark."""
+    """Write text columns as ';'-separated files with a header and a byte-order mark, in a folder per value of ``by``."""
     renamed = []
     for i, column in enumerate(contract.COLUMNS[::-1] if backwards else contract.COLUMNS):
         header = (headers or {}).get(column.header, column.header)
@@ -231,4 +236,5 @@ def write_extract(
         "sep": SEPARATOR, "header": True, "emptyValue": "", "escape": '"',
         "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
     }
-    rows.select(*renamed).write.mode("overwrite").options(**options).csv(path)
+    writer = rows.select(*renamed, *(by or [])).write.mode("overwrite").options(**options)
+    writer.partitionBy(*(by or [])).csv(path)
