@@ -54,6 +54,8 @@ def sized(spark: SparkSession, rows: int) -> SparkSession:
     pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / PIECE_ROWS))
     own.conf.set("spark.sql.shuffle.partitions", str(pieces))
     own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(PIECE_BYTES))
+    # A side none of whose pieces is larger is held as a hash table; sides with a hot piece are sorted.
+    own.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", str(PIECE_BYTES))
     own.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
     own.conf.set("spark.sql.codegen.hugeMethodLimit", str(METHOD_BYTES))
     return own
