@@ -177,9 +177,8 @@ def bills_raw_sql(
     """SELECT text of the text columns: one row per order, two for every 67th.
 
     The unfolding of the second copy is written differently in Spark SQL, and
-    orders meet their line items before their customers: orders are narrower
-    then, and the rows of a customer lie together when they are written.  The
-    left join drops and repeats no order, so the rows are the same.
+    orders meet their line items before their customers, as they are narrower
+    then.  The left join drops and repeats no order, so the rows are the same.
     """
     first = {**BILL_TEXT, **(changed or {})}
     second = {**COPY_TEXT, **(changed or {})}
